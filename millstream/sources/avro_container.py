@@ -1,0 +1,477 @@
+"""Avro container files as a Python data source, for clusters without Spark's
+own Avro module. Rows are encoded field by field; files are split at their sync
+marks, so that a large file is read by several tasks."""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import json
+import os
+import struct
+import zlib
+from collections.abc import Callable, Iterator
+from io import BytesIO
+from typing import Any
+
+import pyarrow as pa
+from pyspark.sql import types as T
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    DataSourceWriter,
+    InputPartition,
+    WriterCommitMessage,
+)
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from .files import FilePart, list_files, new_part, open_fs, open_output, publish_parts, with_scheme
+
+MAGIC = b"Obj\x01"
+BLOCK_BYTES = 256 << 10
+READ_BYTES = 1 << 20
+ROWS_PER_BATCH = 10_000
+CODECS = ("null", "deflate")
+
+_EPOCH_DAY = dt.date(1970, 1, 1)
+_EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+_LOCAL_EPOCH = dt.datetime(1970, 1, 1)
+_MICRO = dt.timedelta(microseconds=1)
+
+# Avro's names for the simple Spark types, with the logical type.
+SIMPLE_TYPES: list[tuple[T.DataType, str, str | None]] = [
+    (T.BooleanType(), "boolean", None),
+    (T.IntegerType(), "int", None),
+    (T.LongType(), "long", None),
+    (T.FloatType(), "float", None),
+    (T.DoubleType(), "double", None),
+    (T.StringType(), "string", None),
+    (T.BinaryType(), "bytes", None),
+    (T.DateType(), "int", "date"),
+    (T.TimestampType(), "long", "timestamp-micros"),
+    (T.TimestampNTZType(), "long", "local-timestamp-micros"),
+]
+
+
+# ---- schemas -------------------------------------------------------------
+
+def to_avro_type(t: T.DataType, nullable: bool, name: str) -> Any:
+    if isinstance(t, T.StructType):
+        fields = [
+            {"name": f.name, "type": to_avro_type(f.dataType, f.nullable, f"{name}_{f.name}")}
+            for f in t.fields
+        ]
+        kind: Any = {"type": "record", "name": name, "fields": fields}
+    elif isinstance(t, T.ArrayType):
+        kind = {"type": "array", "items": to_avro_type(t.elementType, t.containsNull, name + "_e")}
+    elif isinstance(t, T.MapType) and isinstance(t.keyType, T.StringType):
+        values = to_avro_type(t.valueType, t.valueContainsNull, name + "_v")
+        kind = {"type": "map", "values": values}
+    elif isinstance(t, T.DecimalType):
+        kind = {"type": "bytes", "logicalType": "decimal",
+                "precision": t.precision, "scale": t.scale}
+    elif isinstance(t, (T.ByteType, T.ShortType)):
+        kind = "int"
+    else:
+        found = [(a, logical) for s, a, logical in SIMPLE_TYPES if s == t]
+        if not found:
+            raise TypeError(f"no Avro type for {t.simpleString()}")
+        avro, logical = found[0]
+        kind = {"type": avro, "logicalType": logical} if logical else avro
+    return ["null", kind] if nullable else kind
+
+
+def to_spark_type(avro: Any, names: dict[str, Any]) -> tuple[T.DataType, bool]:
+    """Spark type and nullability of an Avro schema."""
+    if isinstance(avro, list):
+        rest = [a for a in avro if a != "null"]
+        if len(rest) != 1:
+            raise TypeError("only unions of one type with null are read")
+        return to_spark_type(rest[0], names)[0], "null" in avro
+    if isinstance(avro, str) and avro in names:
+        return to_spark_type(names[avro], names)
+    kind = avro if isinstance(avro, str) else avro["type"]
+    logical = None if isinstance(avro, str) else avro.get("logicalType")
+    if isinstance(kind, (dict, list)):
+        return to_spark_type(kind, names)
+    if kind in ("record", "enum", "fixed"):
+        names[avro["name"]] = avro
+    if kind == "record":
+        fields = [(f["name"], *to_spark_type(f["type"], names)) for f in avro["fields"]]
+        return T.StructType([T.StructField(*f) for f in fields]), False
+    if kind == "array":
+        return T.ArrayType(*to_spark_type(avro["items"], names)), False
+    if kind == "map":
+        return T.MapType(T.StringType(), *to_spark_type(avro["values"], names)), False
+    if kind == "enum":
+        return T.StringType(), False
+    if logical == "decimal":
+        return T.DecimalType(avro["precision"], avro.get("scale", 0)), False
+    if kind == "fixed":
+        return T.BinaryType(), False
+    if logical in ("timestamp-millis", "local-timestamp-millis"):
+        logical = logical.replace("millis", "micros")
+    for spark_type, name, known in SIMPLE_TYPES:
+        if name == kind and known == logical:
+            return spark_type, False
+    for spark_type, name, known in SIMPLE_TYPES:
+        if name == kind and known is None:
+            return spark_type, False
+    raise TypeError(f"cannot read the Avro type {avro!r}")
+
+
+# ---- values --------------------------------------------------------------
+
+def put_long(out: bytearray, n: int) -> None:
+    n = (n << 1) ^ (n >> 63)
+    while n > 0x7F:
+        out.append((n & 0x7F) | 0x80)
+        n >>= 7
+    out.append(n)
+
+
+def get_long(data: BytesIO) -> int:
+    shift = value = 0
+    while True:
+        byte = data.read(1)
+        if not byte:
+            raise EOFError("Avro data ends within a number")
+        value |= (byte[0] & 0x7F) << shift
+        if byte[0] < 0x80:
+            return (value >> 1) ^ -(value & 1)
+        shift += 7
+
+
+def _put_bytes(out: bytearray, data: bytes) -> None:
+    put_long(out, len(data))
+    out += data
+
+
+Encoder = Callable[[bytearray, Any], None]
+Decoder = Callable[[BytesIO], Any]
+
+
+def encoder(t: T.DataType, nullable: bool) -> Encoder:
+    put = _encoder(t)
+    if not nullable:
+        return put
+
+    def put_nullable(out: bytearray, v: Any) -> None:
+        if v is None:
+            out.append(0)
+        else:
+            out.append(2)
+            put(out, v)
+
+    return put_nullable
+
+
+def _encoder(t: T.DataType) -> Encoder:
+    if isinstance(t, T.StructType):
+        parts = [encoder(f.dataType, f.nullable) for f in t.fields]
+
+        def put_record(out: bytearray, row: Any) -> None:
+            for put, v in zip(parts, row, strict=True):
+                put(out, v)
+
+        return put_record
+    if isinstance(t, T.ArrayType):
+        put_item = encoder(t.elementType, t.containsNull)
+
+        def put_array(out: bytearray, values: Any) -> None:
+            if len(values):
+                put_long(out, len(values))
+                for v in values:
+                    put_item(out, v)
+            out.append(0)
+
+        return put_array
+    if isinstance(t, T.MapType):
+        put_value = encoder(t.valueType, t.valueContainsNull)
+
+        def put_map(out: bytearray, values: Any) -> None:
+            if values:
+                put_long(out, len(values))
+                for k, v in values.items():
+                    _put_bytes(out, k.encode())
+                    put_value(out, v)
+            out.append(0)
+
+        return put_map
+    if isinstance(t, T.DecimalType):
+        def put_decimal(out: bytearray, v: decimal.Decimal) -> None:
+            n = int(v.scaleb(t.scale))
+            _put_bytes(out, n.to_bytes(n.bit_length() // 8 + 1, "big", signed=True))
+
+        return put_decimal
+    return {
+        T.BooleanType: lambda out, v: out.append(1 if v else 0),
+        T.FloatType: lambda out, v: out.extend(struct.pack("<f", v)),
+        T.DoubleType: lambda out, v: out.extend(struct.pack("<d", v)),
+        T.StringType: lambda out, v: _put_bytes(out, v.encode()),
+        T.BinaryType: lambda out, v: _put_bytes(out, bytes(v)),
+        T.DateType: lambda out, v: put_long(out, (v - _EPOCH_DAY).days),
+        T.TimestampType: lambda out, v: put_long(out, (v.astimezone(dt.timezone.utc) - _EPOCH) // _MICRO),
+        T.TimestampNTZType: lambda out, v: put_long(out, (v - _LOCAL_EPOCH) // _MICRO),
+    }.get(type(t), put_long)
+
+
+def decoder(avro: Any, names: dict[str, Any]) -> Decoder:
+    if isinstance(avro, list):
+        parts = [None if a == "null" else decoder(a, names) for a in avro]
+
+        def get_union(data: BytesIO) -> Any:
+            part = parts[get_long(data)]
+            return part(data) if part else None
+
+        return get_union
+    if isinstance(avro, str) and avro in names:
+        return decoder(names[avro], names)
+    kind = avro if isinstance(avro, str) else avro["type"]
+    logical = None if isinstance(avro, str) else avro.get("logicalType")
+    if isinstance(kind, (dict, list)):
+        return decoder(kind, names)
+    if kind in ("record", "enum", "fixed"):
+        names[avro["name"]] = avro
+    if kind == "record":
+        fields = [(f["name"], decoder(f["type"], names)) for f in avro["fields"]]
+        return lambda data: {name: get(data) for name, get in fields}
+    if kind in ("array", "map"):
+        get_item = decoder(avro["items" if kind == "array" else "values"], names)
+        get_text = _get_text
+        is_map = kind == "map"
+
+        def get_many(data: BytesIO) -> Any:
+            items: list = []
+            while count := get_long(data):
+                if count < 0:
+                    count = -count
+                    get_long(data)
+                for _ in range(count):
+                    items.append((get_text(data), get_item(data)) if is_map else get_item(data))
+            return items
+
+        return get_many
+    if kind == "enum":
+        symbols = avro["symbols"]
+        return lambda data: symbols[get_long(data)]
+    if logical == "decimal":
+        scale = avro.get("scale", 0)
+        size = avro.get("size")
+
+        def get_decimal(data: BytesIO) -> decimal.Decimal:
+            raw = data.read(size if size else get_long(data))
+            return decimal.Decimal(int.from_bytes(raw, "big", signed=True)).scaleb(-scale)
+
+        return get_decimal
+    if kind == "fixed":
+        return lambda data: data.read(avro["size"])
+    if logical == "date":
+        return lambda data: _EPOCH_DAY + dt.timedelta(days=get_long(data))
+    if logical in ("timestamp-micros", "timestamp-millis",
+                   "local-timestamp-micros", "local-timestamp-millis"):
+        step = 1000 if logical.endswith("millis") else 1
+        zero = _LOCAL_EPOCH if logical.startswith("local") else _EPOCH
+        return lambda data: zero + dt.timedelta(microseconds=get_long(data) * step)
+    return {
+        "null": lambda data: None,
+        "boolean": lambda data: data.read(1) == b"\x01",
+        "int": get_long,
+        "long": get_long,
+        "float": lambda data: struct.unpack("<f", data.read(4))[0],
+        "double": lambda data: struct.unpack("<d", data.read(8))[0],
+        "bytes": lambda data: data.read(get_long(data)),
+        "string": _get_text,
+    }[kind]
+
+
+def _get_text(data: BytesIO) -> str:
+    return data.read(get_long(data)).decode()
+
+
+# ---- files ---------------------------------------------------------------
+
+def header(schema: dict, codec: str, sync: bytes) -> bytes:
+    out = bytearray(MAGIC)
+    meta = {"avro.schema": json.dumps(schema).encode(), "avro.codec": codec.encode()}
+    put_long(out, len(meta))
+    for key, value in meta.items():
+        _put_bytes(out, key.encode())
+        _put_bytes(out, value)
+    out.append(0)
+    return bytes(out) + sync
+
+
+def read_header(path: str) -> tuple[dict, str, bytes, int]:
+    """Schema, codec, sync mark and first block position of a file."""
+    fs, place = open_fs(path)
+    with fs.open_input_file(place) as file:
+        size = READ_BYTES
+        while True:
+            file.seek(0)
+            data = BytesIO(file.read(size))
+            try:
+                if data.read(4) != MAGIC:
+                    raise ValueError(f"{path} is not an Avro container file")
+                get_pair = decoder({"type": "map", "values": "bytes"}, {})
+                meta = dict(get_pair(data))
+                sync = data.read(16)
+                if len(sync) == 16:
+                    break
+            except EOFError:
+                pass
+            if size > file.size():
+                raise ValueError(f"{path}: file ends within the header")
+            size *= 4
+    codec = meta.get("avro.codec", b"null").decode()
+    if codec not in CODECS:
+        raise ValueError(f"{path}: codec {codec} is not one of {CODECS}")
+    return json.loads(meta["avro.schema"]), codec, sync, data.tell()
+
+
+class _Cursor:
+    """Buffered forward reading from a position in a file."""
+
+    def __init__(self, file, position: int):
+        self.file, self.base, self.buffer, self.at = file, position, b"", 0
+        file.seek(position)
+
+    def tell(self) -> int:
+        return self.base + self.at
+
+    def read(self, n: int) -> bytes:
+        missing = n - (len(self.buffer) - self.at)
+        if missing > 0:
+            self.base += self.at
+            self.buffer = self.buffer[self.at:] + self.file.read(max(READ_BYTES, missing))
+            self.at = 0
+        out = self.buffer[self.at:self.at + n]
+        self.at += len(out)
+        return out
+
+    def find(self, mark: bytes) -> bool:
+        """Move behind the next ``mark``."""
+        while True:
+            hit = self.buffer.find(mark, self.at)
+            if hit >= 0:
+                self.at = hit + len(mark)
+                return True
+            keep = max(self.at, len(self.buffer) - len(mark) + 1)
+            self.base += keep
+            self.buffer, self.at = self.buffer[keep:], 0
+            more = self.file.read(READ_BYTES)
+            if not more:
+                return False
+            self.buffer += more
+
+
+def read_blocks(part: FilePart) -> Iterator[tuple[dict, int, bytes]]:
+    """``(schema, rows, data)`` of the blocks that belong to a part of a file: those
+    whose preceding sync mark begins within it."""
+    schema, codec, sync, first = read_header(part.path)
+    fs, place = open_fs(part.path)
+    with fs.open_input_file(place) as file:
+        cursor = _Cursor(file, max(part.start, first - 16))
+        if not cursor.find(sync):
+            return
+        while cursor.tell() - 16 < part.end:
+            probe = cursor.read(1)
+            if not probe:
+                return
+            cursor.at -= 1
+            rows, size = get_long(cursor), get_long(cursor)
+            data = cursor.read(size)
+            if len(data) < size or cursor.read(16) != sync:
+                raise ValueError(f"{part.path}: damaged block before byte {cursor.tell()}")
+            yield schema, rows, zlib.decompress(data, -15) if codec == "deflate" else data
+
+
+class AvroContainer(DataSource):
+    """Options: ``splitBytes``, ``compression`` (``deflate`` or ``null``), ``recordName``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "millstream_avro"
+
+    def schema(self) -> T.StructType:
+        files = list_files(self.options["path"])
+        first = with_scheme(self.options["path"], files[0][0])
+        return to_spark_type(read_header(first)[0], {})[0]
+
+    def reader(self, schema: T.StructType) -> DataSourceReader:
+        return _AvroReader(self.options, schema)
+
+    def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceWriter:
+        return _AvroWriter(self.options, schema, overwrite)
+
+
+class _AvroReader(DataSourceReader):
+    def __init__(self, options, schema: T.StructType):
+        self.path, self.schema = options["path"], schema
+        self.split = int(options.get("splitbytes", 128 << 20))
+        self.validate = options.get("validate", "true") == "true"
+
+    def partitions(self) -> list[InputPartition]:
+        parts = [
+            FilePart(with_scheme(self.path, path), start, min(start + self.split, size))
+            for path, size in list_files(self.path, self.validate)
+            for start in range(0, size, self.split)
+        ]
+        return parts or [FilePart("", 0, 0)]
+
+    def read(self, partition: FilePart) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_schema(self.schema)
+        rows: list[dict] = []
+        if not partition.path:
+            return
+        get = None
+        for schema, count, data in read_blocks(partition):
+            get = get or decoder(schema, {})
+            block = BytesIO(data)
+            rows += [get(block) for _ in range(count)]
+            if len(rows) >= ROWS_PER_BATCH:
+                yield pa.RecordBatch.from_pylist(rows, arrow)
+                rows = []
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, arrow)
+
+
+class _AvroWriter(DataSourceWriter):
+    def __init__(self, options, schema: T.StructType, overwrite: bool):
+        self.path, self.schema = options["path"].rstrip("/"), schema
+        self.codec = options.get("compression", "deflate")
+        self.record = options.get("recordname", "topLevelRecord")
+        self.suffix = options.get("suffix", ".avro")
+        self.overwrite = overwrite
+        if self.codec not in CODECS:
+            raise ValueError(f"compression must be one of {CODECS}")
+        to_avro_type(schema, False, self.record)
+
+    def write(self, iterator: Iterator[T.Row]) -> WriterCommitMessage:
+        part = new_part(self.path, self.suffix)
+        put, sync = encoder(self.schema, False), os.urandom(16)
+        with open_output(part.staged) as out:
+            out.write(header(to_avro_type(self.schema, False, self.record), self.codec, sync))
+            block, rows = bytearray(), 0
+            for row in iterator:
+                put(block, row)
+                rows += 1
+                if len(block) >= BLOCK_BYTES:
+                    out.write(self._block(block, rows, sync))
+                    block, rows = bytearray(), 0
+            if rows:
+                out.write(self._block(block, rows, sync))
+        return part
+
+    def _block(self, data: bytearray, rows: int, sync: bytes) -> bytes:
+        body = bytes(data)
+        if self.codec == "deflate":
+            squeeze = zlib.compressobj(wbits=-15)
+            body = squeeze.compress(body) + squeeze.flush()
+        out = bytearray()
+        put_long(out, rows)
+        put_long(out, len(body))
+        return bytes(out) + body + sync
+
+    def commit(self, messages) -> None:
+        publish_parts(self.path, messages, self.overwrite)

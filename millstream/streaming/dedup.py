@@ -1,0 +1,7 @@
+"""De-duplication of messages on a stream."""
+
+from __future__ import annotations
+
+from ..sources.topics import drop_repeats
+
+__all__ = ["drop_repeats"]
