@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.cogroup import exclude
 from ..operators.combine import CombineFn, combine_globally
-from ..operators.elements import Step, chain, filter_equals, filter_in, tag_constant
+from ..operators.elements import Step, chain, filter_in, tag_constant
 from ..operators.grouping import count_per_key, fold_groups, group_by_key, having, sum_list
 from ..operators.tags import tag_rows
 
@@ -72,11 +72,9 @@ def frequent(minimum: int = 30, label: str = "Employee") -> Step:
     return chain(having(F.col("n") > minimum), tag_constant("tag", label))
 
 
-def department_branch(records: DataFrame, dept: str, minimum: int) -> DataFrame:
-    """One department's frequent names through the composite step."""
-    return chain(
-        filter_equals("dept", dept), lambda df: count_per_key(df, ["name"]), frequent(minimum)
-    )(records)
+def frequent_names(records: DataFrame, depts: Sequence[str], minimum: int = 30) -> DataFrame:
+    """The composite step on the counts of every department."""
+    return departments_merged(records, depts).transform(frequent(minimum)).drop("dept")
 
 
 def attendance_with_exclusions(

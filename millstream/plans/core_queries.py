@@ -106,10 +106,7 @@ SELECT o_custkey AS name, count(*) AS n, 'Employee' AS tag FROM orders
 WHERE o_orderpriority = '2-HIGH' GROUP BY 1 HAVING count(*) > 3
 """)
 def composite_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = order_records(spark, sf_dir)
-    return op.flatten(
-        attendance.department_branch(records, URGENT, 3),
-        attendance.department_branch(records, HIGH, 3))
+    return attendance.frequent_names(order_records(spark, sf_dir), [URGENT, HIGH], 3)
 
 
 @query("""

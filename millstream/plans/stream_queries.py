@@ -183,7 +183,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = new_topic(spark, "dedup")
     ids = F.concat_ws("-", "user_id", "event_type")
     publish(event_messages(event_records(spark, sf_dir), ids), topic.uri)
-    unique = drop_repeats(topic.read(), "message_id", "element_time", "400 days")
+    unique = drop_repeats(topic.read(), "message_id", "element_time", "400 days", salts=4)
     run_available(stream_to_table(
         unique.select("message_id", "element_time"), topic.result, topic.checkpoint))
     return op.count_per_key(spark.read.parquet(topic.result), ["message_id"])

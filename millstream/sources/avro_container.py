@@ -11,7 +11,6 @@ import os
 import struct
 import zlib
 from collections.abc import Callable, Iterator
-from io import BytesIO
 from typing import Any
 
 import pyarrow as pa
@@ -130,16 +129,37 @@ def put_long(out: bytearray, n: int) -> None:
     out.append(n)
 
 
-def get_long(data: BytesIO) -> int:
-    shift = value = 0
-    while True:
-        byte = data.read(1)
-        if not byte:
-            raise EOFError("Avro data ends within a number")
-        value |= (byte[0] & 0x7F) << shift
-        if byte[0] < 0x80:
-            return (value >> 1) ^ -(value & 1)
-        shift += 7
+class Bytes:
+    """A position in a byte string."""
+
+    __slots__ = ("buffer", "at")
+
+    def __init__(self, buffer: bytes):
+        self.buffer, self.at = buffer, 0
+
+    def read(self, n: int) -> bytes:
+        out = self.buffer[self.at:self.at + n]
+        if len(out) < n:
+            raise EOFError("Avro data ends within a value")
+        self.at += n
+        return out
+
+
+def get_long(data: Bytes) -> int:
+    buffer, at = data.buffer, data.at
+    try:
+        byte = buffer[at]
+        at += 1
+        value, shift = byte & 0x7F, 7
+        while byte > 0x7F:
+            byte = buffer[at]
+            at += 1
+            value |= (byte & 0x7F) << shift
+            shift += 7
+    except IndexError:
+        raise EOFError("Avro data ends within a number") from None
+    data.at = at
+    return (value >> 1) ^ -(value & 1)
 
 
 def _put_bytes(out: bytearray, data: bytes) -> None:
@@ -148,7 +168,7 @@ def _put_bytes(out: bytearray, data: bytes) -> None:
 
 
 Encoder = Callable[[bytearray, Any], None]
-Decoder = Callable[[BytesIO], Any]
+Decoder = Callable[[Bytes], Any]
 
 
 def encoder(t: T.DataType, nullable: bool) -> Encoder:
@@ -220,7 +240,7 @@ def decoder(avro: Any, names: dict[str, Any]) -> Decoder:
     if isinstance(avro, list):
         parts = [None if a == "null" else decoder(a, names) for a in avro]
 
-        def get_union(data: BytesIO) -> Any:
+        def get_union(data: Bytes) -> Any:
             part = parts[get_long(data)]
             return part(data) if part else None
 
@@ -241,7 +261,7 @@ def decoder(avro: Any, names: dict[str, Any]) -> Decoder:
         get_text = _get_text
         is_map = kind == "map"
 
-        def get_many(data: BytesIO) -> Any:
+        def get_many(data: Bytes) -> Any:
             items: list = []
             while count := get_long(data):
                 if count < 0:
@@ -259,7 +279,7 @@ def decoder(avro: Any, names: dict[str, Any]) -> Decoder:
         scale = avro.get("scale", 0)
         size = avro.get("size")
 
-        def get_decimal(data: BytesIO) -> decimal.Decimal:
+        def get_decimal(data: Bytes) -> decimal.Decimal:
             raw = data.read(size if size else get_long(data))
             return decimal.Decimal(int.from_bytes(raw, "big", signed=True)).scaleb(-scale)
 
@@ -285,7 +305,22 @@ def decoder(avro: Any, names: dict[str, Any]) -> Decoder:
     }[kind]
 
 
-def _get_text(data: BytesIO) -> str:
+def row_decoder(avro: dict, wanted: list[str]) -> Decoder:
+    """Rows as tuples of the wanted fields; a field the file lacks is NULL."""
+    names: dict[str, Any] = {}
+    gets = [(f["name"], decoder(f["type"], names)) for f in avro["fields"]]
+    if [name for name, _ in gets] == wanted:
+        parts = [get for _, get in gets]
+        return lambda data: tuple([get(data) for get in parts])
+
+    def get_row(data: Bytes) -> tuple:
+        values = {name: get(data) for name, get in gets}
+        return tuple([values.get(name) for name in wanted])
+
+    return get_row
+
+
+def _get_text(data: Bytes) -> str:
     return data.read(get_long(data)).decode()
 
 
@@ -309,15 +344,14 @@ def read_header(path: str) -> tuple[dict, str, bytes, int]:
         size = READ_BYTES
         while True:
             file.seek(0)
-            data = BytesIO(file.read(size))
+            data = Bytes(file.read(size))
             try:
                 if data.read(4) != MAGIC:
                     raise ValueError(f"{path} is not an Avro container file")
                 get_pair = decoder({"type": "map", "values": "bytes"}, {})
                 meta = dict(get_pair(data))
                 sync = data.read(16)
-                if len(sync) == 16:
-                    break
+                break
             except EOFError:
                 pass
             if size > file.size():
@@ -326,7 +360,7 @@ def read_header(path: str) -> tuple[dict, str, bytes, int]:
     codec = meta.get("avro.codec", b"null").decode()
     if codec not in CODECS:
         raise ValueError(f"{path}: codec {codec} is not one of {CODECS}")
-    return json.loads(meta["avro.schema"]), codec, sync, data.tell()
+    return json.loads(meta["avro.schema"]), codec, sync, data.at
 
 
 class _Cursor:
@@ -339,12 +373,17 @@ class _Cursor:
     def tell(self) -> int:
         return self.base + self.at
 
-    def read(self, n: int) -> bytes:
+    def fill(self, n: int) -> bool:
+        """Have ``n`` bytes in the buffer, or all that are left; false at the end."""
         missing = n - (len(self.buffer) - self.at)
         if missing > 0:
             self.base += self.at
             self.buffer = self.buffer[self.at:] + self.file.read(max(READ_BYTES, missing))
             self.at = 0
+        return len(self.buffer) > self.at
+
+    def read(self, n: int) -> bytes:
+        self.fill(n)
         out = self.buffer[self.at:self.at + n]
         self.at += len(out)
         return out
@@ -375,10 +414,8 @@ def read_blocks(part: FilePart) -> Iterator[tuple[dict, int, bytes]]:
         if not cursor.find(sync):
             return
         while cursor.tell() - 16 < part.end:
-            probe = cursor.read(1)
-            if not probe:
+            if not cursor.fill(20):
                 return
-            cursor.at -= 1
             rows, size = get_long(cursor), get_long(cursor)
             data = cursor.read(size)
             if len(data) < size or cursor.read(16) != sync:
@@ -420,20 +457,25 @@ class _AvroReader(DataSourceReader):
         return parts or [FilePart("", 0, 0)]
 
     def read(self, partition: FilePart) -> Iterator[pa.RecordBatch]:
-        arrow = to_arrow_schema(self.schema)
-        rows: list[dict] = []
         if not partition.path:
             return
+        rows: list[tuple] = []
         get = None
         for schema, count, data in read_blocks(partition):
-            get = get or decoder(schema, {})
-            block = BytesIO(data)
+            get = get or row_decoder(schema, self.schema.names)
+            block = Bytes(data)
             rows += [get(block) for _ in range(count)]
             if len(rows) >= ROWS_PER_BATCH:
-                yield pa.RecordBatch.from_pylist(rows, arrow)
+                yield self._batch(rows)
                 rows = []
         if rows:
-            yield pa.RecordBatch.from_pylist(rows, arrow)
+            yield self._batch(rows)
+
+    def _batch(self, rows: list[tuple]) -> pa.RecordBatch:
+        arrow = to_arrow_schema(self.schema)
+        columns = zip(*rows, strict=True)
+        arrays = [pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
 
 class _AvroWriter(DataSourceWriter):

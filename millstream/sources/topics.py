@@ -98,12 +98,24 @@ def element_time(timestamp_attribute: str | None = None) -> Column:
     return F.coalesce(F.timestamp_millis(millis), F.col("publish_time"))
 
 
-def drop_repeats(df: DataFrame, id_column: str, time_column: str, delay: str) -> DataFrame:
-    """One message per id. A stream remembers an id for ``delay`` of event time and
-    keeps the first arrival; a table keeps the message with the earliest time."""
-    if df.isStreaming:
-        return df.withWatermark(time_column, delay).dropDuplicatesWithinWatermark([id_column])
-    return first_per_id(df, [id_column], F.col(time_column))
+def drop_repeats(
+    df: DataFrame, id_column: str, time_column: str, delay: str, salts: int = 0
+) -> DataFrame:
+    """One message per id. A stream remembers an id for ``delay`` of event time; a
+    table keeps the message with the earliest time.
+
+    On a stream ``salts`` spreads the repeats of a very frequent id over that many
+    tasks, each of which passes on one, before the final step sees them.
+    """
+    if not df.isStreaming:
+        return first_per_id(df, [id_column], F.col(time_column))
+    rows = df.withWatermark(time_column, delay)
+    if salts:
+        rows = (
+            rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+            .dropDuplicatesWithinWatermark([id_column, "_salt"]).drop("_salt")
+        )
+    return rows.dropDuplicatesWithinWatermark([id_column])
 
 
 def first_per_id(df: DataFrame, ids: list[str], order: Column) -> DataFrame:
