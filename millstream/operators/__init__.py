@@ -5,7 +5,9 @@ from .elements import (
     tag_constant,
 )
 from .grouping import count_per_key, fold_groups, group_by_key, having, sum_per_key
-from .pardo import DoFn, Tagged, par_do, par_do_tagged
+from .pardo import (
+    DoFn, Tagged, filter_rows, flat_map_rows, map_rows, par_do, par_do_tagged, tagged_output,
+)
 from .sessions import session_windows
 from .panes import count_panes, pane_state
 from .side_inputs import bounded_broadcast, side_list
@@ -16,8 +18,8 @@ from .windows import fixed_windows, sliding_windows, windowed
 __all__ = [
     "CombineFn", "DoFn", "Tagged", "bounded_broadcast", "chain", "cogroup", "cogroup_join",
     "combine_globally", "combine_per_key", "count_panes", "count_per_key", "exclude",
-    "filter_equals", "filter_in", "fixed_windows", "flat_map", "flatten", "fold_groups",
-    "group_by_key", "having", "key_value", "labelled", "map_columns", "output", "pane_state",
+    "filter_equals", "filter_in", "filter_rows", "flat_map_rows", "fixed_windows", "flat_map", "flatten", "fold_groups",
+    "group_by_key", "having", "key_value", "labelled", "map_columns", "map_rows", "output", "pane_state",
     "par_do", "par_do_tagged", "session_windows", "side_list", "sliding_windows", "struct_key",
-    "sum_per_key", "tag_constant", "tag_rows", "typed", "windowed",
+    "sum_per_key", "tag_constant", "tag_rows", "tagged_output", "typed", "windowed",
 ]

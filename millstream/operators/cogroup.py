@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .grouping import CHUNK_ROWS, chunk_column
+from .side_inputs import MAX_BROADCAST_ROWS
 
 
 def cogroup(
@@ -47,10 +48,26 @@ def cogroup_join(
     return left.join(right, list(keys), how)
 
 
-def exclude(df: DataFrame, excluded: DataFrame, keys: Sequence[str]) -> DataFrame:
+def exclude(
+    df: DataFrame,
+    excluded: DataFrame,
+    keys: Sequence[str],
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+) -> DataFrame:
     """Rows of ``df`` whose key is not in ``excluded``. A row with a NULL key is
-    kept, unlike with ``NOT IN``."""
-    return df.join(excluded.select(*keys), list(keys), "left_anti")
+    kept, unlike with ``NOT IN``.
+
+    A list of up to ``max_broadcast_rows`` keys is broadcast. A longer one is joined
+    by shuffle, as an outer join of which the rows without a partner stay: the
+    optimiser would move an anti join below an aggregate of ``df``, and a hot key
+    would then be shuffled before it is aggregated.
+    """
+    keys = list(keys)
+    listed = excluded.select(*keys).distinct()
+    if listed.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
+        return df.join(F.broadcast(listed), keys, "left_anti")
+    marked = listed.withColumn("_listed", F.lit(True))
+    return df.join(marked, keys, "left").where(F.col("_listed").isNull()).drop("_listed")
 
 
 def flatten(*frames: DataFrame) -> DataFrame:

@@ -52,6 +52,28 @@ def par_do(
     return df.mapInArrow(_runner(fn, list(df.columns), result, args, kwargs, None), result)
 
 
+def map_rows(df: DataFrame, fn: Callable[..., Any], schema: str, *args: Any) -> DataFrame:
+    """One result per row."""
+    return par_do(df, lambda element, *extra: [fn(element, *extra)], schema, *args)
+
+
+def flat_map_rows(
+    df: DataFrame, fn: Callable[..., Iterable[Any]], schema: str, *args: Any
+) -> DataFrame:
+    """All results of every row."""
+    return par_do(df, fn, schema, *args)
+
+
+def filter_rows(df: DataFrame, predicate: Callable[..., bool], *args: Any) -> DataFrame:
+    """The rows for which a function of the caller holds."""
+    schema = df.schema
+
+    def keep(element: Any, *extra: Any) -> list[Any]:
+        return [element] if predicate(element, *extra) else []
+
+    return df.mapInArrow(_runner(keep, list(df.columns), schema, args, {}, None), schema)
+
+
 def par_do_tagged(
     df: DataFrame,
     fn: DoFn | Process,

@@ -85,11 +85,15 @@ def attendance_with_exclusions(
     upper: int | None = 10,
 ) -> DataFrame:
     """Count per (id, name) in one department, without the excluded ids and with the
-    length of the name within closed bounds; no ``upper`` means no upper bound."""
+    length of the name within closed bounds; no ``upper`` means no upper bound.
+
+    Ids are excluded after counting: each id is then looked up once, however many
+    records it has.
+    """
     length = F.length("name")
     fits = length >= lower if upper is None else length.between(lower, upper)
     kept = records.where(fits & (F.col("dept") == dept))
-    return count_per_key(exclude(kept, exclusions, ["id"]), ["id", "name"])
+    return exclude(count_per_key(kept, ["id", "name"]), exclusions, ["id"])
 
 
 def names_by_kind(names: DataFrame, cutoff_length: int = 4, marker: str = "K") -> DataFrame:

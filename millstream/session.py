@@ -26,6 +26,8 @@ def get_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # split a skewed join also where a later step then needs one more shuffle
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # sessions of one key are merged before the shuffle of a micro-batch
         "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",

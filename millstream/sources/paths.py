@@ -9,6 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+def load_or_none(load: Callable[[], DataFrame], validate: bool) -> DataFrame | None:
+    """Run ``load``; with ``validate=False`` a missing path gives None."""
+    try:
+        return load()
+    except AnalysisException as error:
+        if validate or error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def load_or_empty(
     spark: SparkSession,
     load: Callable[[], DataFrame],
@@ -16,12 +26,8 @@ def load_or_empty(
     empty_schema: StructType | str,
 ) -> DataFrame:
     """Run ``load``; with ``validate=False`` a missing path gives an empty frame."""
-    try:
-        return load()
-    except AnalysisException as error:
-        if validate or error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], empty_schema)
+    df = load_or_none(load, validate)
+    return spark.createDataFrame([], empty_schema) if df is None else df
 
 
 def set_split_bytes(spark: SparkSession, split_bytes: int | None) -> None:

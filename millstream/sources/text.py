@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .paths import load_or_empty, set_split_bytes
+from .paths import load_or_empty, load_or_none, set_split_bytes
 
 
 def read_text(
@@ -33,8 +33,10 @@ def read_text(
     reader = spark.read
     if line_separator:
         reader = reader.option("lineSep", line_separator)
-    lines = load_or_empty(spark, lambda: reader.text(path), validate, "value string")
-    if skip_header_lines and lines.inputFiles():
+    lines = load_or_none(lambda: reader.text(path), validate)
+    if lines is None:
+        return spark.createDataFrame([], "value string")
+    if skip_header_lines:
         lines = _skip_headers(lines, skip_header_lines)
     if not strip_trailing_newlines:
         lines = lines.select(F.concat("value", F.lit(line_separator)).alias("value"))

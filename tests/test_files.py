@@ -105,6 +105,15 @@ def test_text_sink_without_line_ends(spark, scratch):
         assert f.read() == b"abcd"
 
 
+def test_text_sink_with_suffix(spark, scratch):
+    path = scratch()
+    sinks.write_text(sources.create(spark, ["a", "", "b"], "value string"), path,
+                     file_name_suffix=".log", num_shards=2, compression="gzip")
+    names = os.listdir(local(path))
+    assert len([n for n in names if n.endswith(".log.gz")]) == 2
+    assert values(sources.read_text(spark, f"{path}/*.gz")) == ["", "a", "b"]
+
+
 def test_parquet_schema_codec_and_pruning(spark, scratch):
     df = sources.create(spark, [(1, "a", 2.0), (2, "b", 3.0)], "x int, y string, z double")
     path = scratch()

@@ -83,6 +83,16 @@ def test_par_do(spark):
     assert nothing.count() == 0
 
 
+def test_row_functions(spark):
+    df = create(spark, [("a b", 2), ("c", None)], "t string, n int")
+    assert rows(op.map_rows(df, lambda e, k: (e.t.upper(), (e.n or 0) + k), "t string, n int", 1)
+                ) == [("A B", 3), ("C", 1)]
+    assert rows(op.flat_map_rows(df, lambda e: e.t.split(), "w string")) == [
+        ("a",), ("b",), ("c",)]
+    kept = op.filter_rows(df, lambda e: e.n is None)
+    assert kept.schema == df.schema and rows(kept) == [("c", None)]
+
+
 def test_par_do_tagged(spark):
     df = create(spark, [(i,) for i in range(6)], "n int")
 
@@ -271,6 +281,11 @@ def test_joins_and_exclusion(spark):
     assert rows(op.exclude(left, right, ["k"])) == [("b", 3), (None, 4)]
     with_null = right.unionAll(create(spark, [(None, 1)], "k string, w int"))
     assert rows(op.exclude(left, with_null, ["k"])) == [("b", 3), (None, 4)]
+    by_shuffle = op.exclude(left, with_null, ["k"], max_broadcast_rows=1)
+    assert rows(by_shuffle) == [("b", 3), (None, 4)] and by_shuffle.columns == ["k", "v"]
+    counted = op.exclude(op.count_per_key(left, ["k"]), right, ["k"], max_broadcast_rows=0)
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftOuter") < plan.index("Aggregate")
 
 
 def test_broadcast_only_below_the_bound(spark):
