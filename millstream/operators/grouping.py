@@ -7,10 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-from .side_inputs import bounded_broadcast
+from .hot_keys import hot_keys, with_hot_rows
 
-# Largest number of rows that one output row of a group may hold.
+# About the largest number of rows that one output row of a group may hold.
 CHUNK_ROWS = 100_000
 
 
@@ -35,35 +34,21 @@ def having(condition: Column) -> Callable[[DataFrame], DataFrame]:
 def chunk_column(
     rows: DataFrame, key_rows: DataFrame, keys: Sequence[str], chunk_rows: int
 ) -> DataFrame:
-    """Add ``chunk``: 0 for every key with at most ``chunk_rows`` rows; the rows of
-    a larger key are spread over about ``rows / chunk_rows`` chunks.
-
-    The large keys are found by a count that reads the key columns only. Their
-    table has at most ``all rows / chunk_rows`` rows; it is broadcast if small
-    enough and joined by shuffle otherwise. Without large keys nothing is joined.
-    A row's chunk follows from its content and from the partition it is read in
-    (which parts equal rows). Both stay the same when a lost task runs again,
-    whatever the order of its rows.
+    """Add ``chunk``: 0 for every key with at most about ``chunk_rows`` rows; the rows
+    of a larger key are spread over about ``rows / chunk_rows`` chunks.
+
+    Without large keys nothing is joined. A row's chunk follows from its content and
+    from the partition it is read in (which parts equal rows). Both stay the same
+    when a lost task runs again, whatever the order of its rows.
     """
-    keys = list(keys)
-    large = (
-        key_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > chunk_rows)
-        .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                F.ceil(F.col("_n") / F.lit(chunk_rows)).cast("int").alias("_chunks"))
-    )
-    large = cut_lineage(large)
-    if large.isEmpty():
+    hot = hot_keys(key_rows, keys, chunk_rows)
+    if hot is None:
         return rows.withColumn("chunk", F.lit(0))
-    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    chunks = F.ceil(F.col("_rows") / F.lit(chunk_rows)).cast("int")
     content = [f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
-    spread = F.pmod(F.xxhash64("_part", *content), F.col("_chunks")).cast("int")
-    return (
-        rows.withColumn("_part", F.spark_partition_id())
-        .join(bounded_broadcast(large), same, "left")
-        .withColumn("chunk", F.coalesce(spread, F.lit(0)))
-        .select(*rows.columns, "chunk")
-    )
+    spread = F.pmod(F.xxhash64("_part", *content), chunks).cast("int")
+    placed = with_hot_rows(rows.withColumn("_part", F.spark_partition_id()), hot, keys)
+    return placed.withColumn("chunk", F.coalesce(spread, F.lit(0))).select(*rows.columns, "chunk")
 
 
 def group_by_key(
@@ -75,7 +60,7 @@ def group_by_key(
 ) -> DataFrame:
     """All values of a key as a list, in no particular order.
 
-    A group of up to ``chunk_rows`` values is one row with ``chunk`` 0. A larger
+    A group of up to about ``chunk_rows`` values is one row with ``chunk`` 0. A larger
     one comes as several rows that together hold every value, so that no task and
     no row has to hold a hot key whole.
     """

@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType, TimestampNTZType, TimestampType
 
-# Width of the slices of arrival order in which positions are counted.
+from .hot_keys import hot_keys, with_hot_rows
+
+# Keys with more rows than this are counted in slices of the arrival order, so wide:
+HOT_ROWS = 1_000_000
 SLICE_NUMBERS = 1_000_000
 SLICE_TIME = "1 minute"
 
@@ -22,10 +25,11 @@ def count_panes(
     size: int = 5,
     name: str = "total",
     slice_column: Column | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The full panes: keys, ``pane`` (from 0) and the sum of its values. ``order``
     must put the rows of a key in one definite order."""
-    sums = pane_sums(df, keys, order, value, size, name, slice_column)
+    sums = pane_sums(df, keys, order, value, size, name, slice_column, hot_rows)
     return sums.where(F.col("n") == size).drop("n")
 
 
@@ -37,49 +41,68 @@ def pane_sums(
     size: int,
     name: str,
     slice_column: Column | None = None,
+    hot_rows: int = HOT_ROWS,
     state: DataFrame | None = None,
 ) -> DataFrame:
     """Keys, ``pane``, row count ``n`` and sum of all panes, full or not; with
     ``state`` (of ``pane_state``) the panes go on where an earlier table ended.
 
-    A row's position under its key is its rank within a slice of the arrival order
-    plus the rows of all earlier slices. Ranks are taken per key *and* slice, so a
-    hot key is ranked by many tasks; the offsets come from a small table of counts.
-    Key and slice travel as structs, which are never NULL and so join in any case.
+    The pane of a row follows from its rank under its key. A key with more than
+    about ``hot_rows`` rows is ranked by several tasks, one per slice of the arrival
+    order; where a slice starts follows from a small table of row counts. The start
+    reaches the rows as one marker row that sorts before them, so there is no join,
+    and without hot keys and state there is one shuffle only.
     """
-    part = slice_column if slice_column is not None else _slice(df, order[0])
-    rows = df.select(
-        F.struct(*keys).alias("_k"), F.struct(part).alias("_slice"), *order, F.col(value).alias("_v")
-    )
-    before = Window.partitionBy("_k").orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy("_k", "_slice").agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_k", "_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    )
-    first_pane = F.lit(0)
+    keys = list(keys)
+    rows = df.select(*keys, *order, F.col(value).alias("_value"))
+    part = F.struct((_slice(df, order[0]) if slice_column is None else slice_column).alias("at"))
+    no_slice = F.lit(None).cast(df.select(part.alias("s")).schema["s"].dataType)
+    hot = hot_keys(df, keys, hot_rows)
+    if hot is None:
+        placed = rows.withColumn("_slice", no_slice)
+    else:
+        sliced = df.select(*keys, *order, F.col(value).alias("_value"), part.alias("_at"))
+        placed = with_hot_rows(sliced, hot, keys).select(
+            *rows.columns, F.when(F.col("_rows").isNotNull(), F.col("_at")).alias("_slice"))
+
+    starts = []
     if state is not None:
-        pending = state.select(
-            F.struct(*keys).alias("_k"), F.col("pane").alias("_pane0"), F.col("n").alias("_n0"))
-        offsets = offsets.join(pending, "_k", "left").select(
-            "_k", "_slice",
-            (F.col("_offset") + F.coalesce("_n0", F.lit(0))).alias("_offset"),
-            F.coalesce("_pane0", F.lit(0)).alias("_pane0"),
+        begun = state.select(
+            *keys, no_slice.alias("_slice"), (F.col("pane") * size + F.col("n")).alias("_start"))
+        starts.append(begun)
+    if hot is not None:
+        counts = placed.where(F.col("_slice").isNotNull()).groupBy(*keys, "_slice").agg(
+            F.count(F.lit(1)).alias("_start"))
+        if state is not None:
+            counts = counts.unionByName(
+                with_hot_rows(begun, hot, keys).where(F.col("_rows").isNotNull()).drop("_rows"))
+        before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(
+            Window.unboundedPreceding, -1)
+        starts.append(
+            counts.withColumn("_start", F.coalesce(F.sum("_start").over(before), F.lit(0)))
+            .where(F.col("_slice").isNotNull()))
+
+    in_order = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    position = F.row_number().over(in_order) - 1
+    if starts:
+        placed = placed.withColumns({"_start": F.lit(None).cast("bigint"), "_mark": F.lit(0)})
+        for start in starts:
+            placed = placed.unionByName(
+                start.withColumn("_mark", F.lit(1)), allowMissingColumns=True)
+        in_order = Window.partitionBy(*keys, "_slice").orderBy(F.desc("_mark"), *order)
+        position = (
+            F.row_number().over(in_order) - 1 - F.first("_mark").over(in_order)
+            + F.coalesce(F.first("_start").over(in_order), F.lit(0))
         )
-        first_pane = F.col("_pane0")
-    rank = F.row_number().over(Window.partitionBy("_k", "_slice").orderBy(*order))
-    placed = rows.withColumn("_rank", rank).join(offsets, ["_k", "_slice"])
-    pane = first_pane + F.call_function(
-        "div", F.col("_offset") + F.col("_rank") - 1, F.lit(size))
-    items = placed.select("_k", pane.cast("bigint").alias("pane"), F.lit(1).alias("_one"), "_v")
+    items = placed.withColumn("_position", position)
+    if starts:
+        items = items.where(F.col("_mark") == 0)
+    items = items.select(
+        *keys, F.call_function("div", F.col("_position"), F.lit(size)).alias("pane"),
+        F.lit(1).cast("bigint").alias("n"), F.col("_value").alias(name))
     if state is not None:
-        items = items.unionAll(
-            state.select(F.struct(*keys).alias("_k"), "pane", "n", F.col(name).alias("_v")))
-    return (
-        items.groupBy("_k", "pane")
-        .agg(F.sum("_one").alias("n"), F.sum("_v").alias(name))
-        .select("_k.*", "pane", "n", name)
-    )
+        items = items.unionByName(state.select(*keys, "pane", "n", name))
+    return items.groupBy(*keys, "pane").agg(F.sum("n").alias("n"), F.sum(name).alias(name))
 
 
 def pane_state(sums: DataFrame, keys: Sequence[str], size: int, name: str = "total") -> DataFrame:

@@ -358,11 +358,12 @@ def test_window_sums_add_up(spark, data):
 
 
 @few
-@given(events, st.sampled_from([1, 3, 5]), st.sampled_from([2, 7, 1000]))
-def test_panes_against_brute_force(spark, data, size, slice_width):
+@given(events, st.sampled_from([1, 3, 5]), st.sampled_from([2, 7]), st.sampled_from([1, 12, 1000]))
+def test_panes_against_brute_force(spark, data, size, slice_width, hot_rows):
     df = timed(spark, data).repartition(3)
     by_slice = F.floor(F.col("seq") / slice_width)
-    got = op.count_panes(df, ["k"], ["seq"], "v", size, slice_column=by_slice)
+    got = op.count_panes(
+        df, ["k"], ["seq"], "v", size, slice_column=by_slice, hot_rows=hot_rows)
     expected = []
     for k in "ab":
         values = [v for key, _, v in data if key == k]
@@ -372,23 +373,44 @@ def test_panes_against_brute_force(spark, data, size, slice_width):
 
 
 @few
-@given(events, st.integers(0, 40))
-def test_panes_go_on_from_a_state(spark, data, cut):
+@given(events, st.integers(0, 40), st.sampled_from([1, 8, 1000]))
+def test_panes_go_on_from_a_state(spark, data, cut, hot_rows):
     from millstream.operators.panes import pane_sums
 
     df = timed(spark, data)
-    first = pane_sums(df.where(F.col("seq") < cut), ["k"], ["seq"], "v", 5, "total")
+    by_slice = F.floor(F.col("seq") / 3)
+    first = pane_sums(df.where(F.col("seq") < cut), ["k"], ["seq"], "v", 5, "total",
+                      by_slice, hot_rows)
     state = op.pane_state(first, ["k"], 5)
-    second = pane_sums(
-        df.where(F.col("seq") >= cut), ["k"], ["seq"], "v", 5, "total", state=state)
+    second = pane_sums(df.where(F.col("seq") >= cut), ["k"], ["seq"], "v", 5, "total",
+                       by_slice, hot_rows, state=state)
     parts = first.unionByName(second).where("n = 5").drop("n")
     assert rows(parts) == rows(op.count_panes(df, ["k"], ["seq"], "v", 5))
 
 
+def test_panes_without_hot_keys_shuffle_once(spark):
+    df = spark.range(100).select((F.col("id") % 3).alias("k"), "id", F.lit(1).alias("v"))
+    plan = op.count_panes(df, ["k"], ["id"], "v")._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("Exchange hashpartitioning") == 1
+
+
+def test_hot_keys_are_found_by_sample(spark):
+    from millstream.operators.hot_keys import hot_keys, key_hash
+
+    df = spark.range(300_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).alias("k"))
+    hot = hot_keys(df, ["k"], 20_000)
+    want = df.where("k is null").limit(1).select(key_hash(["k"])).collect()[0][0]
+    assert [r[0] for r in hot.select("_key_hash").collect()] == [want]
+    assert abs(hot.collect()[0]["_rows"] - 100_000) < 5_000
+    assert hot_keys(df.where("k is not null"), ["k"], 20_000) is None
+
+
 def test_panes_keep_rows_without_key_or_time(spark):
     data = [(None, None, 1), (None, T0, 2), ("a", T0, 3)]
     df = create(spark, data, "k string, ts timestamp_ntz, v int")
-    got = op.count_panes(df, ["k"], ["ts", "v"], "v", 2)
-    assert rows(got) == [(None, 0, 3)]
+    for hot_rows in (1, 1000):
+        got = op.count_panes(df, ["k"], ["ts", "v"], "v", 2, hot_rows=hot_rows)
+        assert rows(got) == [(None, 0, 3)]
     with pytest.raises(TypeError):
         op.count_panes(df, ["v"], ["k"], "v", 2)
