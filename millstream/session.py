@@ -75,6 +75,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the shared checkpoint folder."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` computed once, as a table in the shared scratch folder."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -28,16 +28,9 @@ def read_parquet(
     return df.select(*columns) if columns else df
 
 
-def avro_format(spark: SparkSession) -> str:
-    """``avro`` where Spark's module is on the class path, else the Python source."""
-    try:
-        spark.read.format("avro").schema("x int").load("/")
-        return "avro"
-    except AnalysisException as error:
-        if error.getCondition() != "DATA_SOURCE_NOT_FOUND" and "avro" not in str(error).lower():
-            return "avro"
-    spark.dataSource.register(AvroContainer)
-    return AvroContainer.name()
+def avro_module_missing(error: AnalysisException) -> bool:
+    """Spark's own Avro module is not on the class path."""
+    return "data source: avro" in str(error) or error.getCondition() == "DATA_SOURCE_NOT_FOUND"
 
 
 def read_avro(
@@ -48,14 +41,17 @@ def read_avro(
     validate: bool = True,
     schema: str | None = None,
 ) -> DataFrame:
-    """Avro container files; blocks of one file can go to several tasks."""
+    """Avro container files; blocks of one file can go to several tasks. Read with
+    Spark's module where it is there, else with the package's data source."""
     set_split_bytes(spark, split_bytes)
-    fmt = avro_format(spark)
-    if fmt == "avro":
+    try:
         return load_or_empty(
-            spark, lambda: spark.read.format("avro").load(path), validate, schema or ""
-        )
-    reader = spark.read.format(fmt).option("validate", validate)
+            spark, lambda: spark.read.format("avro").load(path), validate, schema or "")
+    except AnalysisException as error:
+        if not avro_module_missing(error):
+            raise
+    spark.dataSource.register(AvroContainer)
+    reader = spark.read.format(AvroContainer.name()).option("validate", validate)
     if split_bytes:
         reader = reader.option("splitBytes", split_bytes)
     if schema:

@@ -1,8 +1,7 @@
-from .dedup import drop_repeats
 from .panes import count_trigger, read_panes
 from .runner import run_available, sentinel_message, stream_to_table
 
 __all__ = [
-    "count_trigger", "drop_repeats", "read_panes", "run_available", "sentinel_message",
+    "count_trigger", "read_panes", "run_available", "sentinel_message",
     "stream_to_table",
 ]
