@@ -24,9 +24,10 @@ from ..streaming import (
 )
 from .registry import query
 from .tables import event_records
-from .window_queries import FIXED_SQL, PANES_SQL, SESSION_SQL, SLIDING_SQL
+from .window_queries import ARRIVAL_SQL, FIXED_SQL, PANES_SQL, SESSION_SQL, SLIDING_SQL
 
-EVENT_JSON = "event_id bigint, user_id bigint, event_type string, cents bigint"
+EVENT_FIELDS = ["event_id", "user_id", "event_type", "cents", "at"]
+EVENT_JSON = "event_id bigint, user_id bigint, event_type string, cents bigint, at bigint"
 SENTINEL = "sentinel"
 FAR_FUTURE = "2200-01-01 00:00:00"
 NO_ZONE = "timestamp_ntz"
@@ -58,32 +59,37 @@ def new_topic(spark: SparkSession, name: str) -> Topic:
     return Topic(spark, f"{base}/topic", f"{base}/result", f"{base}/checkpoint")
 
 
-def event_messages(events: DataFrame, message_id: Column | None = None) -> DataFrame:
-    payload = to_bytes(F.to_json(F.struct("event_id", "user_id", "event_type", "cents")))
+def event_messages(
+    events: DataFrame, message_id: Column | None = None, publish_time: Column | None = None
+) -> DataFrame:
+    """Events as messages. The record holds its event time (``at``, microseconds since
+    the epoch); the message is published then, or at ``publish_time``."""
+    timed = events.withColumn("at", F.unix_micros(F.col("ts").cast("timestamp")))
     return to_messages(
-        events, payload,
+        timed, to_bytes(F.to_json(F.struct(*EVENT_FIELDS))),
         message_id=F.col("event_id") if message_id is None else message_id,
-        publish_time=F.col("ts"))
+        publish_time=F.col("ts") if publish_time is None else publish_time)
 
 
-def decoded(messages: DataFrame) -> DataFrame:
-    """Messages as event rows with ``ts``, their element time."""
+def decoded(messages: DataFrame, from_record: bool = False) -> DataFrame:
+    """Messages as event rows with ``ts``: the time in the record, or that of the message."""
     row = F.from_json(from_bytes("data"), EVENT_JSON)
-    return messages.select(F.col("element_time").alias("ts"), "message_id", row.alias("e")).select(
-        "ts", "message_id", "e.*")
+    rows = messages.select("element_time", "message_id", row.alias("e"))
+    time = F.timestamp_micros("e.at") if from_record else F.col("element_time")
+    return rows.select(time.alias("ts"), "message_id", "e.*").drop("at")
 
 
 def close(topic: Topic) -> None:
-    payload = to_bytes(F.to_json(F.struct(
-        F.lit(-1).alias("event_id"), F.lit(-1).alias("user_id"),
-        F.lit(SENTINEL).alias("event_type"), F.lit(0).alias("cents"))))
+    fields = {"event_id": F.lit(-1), "user_id": F.lit(-1), "event_type": F.lit(SENTINEL),
+              "cents": F.lit(0), "at": F.unix_micros(F.lit(FAR_FUTURE).cast("timestamp"))}
+    payload = to_bytes(F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()])))
     publish(sentinel_message(topic.spark, payload, FAR_FUTURE, message_id=F.lit(SENTINEL)),
             topic.uri)
 
 
 def through_windows(
     spark: SparkSession, name: str, batches: list[DataFrame], delay: str,
-    step: Callable[[DataFrame], DataFrame],
+    step: Callable[[DataFrame], DataFrame], from_record: bool = False,
 ) -> DataFrame:
     """Publish each batch and consume it before the next one; the stream starts anew
     from its checkpoint each time. Ends with the sentinel, whose own windows are
@@ -91,11 +97,12 @@ def through_windows(
     topic = new_topic(spark, name)
 
     def consume() -> None:
-        rows = decoded(topic.read()).withWatermark("ts", delay)
+        rows = decoded(topic.read(), from_record).withWatermark("ts", delay)
         run_available(stream_to_table(step(rows), topic.result, topic.checkpoint))
 
     for batch in batches:
-        publish(event_messages(batch), topic.uri)
+        sent = F.current_timestamp() if from_record else None
+        publish(event_messages(batch, publish_time=sent), topic.uri)
         consume()
     close(topic)
     consume()
@@ -117,9 +124,19 @@ def stream_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(FIXED_SQL)
 def stream_fixed_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By the time in the record; when the message was sent plays no part."""
     return through_windows(
         spark, "fixed", [event_records(spark, sf_dir)], "1 hour",
-        lambda rows: op.fixed_windows(rows, ["event_type"], "ts", "cents", "1 hour"))
+        lambda rows: op.fixed_windows(rows, ["event_type"], "ts", "cents", "1 hour"),
+        from_record=True)
+
+
+@query(ARRIVAL_SQL)
+def stream_arrival_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By the time of the message."""
+    return through_windows(
+        spark, "arrival", [event_records(spark, sf_dir)], "1 hour",
+        lambda rows: op.fixed_windows(rows, ["user_id"], "ts", "cents", "1 day"))
 
 
 @query(SLIDING_SQL)

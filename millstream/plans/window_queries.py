@@ -19,6 +19,13 @@ SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL
 FROM events GROUP BY ALL
 """
 
+ARRIVAL_SQL = f"""
+SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start,
+       time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
+       user_id, CAST(sum({CENTS}) AS BIGINT) AS total
+FROM events GROUP BY ALL
+"""
+
 SLIDING_SQL = f"""
 SELECT window_start, window_start + INTERVAL 2 HOUR AS window_end, event_type,
        CAST(sum({CENTS}) AS BIGINT) AS total
@@ -56,12 +63,7 @@ def fixed_window_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.fixed_windows(event_records(spark, sf_dir), ["event_type"], "ts", "cents", "1 hour")
 
 
-@query(f"""
-SELECT time_bucket(INTERVAL 1 DAY, ts) AS window_start,
-       time_bucket(INTERVAL 1 DAY, ts) + INTERVAL 1 DAY AS window_end,
-       user_id, CAST(sum({CENTS}) AS BIGINT) AS total
-FROM events GROUP BY ALL
-""")
+@query(ARRIVAL_SQL)
 def fixed_window_arrival_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrived = event_records(spark, sf_dir).withColumnRenamed("ts", "publish_time")
     return op.fixed_windows(arrived, ["user_id"], "publish_time", "cents", "1 day")

@@ -21,25 +21,27 @@ def read_text(
     split_bytes: int | None = None,
     validate: bool = True,
 ) -> DataFrame:
-    """One row ``value`` per line; ``path`` may hold globs.
+    """One row ``value`` per line; ``path`` may hold globs. Lines end with a line feed,
+    which a carriage return may precede, or with ``line_separator``.
 
     Compressed files are recognised by their extension. Without
     ``strip_trailing_newlines`` each value keeps its line end; a file whose last
     line has none gets one.
     """
     set_split_bytes(spark, split_bytes)
-    if not strip_trailing_newlines:
-        line_separator = line_separator or "\n"
-    reader = spark.read
-    if line_separator:
-        reader = reader.option("lineSep", line_separator)
+    ending = line_separator or "\n"
+    reader = spark.read.option("lineSep", ending)
     lines = load_or_none(lambda: reader.text(path), validate)
     if lines is None:
         return spark.createDataFrame([], "value string")
     if skip_header_lines:
         lines = _skip_headers(lines, skip_header_lines)
     if not strip_trailing_newlines:
-        lines = lines.select(F.concat("value", F.lit(line_separator)).alias("value"))
+        return lines.select(F.concat("value", F.lit(ending)).alias("value"))
+    if line_separator is None:
+        bare = F.expr("left(value, length(value) - 1)")
+        lines = lines.select(
+            F.when(F.endswith("value", F.lit("\r")), bare).otherwise(F.col("value")).alias("value"))
     return lines
 
 

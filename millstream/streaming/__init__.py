@@ -1,7 +1,8 @@
 from .panes import count_trigger, read_panes
 from .runner import run_available, sentinel_message, stream_to_table
+from .stateful import count_panes_stateful
 
 __all__ = [
-    "count_trigger", "read_panes", "run_available", "sentinel_message",
+    "count_panes_stateful", "count_trigger", "read_panes", "run_available", "sentinel_message",
     "stream_to_table",
 ]

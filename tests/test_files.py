@@ -51,6 +51,11 @@ def test_header_is_skipped_once_in_a_file_of_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_line_ends(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes(b"x\r\ny\rz\n\r\nlast\r")
+    assert values(sources.read_text(spark, str(tmp_path))) == ["", "last", "x", "y\rz"]
+
+
 def test_keep_line_ends(spark, tmp_path):
     (tmp_path / "a.txt").write_text("x\ny\n")
     assert values(sources.read_text(

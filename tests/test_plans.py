@@ -96,6 +96,17 @@ def test_card_points(spark, bonus, points):
     assert ("C1 Ann Lee 0",) in rows(cards.defaulter_lines(got))
 
 
+def test_cards_from_file_to_file(spark, scratch, tmp_path):
+    from millstream.sinks import write_text
+    from millstream.sources import read_text
+
+    (tmp_path / "cards.txt").write_text("a,b,c,d,e,f,g,h,i,j\r\n" + CARDS.strip().replace("\n", "\r\n"))
+    found = layouts.card_rows(read_text(spark, str(tmp_path), skip_header_lines=1))
+    path = scratch("points")
+    write_text(cards.defaulter_lines(cards.card_defaulters(found)), path, num_shards=1)
+    assert ("C5 Ed Poe 3",) in rows(read_text(spark, path))
+
+
 def loan(person, category, due, paid):
     return f"{person},F{person},L{person},X,7,{category},{due},100, {paid} "
 

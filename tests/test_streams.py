@@ -10,7 +10,7 @@ from millstream.sinks import publish, tap_stream, write_messages
 from millstream.sources import read_messages, to_messages
 from millstream.sources.topics import drop_repeats
 from millstream.streaming import (
-    count_trigger, read_panes, run_available, sentinel_message, stream_to_table,
+    count_panes_stateful, count_trigger, read_panes, run_available, sentinel_message, stream_to_table,
 )
 
 FUTURE = "2150-01-01 00:00:00"
@@ -117,6 +117,26 @@ def test_count_trigger_goes_on_over_batches_and_repeats_safely(spark, topic, scr
     assert rows(read_panes(spark, other)) == want
 
 
+def test_stateful_count_trigger(spark, topic, scratch):
+    text = "\n".join(f"S{i % 2 + 1},Mumbai,P,T,1,0,{i % 2 + 1}" for i in range(27))
+    messages = sale_messages(spark, text)
+    result, checkpoint = scratch("result"), scratch("checkpoint")
+    conf = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(conf)
+    spark.conf.set(
+        conf, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        for part in (F.unix_seconds("publish_time") < 1031, F.unix_seconds("publish_time") >= 1031):
+            publish(messages.where(part), topic)
+            kept = sales.sales_from_messages(read_messages(spark, topic=topic))
+            panes = count_panes_stateful(kept, ["store_id"], "profit")
+            run_available(stream_to_table(panes, result, checkpoint))
+    finally:
+        spark.conf.set(conf, before)
+    assert rows(spark.read.parquet(result)) == [
+        ("S1", 0, 5), ("S1", 1, 5), ("S2", 0, 10), ("S2", 1, 10)]
+
+
 @pytest.mark.parametrize("salts", [0, 3])
 def test_repeated_ids_on_a_stream(spark, topic, scratch, salts):
     ids = spark.range(400, numPartitions=4).select((F.col("id") % 7).cast("string").alias("i"))
