@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -86,5 +88,17 @@ def from_bytes(c: Column | str) -> Column:
     return F.decode(_col(c), "UTF-8")
 
 
+def encode_record(*cols: Column | str, separator: str = ":") -> Column:
+    """Fields of a record as bytes, for display and exchange; as a grouping key the
+    struct itself is better."""
+    return to_bytes(join_fields(separator, *cols))
+
+
+def decode_record(c: Column | str, names: Sequence[str], separator: str = ":") -> Column:
+    """The struct of text fields behind such bytes; the last field may hold separators."""
+    parts = F.split(from_bytes(c), f"\\Q{separator}\\E", len(names))
+    return F.struct(*[F.get(parts, F.lit(i)).alias(n) for i, n in enumerate(names)])
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c

@@ -13,6 +13,9 @@ from .side_inputs import bounded_broadcast
 # Rows that are looked at of a key that is just large enough.
 SAMPLED_ROWS = 2_000
 
+# A list of hot keys up to this length is kept in the plan, a longer one as a table.
+LISTED_KEYS = 10_000
+
 KEY_HASH = "_key_hash"
 
 
@@ -36,9 +39,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame | N
     if fraction < 1:
         hashes = hashes.sample(fraction, seed=20)
     estimate = (F.count(F.lit(1)) / F.lit(fraction)).alias("_rows")
-    large = cut_lineage(
-        hashes.groupBy(KEY_HASH).agg(estimate).where(F.col("_rows") > max_rows))
-    return None if large.isEmpty() else large
+    large = hashes.groupBy(KEY_HASH).agg(estimate).where(F.col("_rows") > max_rows)
+    listed = large.limit(LISTED_KEYS + 1).collect()
+    if len(listed) > LISTED_KEYS:
+        return cut_lineage(large)
+    return df.sparkSession.createDataFrame(listed, large.schema) if listed else None
 
 
 def with_hot_rows(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:

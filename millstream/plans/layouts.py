@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import to_day, to_float, to_int
-from ..functions.text import field, split_fields, strip_all
+from ..functions.text import field, fields_after, split_fields, strip_all
 
 # The fields of the files, in order.
 DEPARTMENT_FIELDS = ["id", "name", "salary", "dept", "date"]
@@ -33,6 +33,12 @@ def department_rows(lines: DataFrame, line: str = "value") -> DataFrame:
     return _named(lines, DEPARTMENT_FIELDS, [], F.col(line))
 
 
+def keyed_rows(lines: DataFrame, line: str = "value") -> DataFrame:
+    """The first field as ``key``, the others as the array ``fields``."""
+    split = lines.select(split_fields(line).alias("_f"))
+    return split.select(field("_f", 0).alias("key"), fields_after("_f", 0).alias("fields"))
+
+
 def card_rows(lines: DataFrame, line: str = "value", on_error: str = "raise") -> DataFrame:
     rows = _named(lines, CARD_FIELDS, [], F.col(line))
     for amount in ("max_credit_limit", "total_spent", "cleared_amount"):

@@ -53,6 +53,13 @@ def test_bytes_roundtrip(spark):
     assert one(spark, "grüße 日", text.from_bytes(text.to_bytes("c"))) == "grüße 日"
 
 
+def test_record_bytes(spark):
+    df = spark.createDataFrame([(7, "a:b")], "id int, name string")
+    coded = df.select(text.encode_record("id", "name").alias("c"))
+    assert bytes(coded.collect()[0][0]) == b"7:a:b"
+    assert rows(coded.select(text.decode_record("c", ["id", "name"]))) == [(("7", "a:b"),)]
+
+
 def test_numbers(spark):
     assert one(spark, " 42\r", numbers.to_int("c")) == 42
     assert one(spark, "-7", numbers.to_int("c")) == -7

@@ -70,6 +70,18 @@ def test_salary_per_employee(spark):
     assert ("1", "Kim", 200) in rows(got) and ("4", "Joe", 400) in rows(got)
 
 
+def test_employees_with_locations(spark):
+    from millstream.operators import cogroup
+
+    places = create(spark, ["1,Pune,2nd floor", "9,Goa", "1,Delhi"], "value string")
+    groups = cogroup({"dep_data": layouts.keyed_rows(lines(spark, DEPT)),
+                      "loc_data": layouts.keyed_rows(places)}, ["key"])
+    got = {r["key"]: (len(r["dep_data"]), sorted(f[0] for f in r["loc_data"]))
+           for r in groups.collect()}
+    assert got["1"] == (2, [["Delhi"], ["Pune", "2nd floor"]])
+    assert got["9"] == (0, [["Goa"]]) and got["2"] == (1, [])
+
+
 def test_word_count(spark):
     text = create(spark, ["..The cat, the CAT", "", "cat's 9 lives-"], "value string")
     counts = words.word_count(text)
