@@ -34,6 +34,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame | N
     tasks and never which rows are used. The result has at most about (all rows /
     ``max_rows``) rows and is fixed once computed.
     """
+    if df.isStreaming:
+        raise ValueError("keys cannot be counted ahead on a stream; see millstream.streaming")
     fraction = min(1.0, SAMPLED_ROWS / max_rows)
     hashes = df.select(key_hash(keys).alias(KEY_HASH))
     if fraction < 1:

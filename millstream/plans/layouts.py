@@ -24,13 +24,30 @@ SALE_FIELDS = [
 ]
 
 
-def _named(lines: DataFrame, names: list[str], keep: list[str], line: Column) -> DataFrame:
-    split = lines.select(*keep, split_fields(line).alias("_f"))
+def _named(
+    lines: DataFrame, names: list[str], keep: list[str], line: Column,
+    fewest: int, most: int | None, on_error: str,
+) -> DataFrame:
+    """Lines with between ``fewest`` and ``most`` fields as named text columns. Other
+    lines stop the job or, with ``"drop"`` and ``"null"``, are left out."""
+    if on_error not in ("raise", "drop", "null"):
+        raise ValueError("on_error must be 'raise', 'drop' or 'null'")
+    fields = split_fields(line)
+    fits = F.size("_f") >= fewest
+    if most is not None:
+        fits = fits & (F.size("_f") <= most)
+    split = lines.select(*keep, fields.alias("_f"))
+    if on_error == "raise":
+        wrong = F.raise_error(F.concat(F.lit("wrong number of fields: "), F.array_join("_f", ",")))
+        split = split.select(*keep, F.when(~fits, wrong).otherwise(F.col("_f")).alias("_f"))
+    else:
+        split = split.where(fits)
     return split.select(*keep, *[field("_f", i).alias(n) for i, n in enumerate(names)])
 
 
-def department_rows(lines: DataFrame, line: str = "value") -> DataFrame:
-    return _named(lines, DEPARTMENT_FIELDS, [], F.col(line))
+def department_rows(lines: DataFrame, line: str = "value", on_error: str = "raise") -> DataFrame:
+    """Fields behind the fifth are not looked at; the date may be absent."""
+    return _named(lines, DEPARTMENT_FIELDS, [], F.col(line), 4, None, on_error)
 
 
 def keyed_rows(lines: DataFrame, line: str = "value") -> DataFrame:
@@ -40,14 +57,16 @@ def keyed_rows(lines: DataFrame, line: str = "value") -> DataFrame:
 
 
 def card_rows(lines: DataFrame, line: str = "value", on_error: str = "raise") -> DataFrame:
-    rows = _named(lines, CARD_FIELDS, [], F.col(line))
+    """``on_error="null"`` leaves amounts that do not parse NULL."""
+    rows = _named(lines, CARD_FIELDS, [], F.col(line), 10, 10, on_error)
     for amount in ("max_credit_limit", "total_spent", "cleared_amount"):
         rows = rows.withColumn(amount, to_float(amount, on_error))
     return rows
 
 
 def loan_rows(lines: DataFrame, line: str = "value", on_error: str = "raise") -> DataFrame:
-    rows = _named(lines, LOAN_FIELDS, [], F.col(line))
+    """``on_error="null"`` leaves dates that do not parse NULL."""
+    rows = _named(lines, LOAN_FIELDS, [], F.col(line), 9, 9, on_error)
     for day in ("due_date", "payment_date"):
         rows = rows.withColumn(day, to_day(strip_all(day), on_error=on_error))
     return rows
@@ -62,9 +81,10 @@ def sale_rows(
     if on_error not in ("raise", "drop"):
         raise ValueError("on_error must be 'raise' or 'drop'")
     line = F.col(line) if isinstance(line, str) else line
-    rows = _named(lines, SALE_FIELDS, keep or [], strip_all(line))
+    rows = _named(lines, SALE_FIELDS, keep or [], strip_all(line), 7, None, on_error)
     numbers = ["pieces", "buy_rate", "sell_price"]
-    cast = {n: to_int(n, "null" if on_error == "drop" else "raise") for n in numbers}
-    cast["unix_timestamp"] = to_int(strip_all("unix_timestamp"), "null")
+    rule = "null" if on_error == "drop" else "raise"
+    cast = {n: to_int(n, rule) for n in numbers}
+    cast["unix_timestamp"] = to_int(strip_all("unix_timestamp"), rule)
     rows = rows.withColumns(cast)
     return rows.dropna(subset=numbers) if on_error == "drop" else rows

@@ -121,7 +121,7 @@ def drop_repeats(
 def first_per_id(df: DataFrame, ids: list[str], order: Column) -> DataFrame:
     """The row with the smallest ``order`` for every id; repeats collapse before the shuffle."""
     rest = [c for c in df.columns if c not in ids]
-    kept = df.groupBy(*ids).agg(F.min_by(F.struct(*rest), order).alias("kept"))
+    kept = df.groupBy(*ids).agg(F.min_by(F.struct(*rest), F.struct(order)).alias("kept"))
     return kept.select(*ids, "kept.*").select(*df.columns)
 
 

@@ -93,6 +93,19 @@ def test_row_functions(spark):
     assert kept.schema == df.schema and rows(kept) == [("c", None)]
 
 
+def test_functions_of_rows_see_every_type(spark):
+    from test_files import AVRO_SCHEMA, avro_rows
+
+    df = spark.createDataFrame(avro_rows(), AVRO_SCHEMA)
+    assert rows(op.filter_rows(df, lambda e: True)) == rows(df)
+
+
+def test_tables_only(spark):
+    stream = spark.readStream.format("rate").load()
+    with pytest.raises(ValueError, match="stream"):
+        op.count_panes(stream, ["value"], ["timestamp"], "value")
+
+
 def test_par_do_tagged(spark):
     df = create(spark, [(i,) for i in range(6)], "n int")
 

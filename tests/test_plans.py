@@ -240,6 +240,25 @@ def test_bad_sale_stops_or_is_dropped(spark):
     assert sales.sales_from_messages(messages, on_error="drop").count() == 1
 
 
+@pytest.mark.parametrize("read,bad", [
+    (layouts.department_rows, "1,Kim,100"), (layouts.card_rows, CARDS.strip() + ",more"),
+    (layouts.loan_rows, "A,B,C"), (layouts.sale_rows, "S1,Mumbai,P1,Toys,2,10"),
+    (layouts.sale_rows, "S1,Mumbai,P1,Toys,2,10,15,soon")])
+def test_malformed_lines_stop_the_job(spark, read, bad):
+    with pytest.raises(Exception, match="wrong number of fields|not an integer"):
+        read(lines(spark, bad)).collect()
+    if "soon" not in bad:
+        kept = read(lines(spark, bad), on_error="drop" if read is layouts.sale_rows else "null")
+        assert kept.count() == bad.count("\n")
+
+
+def test_message_without_time_is_kept(spark):
+    from millstream.sources.topics import first_per_id
+
+    df = spark.createDataFrame([("a", None, 1), ("b", 5, 2), ("b", 4, 3)], "i string, t int, v int")
+    assert rows(first_per_id(df, ["i"], F.col("t"))) == [("a", None, 1), ("b", 4, 3)]
+
+
 def test_message_reading_rules(spark, scratch):
     from millstream.sinks import publish
     from millstream.sources.topics import kafka_options, topic_parts
