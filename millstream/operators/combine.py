@@ -120,8 +120,9 @@ def combine_globally(
     )
     identity = spark.createDataFrame([(pickle.dumps(fn.create_accumulator()),)], schema)
     result = _output_field(df, output)
+    # a shuffle and not a coalesce, which would draw the merging tasks into one as well
     return (
-        merged.unionAll(identity).coalesce(1)
+        merged.unionAll(identity).repartition(1)
         .mapInArrow(_merge(fn, 0, result, fn.extract_output), result)
     )
 

@@ -2,7 +2,6 @@ import datetime as dt
 
 import pytest
 from conftest import rows
-from pyspark.sql import functions as F
 
 from millstream.functions import numbers, text
 
