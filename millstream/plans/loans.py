@@ -107,10 +107,11 @@ def payments_per_person(flags: DataFrame, person: Sequence[str] = PERSON) -> Dat
         flags, person, F.struct("due_date", "payment_date", "late"), "payments")
 
 
-def all_defaulters(
+def defaulters(
     flags: DataFrame, person: Sequence[str] = PERSON, min_missed: int = PERSONAL_MIN_MISSED
 ) -> DataFrame:
-    """Names of both kinds of defaulters; someone who is both appears twice.
+    """``name`` and ``tag`` (``medical_loan`` or ``personal_loan``) of both kinds of
+    defaulters; someone who is both appears twice.
 
     Both rules are evaluated on one summary per person, so the loans are read and
     shuffled once and not once per branch.
@@ -121,5 +122,11 @@ def all_defaulters(
         F.when((F.col("n_personal") > 0) & _defaults(F.col("missed"), min_missed),
                "personal_loan"),
     ))
-    return persons.select(
-        join_fields(" ", *person).alias("name"), F.explode(kinds).alias("tag")).select("name")
+    return persons.select(join_fields(" ", *person).alias("name"), F.explode(kinds).alias("tag"))
+
+
+def all_defaulters(
+    flags: DataFrame, person: Sequence[str] = PERSON, min_missed: int = PERSONAL_MIN_MISSED
+) -> DataFrame:
+    """The names alone."""
+    return defaulters(flags, person, min_missed).select("name")
