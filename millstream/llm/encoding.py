@@ -8,8 +8,9 @@ kept in a bounded cache.
 
 from __future__ import annotations
 
-import functools
 import os
+import sys
+import types
 
 import numpy as np
 
@@ -22,10 +23,15 @@ RUN_BYTES = 4096
 _PLAIN[0x21:0x7F] = _PLAIN[0xC3:0xE0] = True
 
 
-@functools.cache
 def shared_encoder(tokenizer_file: str, end_id: int | None) -> PieceEncoder:
-    """One encoder per process, so that its cache outlives a task."""
-    return PieceEncoder(tokenizer_file, end_id)
+    """One encoder per worker process, so that its cache outlives a task. Functions
+    travel to workers by value, so the process keeps it in a module of its own."""
+    kept = sys.modules.setdefault("_millstream_kept", types.ModuleType("_millstream_kept"))
+    encoders = kept.__dict__.setdefault("encoders", {})
+    key = (tokenizer_file, end_id)
+    if key not in encoders:
+        encoders[key] = PieceEncoder(tokenizer_file, end_id)
+    return encoders[key]
 
 
 class PieceEncoder:

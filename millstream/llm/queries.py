@@ -1,3 +1,3 @@
 """Import every module with a query, so that the queries register."""
 
-from . import bit_planes, stream_dedup  # noqa: F401
+from . import bit_planes, factorisation, ftrl, stream_dedup  # noqa: F401
