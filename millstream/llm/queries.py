@@ -1,3 +1,5 @@
 """Import every module with a query, so that the queries register."""
 
-from . import bit_planes, factorisation, ftrl, stream_dedup  # noqa: F401
+from . import (  # noqa: F401
+    bit_planes, factorisation, ftrl, license_templates, secret_entropy, stream_dedup,
+)
