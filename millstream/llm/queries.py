@@ -1,5 +1,5 @@
 """Import every module with a query, so that the queries register."""
 
 from . import (  # noqa: F401
-    bit_planes, factorisation, ftrl, license_templates, secret_entropy, stream_dedup,
+    bit_planes, factorisation, ftrl, license_templates, match_model, secret_entropy, stream_dedup,
 )
