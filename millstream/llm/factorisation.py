@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import query
-from .labelled import labelled_sample, sampled_rows, with_sample
+from .labelled import arrays_of, labelled_sample, sampled_rows, with_sample
 from .textwords import Texts, map_texts, read_table, remainder, row_keys, words_of
 
 BITS = 18
@@ -164,10 +164,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, trainable, id_col: str = "do
     rows = sampled_rows(map_texts(chosen, text, keep, "buckets binary, stats binary", make),
                         "id", "label", "buckets", "stats")
     machine = Machine(bits, rank, N_STATS + len(metadata))
-    if rows:
-        machine.fit([np.frombuffer(r.buckets, np.uint32) for r in rows],
-                    np.stack([np.frombuffer(r.stats, np.float32) for r in rows]),
-                    np.array([float(r.label > 0) for r in rows]))
+    if rows.num_rows:
+        machine.fit(arrays_of(rows, "buckets", np.uint32),
+                    np.stack(arrays_of(rows, "stats", np.float32)),
+                    (rows.column("label").to_numpy() > 0).astype(float))
     return machine
 
 

@@ -21,12 +21,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.registry import query
-from .labelled import labelled_sample, sampled_rows, with_sample
+from .labelled import arrays_of, labelled_sample, sampled_rows, with_sample
 from .textwords import Texts, grams, map_texts, read_table, remainder, row_keys, words_of
 
 BITS = 20
 SHAPES = ((0,), (0, 1), (0, 2))  # words, pairs of neighbours, pairs with one between
-MAX_LABELLED = 12_000
+MAX_LABELLED = 10_000
 
 
 def features(texts: Texts, bits: int):
@@ -91,7 +91,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, trainable, id_col: str = "d
     keep = {"id": F.col(id_col), "label": F.col("label")}
     rows = sampled_rows(map_texts(chosen, text, keep, "buckets binary", make),
                         "id", "label", "buckets")
-    found = [np.frombuffer(r.buckets, np.uint32) for r in rows]
+    found = arrays_of(rows, "buckets", np.uint32)
+    labels_of = rows.column("label").to_pylist()
     counts = np.zeros((1 << bits) + 1, np.int32)
     for at in found:
         counts[at] += 1
@@ -99,8 +100,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, trainable, id_col: str = "d
     found = [np.append(at[counts[at] >= min_docs], np.uint32(1 << bits)) for at in found]
     model = Ftrl(bits)
     for _ in range(epochs):
-        for at, r in zip(found, rows, strict=True):
-            model.learn(at, float(r.label > 0))
+        for at, label_of in zip(found, labels_of, strict=True):
+            model.learn(at, float(label_of > 0))
     return model.compact()
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +30,14 @@ def with_sample(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id") -> D
                      F.col(id_col) == F.col("_sampled"))
 
 
-def sampled_rows(features: DataFrame, id_col: str, *columns: str) -> list:
-    """Collect one row per sampled id; of an id with several texts one is chosen by its
-    content."""
+def sampled_rows(features: DataFrame, id_col: str, *columns: str) -> pa.Table:
+    """One row per sampled id, on the driver; of an id with several texts one is chosen by
+    its content."""
     return (features.groupBy(id_col).agg(F.min(F.struct(*columns)).alias("r"))
-            .select(id_col, "r.*").orderBy(F.xxhash64(id_col), id_col).collect())
+            .select(id_col, "r.*").orderBy(F.xxhash64(id_col), id_col).toArrow())
+
+
+def arrays_of(rows: pa.Table, column: str, kind: type) -> list[np.ndarray]:
+    """A binary column as arrays that share its memory."""
+    return [np.frombuffer(v.as_buffer(), kind)
+            for chunk in rows.column(column).chunks for v in chunk]
