@@ -1,6 +1,6 @@
 """Import every module with a query, so that the queries register."""
 
 from . import (  # noqa: F401
-    bit_planes, factorisation, ftrl, license_templates, match_model, prob_minhash,
+    bit_planes, factorisation, ftrl, latent_retrieval, license_templates, match_model, prob_minhash,
     secret_entropy, stream_dedup,
 )

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -176,7 +177,7 @@ def map_texts(df: DataFrame, text: str | Column, keep: dict[str, Column], new: s
     source = df.select(text.cast("string").alias("_text"),
                        *[c.alias(name) for name, c in keep.items()])
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[1:])
-    names = [*keep, *[c.strip().split()[0] for c in new.split(",")]]
+    names = [*keep, *StructType.fromDDL(new).names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
