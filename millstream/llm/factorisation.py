@@ -172,8 +172,9 @@ def fit_quality(docs: DataFrame, labels: DataFrame, trainable, id_col: str = "do
 
 
 def score_quality(docs: DataFrame, machine: Machine, keep: dict, text: str = "text",
-                  metadata: Sequence[str] = ("n_chars",), bits: int = BITS) -> DataFrame:
-    """Columns ``keep`` and ``score``, for every row."""
+                  metadata: Sequence[str] = ("n_chars",), bits: int = BITS,
+                  out: str = "score") -> DataFrame:
+    """Columns ``keep`` and ``out``, the score, for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(vars(machine))
     n = len(keep)
 
@@ -186,7 +187,7 @@ def score_quality(docs: DataFrame, machine: Machine, keep: dict, text: str = "te
         return work
 
     keep = keep | {f"_meta{i}": F.col(m).cast("double") for i, m in enumerate(metadata)}
-    scored = map_texts(docs, text, keep, "score double", make)
+    scored = map_texts(docs, text, keep, f"{out} double", make)
     return scored.drop(*[f"_meta{i}" for i in range(len(metadata))])
 
 
