@@ -159,12 +159,14 @@ def fit_quality(docs: DataFrame, labels: DataFrame, trainable, id_col: str = "do
                     pa.array([r.tobytes() for r in f.stats], pa.binary())]
         return work
 
-    keep = {"id": F.col(id_col), "label": F.col("label")}
+    keep = {"id": F.col(id_col), "label": F.col("_label")}
     keep |= {f"meta{i}": F.col(m).cast("double") for i, m in enumerate(metadata)}
     rows = sampled_rows(map_texts(chosen, text, keep, "buckets binary, stats binary", make),
                         "id", "label", "buckets", "stats")
     machine = Machine(bits, rank, N_STATS + len(metadata))
-    if rows.num_rows:
+    if not rows.num_rows:
+        machine.word_v[:] = machine.stat_v[:] = 0  # nothing is known
+    else:
         machine.fit(arrays_of(rows, "buckets", np.uint32),
                     np.stack(arrays_of(rows, "stats", np.float32)),
                     (rows.column("label").to_numpy() > 0).astype(float))

@@ -88,7 +88,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, trainable, id_col: str = "d
                              pa.binary())]
         return work
 
-    keep = {"id": F.col(id_col), "label": F.col("label")}
+    keep = {"id": F.col(id_col), "label": F.col("_label")}
     rows = sampled_rows(map_texts(chosen, text, keep, "buckets binary", make),
                         "id", "label", "buckets")
     found = arrays_of(rows, "buckets", np.uint32)

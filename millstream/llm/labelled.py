@@ -25,9 +25,10 @@ def labelled_sample(labels: DataFrame, label: Column, trainable: Column, max_row
 
 
 def with_sample(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The sampled documents; the sample is bounded, so it is broadcast."""
-    return docs.join(F.broadcast(sample.withColumnRenamed(id_col, "_sampled")),
-                     F.col(id_col) == F.col("_sampled"))
+    """The sampled documents with their ``_label``; the sample is bounded, so it is
+    broadcast."""
+    sample = sample.select(F.col(id_col).alias("_sampled"), F.col("label").alias("_label"))
+    return docs.join(F.broadcast(sample), F.col(id_col) == F.col("_sampled"))
 
 
 def sampled_rows(features: DataFrame, id_col: str, *columns: str) -> pa.Table:

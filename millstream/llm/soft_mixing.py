@@ -115,7 +115,7 @@ def fit_domains(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
                     pa.array([r.tobytes() for r in f.stats], pa.binary())]
         return work
 
-    keep = {"id": F.col(id_col), "label": F.col("label")}
+    keep = {"id": F.col(id_col), "label": F.col("_label")}
     features = map_texts(with_sample(docs, sample, id_col), text, keep,
                          "buckets binary, stats binary", make)
     rows = sampled_rows(features, "id", "label", "buckets", "stats")

@@ -1,0 +1,110 @@
+import random
+import re
+
+import numpy as np
+import pytest
+from corpus_samples import LONG, MESSY, ascii_lower, messy, no_docs  # noqa: F401
+
+from millstream.llm.components import contract
+from millstream.llm.prob_minhash import (
+    near_classes, op9_prob_minhash, prob_minhash,
+)
+
+SPLIT = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def brute_force(rows, threshold=0.8):
+    """Classes by comparing all pairs of texts that share a shingle."""
+    nodes, sets, parent = {}, {}, {}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, text in sorted(rows):
+        words = tuple(SPLIT.findall(ascii_lower(text)))
+        key = words if len(words) >= 5 else ascii_lower(text)
+        if i not in parent:
+            parent[i] = i
+        if nodes.setdefault(key, i) != i:
+            parent[find(i)] = find(nodes[key])
+        elif len(words) >= 5:
+            sets[i] = {words[j:j + 5] for j in range(len(words) - 4)}
+    ids = list(sets)
+    for a in ids:
+        for b in ids:
+            if a < b:
+                x, y = sets[a], sets[b]
+                if len(x & y) >= threshold * len(x | y) - 1e-9:
+                    u, v = sorted((find(a), find(b)))
+                    parent[v] = u
+    least = {}
+    for i in parent:
+        least[find(i)] = min(least.get(find(i), i), i)
+    return {i: least[find(i)] for i in parent}
+
+
+def test_signatures_estimate_the_probability_jaccard():
+    rng = np.random.default_rng(5)
+    m, n = 512, 300
+    elements = rng.integers(1, 1 << 52, n).astype(np.uint64)
+    x, y = rng.choice([0, 1, 2, 4.5], n), rng.choice([0, 1, 2, 4.5], n)
+    y = np.where(rng.random(n) < 0.6, x, y)
+    rows = np.repeat([0, 1], [np.count_nonzero(x), np.count_nonzero(y)])
+    got = prob_minhash(rows, np.concatenate([elements[x > 0], elements[y > 0]]),
+                       np.concatenate([x[x > 0], y[y > 0]]), 3, m)
+    both = (x > 0) & (y > 0)
+    want = sum(1 / np.maximum(x / x[i], y / y[i]).sum() for i in np.flatnonzero(both))
+    assert np.mean(got[0] == got[1]) == pytest.approx(want, abs=0.08)
+    assert not got[2].any() and got[:2].all()
+
+
+def test_messy_documents(messy):  # noqa: F811
+    got = near_classes(messy).collect()
+    want = brute_force([r[:2] for r in MESSY if r[0] is not None])
+    assert len(got) == len(MESSY)
+    for r in got:
+        assert r.class_id == (None if r.doc_id is None else want[r.doc_id])
+
+
+def test_no_documents(no_docs):  # noqa: F811
+    assert near_classes(no_docs).count() == 0
+
+
+def test_a_large_group_of_near_copies(spark):
+    """Many edits of one text, most pairs of them close to the threshold, and copies."""
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    rows = []
+    for i in range(220):
+        words = list(base)
+        for _ in range(rng.randint(1, 3)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, rows[i % 7][1].upper()) for i in range(60)]
+    rows += [(2000 + i, " ".join(f"z{rng.randrange(10**6)}" for _ in range(50))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.class_id for r in near_classes(docs).collect()}
+    assert got == brute_force(rows)
+
+
+def test_long_texts(spark):
+    rows = [(1, LONG + "tail one"), (2, "head " + LONG), (3, LONG + "tail one")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.class_id for r in near_classes(docs).collect()} == {1}
+
+
+def test_components_of_chains_and_stars(spark):
+    chain = [(i, i + 1) for i in range(40)]
+    star = [(100, 100 + i) for i in range(1, 30)]
+    links = spark.createDataFrame(chain + star + [(7, 7), (500, 499)], "u long, v long")
+    got = sorted(map(tuple, contract(links).collect()))
+    assert got == sorted([(i, 0) for i in range(1, 41)] + [(100 + i, 100) for i in range(1, 30)]
+                         + [(500, 499)])
+
+
+def test_query(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    got = {r.doc_id: r.class_id for r in op9_prob_minhash(spark, "/root/testdata/sf0.001").collect()}
+    assert got == brute_force([(r.doc_id, r.text) for r in docs])
