@@ -41,7 +41,7 @@ RANK, OVERSAMPLE = 64, 16
 STEP = 12  # a window is two steps of words
 COSINE = 0.45
 LCS = 0.6
-ANSWER_WORDS, ANSWER_SHARE = 8, 0.5
+ANSWER_WORDS, ANSWER_SHARE = 8, 0.3
 LEAST_WORDS = 5
 BLOCK_ITEMS = 4096
 SEED = 20
