@@ -37,7 +37,7 @@ from ..plans.registry import query
 from .textwords import Texts, map_texts, read_table, split_texts, words_of
 
 BITS = 14
-RANK, OVERSAMPLE = 64, 16
+RANK, OVERSAMPLE = 48, 12
 STEP = 12  # a window is two steps of words
 COSINE = 0.45
 LCS = 0.6
@@ -60,6 +60,22 @@ def cuts(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return first[rows] + size * (np.arange(len(rows)) - begin[rows]), begin
 
 
+def run_buckets(hashes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """Buckets of runs of at most ``size`` words, a row per run; ``2**BITS`` fills up."""
+    padded = np.append(buckets(hashes), np.full(size, 1 << BITS))
+    ends = np.append(starts[1:], len(hashes))
+    at = starts[:, None] + np.arange(size)
+    return np.where(at < ends[:, None], padded[at], 1 << BITS)
+
+
+def run_sums(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sums of the table's rows named in each row; the table ends in a row of zeros."""
+    total = table[rows[:, 0]]
+    for j in range(1, rows.shape[1]):
+        total += table[rows[:, j]]
+    return total
+
+
 def passage_terms(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, object]:
     """Passages of two steps as sparse rows: passage, bucket and count of each term."""
     words = words_of(texts)
@@ -144,33 +160,32 @@ def sketch(docs: DataFrame, items: DataFrame, text: str, idf: np.ndarray, item_w
     shared = spark.sparkContext.broadcast(idf.astype(np.float32))
 
     def make():
-        weights, random = shared.value, omega()
-        total = np.zeros((1 << BITS, width), np.float32)
+        weights = shared.value
+        random = np.vstack([weights[:, None] * omega(), np.zeros((1, width), np.float32)])
+        total = np.zeros((1 << BITS, width))
 
         def take(texts, columns):
-            passage, bucket, counts, n, _ = passage_terms(texts)
+            passage, bucket, counts, n, words = passage_terms(texts)
+            if not n:
+                return
             value = counts.astype(np.float32) * weights[bucket]
             norm = np.sqrt(np.bincount(passage, weights=value * value, minlength=n))
-            value /= np.maximum(norm, 1e-12)[passage].astype(np.float32)
-            scale = np.float32(columns[0][0].as_py())
-            for low in range(0, n, 4096):  # some ten thousand terms at a time
-                a, b = np.searchsorted(passage, (low, low + 4096))
-                p, k, v = passage[a:b] - low, bucket[a:b], value[a:b, None]
-                if a == b:
-                    continue
-                begin = np.flatnonzero(np.diff(p, prepend=-1))
-                y = np.add.reduceat(random[k] * v, begin, axis=0)
-                order = np.argsort(k, kind="stable")
-                back = y[np.cumsum(np.diff(p, prepend=p[0]) > 0)][order] * v[order] * scale
-                k = k[order]
-                begin = np.flatnonzero(np.diff(k, prepend=-1))
-                total[k[begin]] += np.add.reduceat(back, begin, axis=0)
+            norm = np.maximum(norm, 1e-12)
+            starts, _ = cuts(words.first, 2 * STEP)
+            rows = run_buckets(words.hashes, starts, 2 * STEP)
+            scale = float(columns[0][0].as_py()) / (norm * norm)  # both factors are scaled
+            y = run_sums(random, rows) * scale[:, None]
+            back = weights[bucket] * counts
+            for j in range(width):
+                total[:, j] += np.bincount(bucket, weights=back * y[passage, j],
+                                           minlength=1 << BITS)
 
         def give():
             at = np.flatnonzero(total.any(axis=1))
             if len(at):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(at.astype(np.int32)), *[pa.array(total[at, j]) for j in range(width)]],
+                    [pa.array(at.astype(np.int32)),
+                     *[pa.array(total[at, j].astype(np.float32)) for j in range(width)]],
                     ["bucket", *[f"y{j}" for j in range(width)]])
 
         return take, give
@@ -226,7 +241,8 @@ def _search(docs: DataFrame, id_col: str, text: str, items: list[Item], projecti
     vectors /= np.maximum(np.linalg.norm(vectors, axis=1), 1e-12)[:, None]
     plain = [(i.id, i.hashes, i.answer, i.bits) for i in items]
     shared = docs.sparkSession.sparkContext.broadcast(
-        (plain, projection.astype(np.float32), vectors.T.astype(np.float32)))
+        (plain, np.vstack([projection, np.zeros((1, RANK))]).astype(np.float32),
+         vectors.T.astype(np.float32)))
 
     def make():
         rows, project, targets = shared.value
@@ -244,7 +260,7 @@ def _search(docs: DataFrame, id_col: str, text: str, items: list[Item], projecti
             found = [[] for _ in range(len(texts))]
             starts, begin = cuts(words.first, STEP)
             if len(starts):
-                blocks = np.add.reduceat(project[buckets(words.hashes)], starts, axis=0)
+                blocks = run_sums(project, run_buckets(words.hashes, starts, STEP))
                 steps = np.diff(begin)
                 row = np.repeat(np.arange(len(steps)), np.maximum(steps - 1, np.minimum(steps, 1)))
                 left = _window_blocks(steps, begin)
@@ -276,29 +292,32 @@ def _window_blocks(steps: np.ndarray, begin: np.ndarray) -> np.ndarray:
 
 def _check(words, row, low, high, window, targets, items, answer_hash, answer_item, found):
     """Cosine candidates, then their answers, then their common subsequence."""
-    # the items whose answer words each window holds
-    at = np.searchsorted(answer_hash, words.hashes)
-    at = np.minimum(at, len(answer_hash) - 1)
-    places = np.flatnonzero(answer_hash[at] == words.hashes)
     n_items = len(items)
-    marks = []
-    for place in places.tolist():
-        a = int(np.searchsorted(answer_hash, words.hashes[place], "left"))
-        b = int(np.searchsorted(answer_hash, words.hashes[place], "right"))
-        last = int(np.searchsorted(low, place, "right"))
-        for w in range(max(last - 3, 0), last):
-            if place < high[w]:
-                marks += [w * n_items + int(n) for n in answer_item[a:b]]
-    if not marks:
-        return
-    marks = np.unique(np.array(marks, np.int64))
+    # the items whose answer words each window holds
+    left = np.searchsorted(answer_hash, words.hashes, "left")
+    places = np.flatnonzero(
+        answer_hash[np.minimum(left, len(answer_hash) - 1)] == words.hashes)
+    left = left[places]
+    times = np.searchsorted(answer_hash, words.hashes[places], "right") - left
+    item = answer_item[np.repeat(left, times) + np.arange(times.sum())
+                       - np.repeat(np.cumsum(times) - times, times)]
+    place = np.repeat(places, times)
+    last = np.searchsorted(low, place, "right") - 1
+    marks = [np.zeros(0, np.int64)]
+    for back in range(3):  # a place is in two windows, or in three at a row's end
+        w = np.maximum(last - back, 0)
+        inside = (place >= low[w]) & (place < high[w])
+        marks.append(w[inside] * n_items + item[inside])
+    marks = np.unique(np.concatenate(marks))
     for first in range(0, n_items, 512):
-        cosines = window @ targets[:, first:first + 512]
-        w, n = np.nonzero(cosines >= COSINE)
-        value = cosines[w, n]
-        both = np.isin(w * n_items + n + first, marks)
-        for w, n, cosine in zip(w[both].tolist(), (n[both] + first).tolist(),
-                                value[both].tolist(), strict=True):
+        near = window @ targets[:, first:first + 512]
+        w, n = marks // n_items, marks % n_items
+        mine = (n >= first) & (n < first + 512)
+        w, n = w[mine], n[mine]
+        value = near[w, n - first]
+        both = value >= COSINE
+        for w, n, cosine in zip(w[both].tolist(), n[both].tolist(), value[both].tolist(),
+                                strict=True):
             item, r = items[n], int(row[w])
             size = len(item.hashes)
             begin = max(int(words.first[r]), int(low[w]) - size)
