@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 # Fixed value: what separates the words of the word-count job.
 NON_LETTERS = r"[^a-zA-Z]+"
 
-# What str.strip() removes beyond \s, which in Java is ASCII only.
-_SPACE = r"[\s\x1c-\x1f\x85\p{Z}]"
+# The characters that str.strip() removes.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def strip_all(c: Column | str) -> Column:
     """Drop white space of every kind at both ends, line ends included."""
-    return F.regexp_replace(_col(c), f"^{_SPACE}+|{_SPACE}+$", "")
+    return F.btrim(_col(c), F.lit(WHITE_SPACE))
 
 
 def split_fields(c: Column | str, separator: str = ",") -> Column:

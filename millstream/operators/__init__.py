@@ -4,7 +4,7 @@ from .elements import (
     chain, filter_equals, filter_in, flat_map, key_value, labelled, map_columns, struct_key,
     tag_constant,
 )
-from .grouping import count_per_key, fold_groups, group_by_key, having, sum_per_key
+from .grouping import count_per_key, count_values, fold_groups, group_by_key, having, sum_per_key
 from .pardo import (
     DoFn, Tagged, filter_rows, flat_map_rows, map_rows, par_do, par_do_tagged, tagged_output,
 )
@@ -16,7 +16,7 @@ from .typed import typed
 from .windows import fixed_windows, sliding_windows, windowed
 
 __all__ = [
-    "CombineFn", "DoFn", "Tagged", "bounded_broadcast", "chain", "cogroup", "cogroup_join",
+    "CombineFn", "DoFn", "Tagged", "bounded_broadcast", "chain", "cogroup", "cogroup_join", "count_values",
     "combine_globally", "combine_per_key", "count_panes", "count_per_key", "exclude",
     "filter_equals", "filter_in", "filter_rows", "flat_map_rows", "fixed_windows", "flat_map", "flatten", "fold_groups",
     "group_by_key", "having", "key_value", "labelled", "map_columns", "map_rows", "output", "pane_state",

@@ -5,23 +5,26 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .grouping import CHUNK_ROWS, chunk_column
-from .side_inputs import MAX_BROADCAST_ROWS
+from .grouping import piece_of
 
 
 def cogroup(
     inputs: Mapping[str, DataFrame],
     keys: Sequence[str],
-    chunk_rows: int = CHUNK_ROWS,
+    chunks: int = 1,
+    chunk: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """One row per key of any input, with a list of rows (structs of the non-key
-    columns) per input; a list is empty where the input lacks the key.
+    """One row per key of any input, with a list per input of structs ``row`` (its
+    non-key columns) and ``times``; a list is empty where the input lacks the key.
 
-    All inputs meet in one shuffle. A key with more than ``chunk_rows`` rows comes
-    as several rows, numbered by ``chunk``, whose lists together are the group.
+    Equal rows of a key are counted first, which begins next to the data; then all inputs
+    meet in one shuffle of what is left. ``chunks`` cuts the lists of all keys into pieces by a hash of the row, or
+    ``chunk`` gives the piece per input; pieces are for reading the lists. To pair the rows
+    of one input with those of another use ``cogroup_join``, which loses no pair of a key
+    of any size.
     """
     keys = list(keys)
     parts = []
@@ -29,12 +32,14 @@ def cogroup(
         fields = [c for c in df.columns if c not in keys]
         if not fields:
             raise ValueError(f"input {name!r} has no value columns")
-        parts.append(df.select(*keys, F.struct(*fields).alias(name)))
+        row = F.struct(*fields)
+        piece = chunk[name] if chunk else piece_of(row, chunks)
+        parts.append(df.select(*keys, piece.cast("int").alias("chunk"), row.alias(name)))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    key_rows = reduce(DataFrame.unionAll, [df.select(*keys) for df in inputs.values()])
-    chunked = chunk_column(rows, key_rows, keys, chunk_rows)
-    lists = [F.collect_list(name).alias(name) for name in inputs]
-    return chunked.groupBy(*keys, "chunk").agg(*lists)
+    counted = rows.groupBy(*keys, "chunk", *inputs).agg(F.count(F.lit(1)).alias("times"))
+    lists = [F.collect_list(F.when(F.col(name).isNotNull(), F.struct(
+        F.col(name).alias("row"), "times"))).alias(name) for name in inputs]
+    return counted.groupBy(*keys, "chunk").agg(*lists)
 
 
 def cogroup_join(
@@ -48,25 +53,17 @@ def cogroup_join(
     return left.join(right, list(keys), how)
 
 
-def exclude(
-    df: DataFrame,
-    excluded: DataFrame,
-    keys: Sequence[str],
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def exclude(df: DataFrame, excluded: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is not in ``excluded``. A row with a NULL key is
     kept, unlike with ``NOT IN``.
 
-    A list of up to ``max_broadcast_rows`` keys is broadcast. A longer one is joined
-    by shuffle, as an outer join of which the rows without a partner stay: the
-    optimiser would move an anti join below an aggregate of ``df``, and a hot key
-    would then be shuffled before it is aggregated.
+    An outer join of which the rows without a partner stay: the optimiser would move an
+    anti join below an aggregate of ``df``, and a hot key would then be shuffled before it
+    is aggregated. A short list is broadcast by its size in the statistics or, when it
+    is known only at run time, by adaptive execution; nothing is counted ahead.
     """
     keys = list(keys)
-    listed = excluded.select(*keys).distinct()
-    if listed.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
-        return df.join(F.broadcast(listed), keys, "left_anti")
-    marked = listed.withColumn("_listed", F.lit(True))
+    marked = excluded.select(*keys).distinct().withColumn("_listed", F.lit(True))
     return df.join(marked, keys, "left").where(F.col("_listed").isNull()).drop("_listed")
 
 

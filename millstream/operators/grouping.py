@@ -7,11 +7,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .hot_keys import hot_keys, with_hot_rows
-
-# About the largest number of rows that one output row of a group may hold.
-CHUNK_ROWS = 100_000
-
 
 def sum_per_key(
     df: DataFrame, keys: Sequence[str], value: Column | str, name: str = "total"
@@ -31,24 +26,20 @@ def having(condition: Column) -> Callable[[DataFrame], DataFrame]:
     return lambda df: df.where(condition)
 
 
-def chunk_column(
-    rows: DataFrame, key_rows: DataFrame, keys: Sequence[str], chunk_rows: int
+def count_values(
+    df: DataFrame, keys: Sequence[str], value: Column | str, name: str = "value"
 ) -> DataFrame:
-    """Add ``chunk``: 0 for every key with at most about ``chunk_rows`` rows; the rows
-    of a larger key are spread over about ``rows / chunk_rows`` chunks.
+    """The groups as rows: keys, value and ``times``, how often the key has the value.
+    Equal values are counted next to the data, so neither a hot key nor a value that it
+    repeats meets in one task, and the rows are the same for any size and layout."""
+    value = F.col(value) if isinstance(value, str) else value
+    rows = df.select(*keys, value.alias(name))
+    return rows.groupBy(*keys, name).agg(F.count(F.lit(1)).alias("times"))
 
-    Without large keys nothing is joined. A row's chunk follows from its content and
-    from the partition it is read in (which parts equal rows). Both stay the same
-    when a lost task runs again, whatever the order of its rows.
-    """
-    hot = hot_keys(key_rows, keys, chunk_rows)
-    if hot is None:
-        return rows.withColumn("chunk", F.lit(0))
-    chunks = F.ceil(F.col("_rows") / F.lit(chunk_rows)).cast("int")
-    content = [f.name for f in rows.schema.fields if "map<" not in f.dataType.simpleString()]
-    spread = F.pmod(F.xxhash64("_part", *content), chunks).cast("int")
-    placed = with_hot_rows(rows.withColumn("_part", F.spark_partition_id()), hot, keys)
-    return placed.withColumn("chunk", F.coalesce(spread, F.lit(0))).select(*rows.columns, "chunk")
+
+def piece_of(value: Column, chunks: int) -> Column:
+    """The piece of a value: it follows from the value alone."""
+    return F.pmod(F.xxhash64(value), F.lit(chunks)).cast("int")
 
 
 def group_by_key(
@@ -56,22 +47,23 @@ def group_by_key(
     keys: Sequence[str],
     value: Column | str,
     name: str = "values",
-    chunk_rows: int = CHUNK_ROWS,
+    chunks: int = 1,
+    chunk: Column | None = None,
 ) -> DataFrame:
-    """All values of a key as a list, in no particular order.
-
-    A group of up to about ``chunk_rows`` values is one row with ``chunk`` 0. A larger
-    one comes as several rows that together hold every value, so that no task and
-    no row has to hold a hot key whole.
+    """The values of a key as a list of structs ``value`` and ``times``, in no particular
+    order, with ``chunk``.
+
+    A list holds each value once. Where a key may have more different values than fit one
+    row, ``chunks`` cuts the lists of all keys into that many pieces (of which a small key
+    fills only some), or ``chunk`` gives the piece as a column of the value. Which piece
+    a value is in depends on nothing else. The base form is ``count_values``, whose rows
+    need no bound.
     """
     keys = list(keys)
-    value = F.col(value) if isinstance(value, str) else value
-    rows = df.select(*keys, value.alias(name))
-    chunked = chunk_column(rows, df.select(*keys), keys, chunk_rows)
-    # collect_list leaves NULLs out; inside a struct they stay
-    kept = F.collect_list(F.struct(F.col(name).alias("v")))
-    lists = chunked.groupBy(*keys, "chunk").agg(kept.alias(name))
-    return lists.withColumn(name, F.col(name)["v"])
+    counted = count_values(df, keys, value)
+    piece = piece_of(F.col("value"), chunks) if chunk is None else chunk
+    kept = F.collect_list(F.struct("value", "times")).alias(name)
+    return counted.withColumn("chunk", piece).groupBy(*keys, "chunk").agg(kept)
 
 
 def fold_groups(
@@ -82,11 +74,12 @@ def fold_groups(
     values: str = "values",
     name: str = "total",
 ) -> DataFrame:
-    """Reduce every list of a grouped frame, then merge the chunks of a key."""
+    """Reduce every list of a grouped frame, then merge the pieces of a key."""
     folded = grouped.select(*keys, fold(F.col(values)).alias(name))
     return folded.groupBy(*keys).agg(merge(F.col(name)).alias(name))
 
 
 def sum_list(values: Column) -> Column:
-    """Sum of a list of whole numbers."""
-    return F.aggregate(values, F.lit(0).cast("bigint"), lambda acc, v: acc + v)
+    """Sum of the values of a list of ``value`` and ``times``."""
+    return F.aggregate(values, F.lit(0).cast("bigint"),
+                       lambda acc, v: acc + v["value"] * v["times"])

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .side_inputs import bounded_broadcast
 
 # Rows that are looked at of a key that is just large enough.
 SAMPLED_ROWS = 2_000
@@ -45,10 +44,12 @@ def hot_keys(df: DataFrame, keys: Sequence[str], max_rows: int) -> DataFrame | N
     listed = large.limit(LISTED_KEYS + 1).collect()
     if len(listed) > LISTED_KEYS:
         return cut_lineage(large)
-    return df.sparkSession.createDataFrame(listed, large.schema) if listed else None
+    if not listed:
+        return None
+    return F.broadcast(df.sparkSession.createDataFrame(listed, large.schema))  # 16 bytes a row
 
 
 def with_hot_rows(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df`` plus ``_rows``, NULL for keys that are not hot."""
     hashed = df.withColumn(KEY_HASH, key_hash(keys))
-    return hashed.join(bounded_broadcast(hot), KEY_HASH, "left").drop(KEY_HASH)
+    return hashed.join(hot, KEY_HASH, "left").drop(KEY_HASH)

@@ -133,9 +133,9 @@ def _runner(
             for values in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 for value in process(element._make(values), *args, **kwargs) or ():
                     rows.append(as_row(value))
-                if len(rows) >= ROWS_PER_BATCH:
-                    yield _batch(rows, arrow)
-                    rows = []
+                    if len(rows) >= ROWS_PER_BATCH:  # also within one element
+                        yield _batch(rows, arrow)
+                        rows = []
         if rows:
             yield _batch(rows, arrow)
 

@@ -8,16 +8,14 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``max_rows`` rows, which is
-    checked by counting no further than that; otherwise ``df`` without a hint, to
-    be joined by shuffle."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def bounded_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if the statistics of its plan give it at most
+    ``max_bytes``; otherwise ``df`` as it is, to be joined by shuffle. Nothing is run."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return F.broadcast(df) if int(str(size)) <= max_bytes else df
 
 
 def side_list(spark: SparkSession, values: Sequence[Any], schema: str) -> DataFrame:

@@ -5,6 +5,7 @@ Records have the columns ``id``, ``name`` and ``dept``.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -29,8 +30,8 @@ def attendance_by_groups(records: DataFrame, dept: str = "Accounts") -> DataFram
 
 
 class CountByLabel(CombineFn):
-    """How often each label occurs, as one list. For label sets of bounded size:
-    the accumulator holds every label."""
+    """How often each label occurs, as one list. The accumulator holds every label, so this
+    is for label sets of bounded size; a count per name belongs under the name as a key."""
 
     def create_accumulator(self) -> dict:
         return {}
@@ -40,11 +41,7 @@ class CountByLabel(CombineFn):
         return accumulator
 
     def merge_accumulators(self, accumulators: Sequence[dict]) -> dict:
-        merged: dict = {}
-        for accumulator in accumulators:
-            for label, count in accumulator.items():
-                merged[label] = merged.get(label, 0) + count
-        return merged
+        return dict(sum(map(Counter, accumulators), Counter()))
 
     def extract_output(self, accumulator: dict) -> list[dict]:
         return [{"label": label, "n": count} for label, count in accumulator.items()]

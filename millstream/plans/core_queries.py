@@ -14,6 +14,7 @@ from ..functions.text import (
     field, fields_after, from_bytes, join_fields, pair_text, split_fields, strip_all, to_bytes,
 )
 from ..operators.pardo import tagged_output
+from ..operators.grouping import sum_list
 from ..sources import create, create_from_map
 from . import attendance, cards, loans, sales, words
 from .registry import query
@@ -46,17 +47,51 @@ def group_then_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attendance.attendance_by_groups(order_records(spark, sf_dir), URGENT)
 
 
+def urgent_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_records(spark, sf_dir).where(F.col("dept") == URGENT)
+
+
+def id_list(values: str) -> list[Column]:
+    """How many values a list stands for, and the values in order."""
+    n = F.aggregate(values, F.lit(0).cast("bigint"), lambda acc, v: acc + v["times"])
+    ids = F.array_sort(F.col(values)["value"]).cast("array<string>")
+    return [n.alias("n"), F.concat_ws(",", ids).alias("ids")]
+
+
 @query("""
-SELECT o_custkey AS name, 0 AS chunk, count(*) AS n,
-       string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS ids
-FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1
+SELECT o_custkey AS name, o_orderkey AS id, count(*) AS times
+FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1, 2
 """)
 def group_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = order_records(spark, sf_dir).where(F.col("dept") == URGENT)
-    groups = op.group_by_key(rows, ["name"], "id")
-    return groups.select(
-        "name", "chunk", F.size("values").cast("bigint").alias("n"),
-        F.concat_ws(",", F.array_sort("values").cast("array<string>")).alias("ids"))
+    return op.count_values(urgent_orders(spark, sf_dir), ["name"], "id", "id")
+
+
+GROUP_LISTS_SQL = """
+SELECT o_custkey AS name, {chunk} count(*) AS n,
+       string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS ids
+FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY ALL
+"""
+
+
+@query(GROUP_LISTS_SQL.format(chunk=""))
+def group_by_key_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = op.group_by_key(urgent_orders(spark, sf_dir), ["name"], "id")
+    return groups.select("name", *id_list("values"))
+
+
+@query(GROUP_LISTS_SQL.format(chunk="CAST(o_orderkey % 4 AS INTEGER) AS chunk,"))
+def group_by_key_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = op.group_by_key(urgent_orders(spark, sf_dir), ["name"], "id",
+                             chunk=(F.col("value") % 4).cast("int"))
+    return groups.select("name", "chunk", *id_list("values"))
+
+
+@query(ATTENDANCE_SQL)
+def group_then_fold_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The count by lists of order ids in seven pieces, folded and merged."""
+    rows = urgent_orders(spark, sf_dir)
+    groups = op.group_by_key(rows.select("name", F.lit(1).alias("one")), ["name"], "one", chunks=7)
+    return op.fold_groups(groups, ["name"], sum_list, name="n")
 
 
 @query("SELECT o_orderpriority AS label, count(*) AS n FROM orders GROUP BY 1")
@@ -250,26 +285,27 @@ def pardo_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class NameKinds(op.DoFn):
-    """The tagged outputs again, from a function of the caller."""
+    """The tagged outputs again, from a function of the caller: the first rule that
+    holds names the output."""
 
     def process(self, element, cutoff: int, marker: str):
-        if element.name.startswith(marker):
-            yield element.name
-        elif len(element.name) <= cutoff:
-            yield op.Tagged("Short_Names", element.name)
-        else:
-            yield op.Tagged("Long_Names", element.name)
+        name = element.name
+        rules = [(marker, name.startswith(marker)), ("Short_Names", len(name) <= cutoff),
+                 ("Long_Names", True)]
+        yield op.Tagged(next(tag for tag, holds in rules if holds), name)
 
 
 @query("""
-SELECT p_name AS name FROM part
-WHERE NOT starts_with(p_name, 'red') AND length(p_name) <= 9
+SELECT p_name AS name, CASE WHEN starts_with(p_name, 'red') THEN 'red'
+                            WHEN length(p_name) <= 9 THEN 'Short_Names' ELSE 'Long_Names' END AS tag
+FROM part
 """)
 def pardo_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = table(spark, sf_dir, "part").select(F.col("p_name").alias("name"))
     kinds = {"red": "name string", "Short_Names": "name string", "Long_Names": "name string"}
     tagged = op.par_do_tagged(names, NameKinds(), kinds, "red", 9, "red")
-    return tagged_output(tagged, "Short_Names")
+    outputs = [tagged_output(tagged, k).withColumn("tag", F.lit(k)) for k in kinds]
+    return op.flatten(*outputs)
 
 
 @query(f"""
@@ -408,23 +444,38 @@ def customer_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     return customers, orders
 
 
-@query("""
-SELECT coalesce(c.key, o.key) AS key, 0 AS chunk, coalesce(c.names, '') AS names,
+COGROUP_SQL = """
+SELECT coalesce(c.key, o.key) AS key, {chunk} coalesce(c.names, '') AS names,
        coalesce(o.ids, '') AS ids, coalesce(o.n, 0) AS n
-FROM (SELECT c_custkey AS key, string_agg(c_name, ',' ORDER BY c_name) AS names
+FROM (SELECT c_custkey AS key, 0 AS chunk, string_agg(c_name, ',' ORDER BY c_name) AS names
       FROM customer GROUP BY 1) c
-FULL JOIN (SELECT o_custkey AS key, count(*) AS n,
+FULL JOIN (SELECT o_custkey AS key, {piece} AS chunk, count(*) AS n,
                   string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS ids
-           FROM orders GROUP BY 1) o ON c.key = o.key
-""")
+           FROM orders GROUP BY 1, 2) o ON c.key = o.key AND c.chunk = o.chunk
+"""
+
+
+def cogroup_lists(groups: DataFrame, *more: str) -> DataFrame:
+    times = F.aggregate("loc", F.lit(0).cast("bigint"), lambda acc, r: acc + r["times"])
+    return groups.select(
+        "key", *more, F.concat_ws(",", F.array_sort("dep.row.name")).alias("names"),
+        F.concat_ws(",", F.array_sort("loc.row.order_id").cast("array<string>")).alias("ids"),
+        times.alias("n"))
+
+
+@query(COGROUP_SQL.format(chunk="", piece="0"))
 def cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers, orders = customer_inputs(spark, sf_dir)
-    groups = op.cogroup({"dep": customers, "loc": orders}, ["key"])
-    return groups.select(
-        "key", "chunk",
-        F.concat_ws(",", F.array_sort("dep.name")).alias("names"),
-        F.concat_ws(",", F.array_sort("loc.order_id").cast("array<string>")).alias("ids"),
-        F.size("loc").cast("bigint").alias("n"))
+    return cogroup_lists(op.cogroup({"dep": customers, "loc": orders}, ["key"]))
+
+
+@query(COGROUP_SQL.format(
+    chunk="coalesce(c.chunk, o.chunk) AS chunk,", piece="CAST(o_orderkey % 3 AS INTEGER)"))
+def cogroup_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers, orders = customer_inputs(spark, sf_dir)
+    pieces = {"dep": F.lit(0), "loc": F.col("order_id") % 3}
+    groups = op.cogroup({"dep": customers, "loc": orders}, ["key"], chunk=pieces)
+    return cogroup_lists(groups, "chunk")
 
 
 @query("""
@@ -534,7 +585,9 @@ def loan_late_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(LOAN_CTE.format(minimum=4) + "SELECT * FROM medical")
 def loan_medical_defaulters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flags = loans.late_flags(loan_records(spark, sf_dir), ["customer_id"])
+    # the filter stands on the stored column, where the scan can use it
+    records = loan_records(spark, sf_dir, URGENT)
+    flags = loans.late_flags(records, ["customer_id"])
     return loans.medical_defaulters(flags, ["customer_id"])
 
 
@@ -550,18 +603,31 @@ def loan_personal_defaulters_from_five(spark: SparkSession, sf_dir: str) -> Data
     return loans.personal_defaulters(flags, ["customer_id"], min_missed=5)
 
 
-@query(LOAN_CTE.format(minimum=4) + """
-SELECT customer_id, 0 AS chunk, count(*) AS n, CAST(sum(late) AS BIGINT) AS late FROM flags
+PAYMENTS_SQL = LOAN_CTE.format(minimum=4) + """
+SELECT customer_id, count(*) AS n, CAST(sum(late) AS BIGINT) AS late FROM flags
 WHERE tag = 'personal_loan' GROUP BY 1
-""")
-def loan_payments_per_person(spark: SparkSession, sf_dir: str) -> DataFrame:
+"""
+
+
+def personal_payments(spark: SparkSession, sf_dir: str, chunks: int) -> DataFrame:
+    """Payments and late ones per person, from the lists."""
     flags = loans.late_flags(loan_records(spark, sf_dir), ["customer_id"])
     personal = flags.where(F.col("tag") == "personal_loan")
-    lists = loans.payments_per_person(personal, ["customer_id"])
-    total = F.aggregate("payments", F.lit(0).cast("bigint"), lambda acc, p: acc + p["late"])
-    return lists.select(
-        "customer_id", "chunk", F.size("payments").cast("bigint").alias("n"),
-        total.alias("late"))
+    lists = loans.payments_per_person(personal, ["customer_id"], chunks)
+    zero = F.lit(0).cast("bigint")
+    n = F.aggregate("payments", zero, lambda acc, p: acc + p["times"])
+    late = F.aggregate("payments", zero, lambda acc, p: acc + p["value"]["late"] * p["times"])
+    return lists.groupBy("customer_id").agg(F.sum(n).alias("n"), F.sum(late).alias("late"))
+
+
+@query(PAYMENTS_SQL)
+def loan_payments_per_person(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_payments(spark, sf_dir, 1)
+
+
+@query(PAYMENTS_SQL)
+def loan_payments_in_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_payments(spark, sf_dir, 5)
 
 
 @query(LOAN_CTE.format(minimum=4) + """

@@ -15,9 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.numbers import to_int
 from ..functions.text import join_fields, pair_text, strip_all
 from ..operators.cogroup import cogroup, flatten
-from ..sinks import write_messages, write_tagged, write_text
+from ..sinks import publish, write_messages, write_tagged, write_text
 from ..sources import read_messages, read_text
-from ..streaming.stateful import count_panes_stateful
+from ..sources.topics import to_messages
+from ..streaming import count_trigger
 from . import attendance, cards, layouts, loans, sales, words
 
 
@@ -80,14 +81,15 @@ def employees_with_locations(
     spark: SparkSession, employees: str, locations: str, target: str
 ) -> None:
     """One JSON line per id with the records of both files under ``dep_data`` and
-    ``loc_data``; a very large id comes in several lines."""
+    ``loc_data``."""
     groups = cogroup({
         "dep_data": layouts.keyed_rows(read_text(spark, employees)),
         "loc_data": layouts.keyed_rows(read_text(spark, locations)),
     }, ["key"])
     record = F.struct(
-        "key", F.col("dep_data.fields").alias("dep_data"),
-        F.col("loc_data.fields").alias("loc_data"))
+        "key", *[F.flatten(F.transform(side, lambda r: F.array_repeat(
+            r["row"]["fields"], r["times"].cast("int")))).alias(side)
+                for side in ("dep_data", "loc_data")])
     write_text(groups, target, F.to_json(record))
 
 
@@ -131,7 +133,8 @@ def merged_files(spark: SparkSession, sources: Sequence[str], target: str) -> No
 def passthrough(
     spark: SparkSession, source: str, target: str, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
-    messages = read_messages(spark, subscription=source)
+    """Messages keep their ids, so that a reader can drop what a retry has sent twice."""
+    messages = read_messages(spark, subscription=source, with_attributes=True)
     return write_messages(messages, target, checkpoint, available_now=available_now)
 
 
@@ -143,16 +146,12 @@ def _arrival(window):
     return lambda rows, delay: window(rows.withWatermark("element_time", delay))
 
 
-def _panes(rows: DataFrame, delay: str) -> DataFrame:
-    return count_panes_stateful(rows, ["store_id"], "profit", sales.PANE_ROWS)
-
-
 SALES_JOBS = {
     "fixed_event_time": (_event_time, "store_id"),
     "fixed_arrival_time": (_arrival(sales.profit_by_fixed_window), "store_id"),
     "sliding": (_arrival(sales.profit_by_sliding_window), "store_id"),
     "session": (_arrival(sales.pieces_by_session), "product_category"),
-    "panes": (_panes, "store_id"),
+    "panes": (None, "store_id"),  # counts rows in the order of arrival, without a watermark
 }
 
 
@@ -165,7 +164,15 @@ def sales_job(
     ``SALES_JOBS``; sales may arrive ``delay`` after newer ones and still count."""
     step, key = SALES_JOBS[kind]
     rows = sales.sales_from_messages(
-        read_messages(spark, subscription=source), cities, on_error)
+        read_messages(spark, subscription=source, with_attributes=True), cities, on_error)
     data = sales.result_payload(key) if payload is None else payload
+    if kind == "panes":
+        def send(panes: DataFrame) -> None:
+            ids = F.concat_ws("-", key, "pane")
+            publish(to_messages(panes, data, message_id=ids), target)
+
+        return count_trigger(
+            rows, [key], ["element_time", "message_id"], "profit", f"{checkpoint.rstrip('/')}-panes",
+            checkpoint, sales.PANE_ROWS, available_now=available_now, on_panes=send)
     return write_messages(
         step(rows, delay), target, checkpoint, data=data, available_now=available_now)

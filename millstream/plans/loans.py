@@ -101,10 +101,13 @@ def personal_defaulters(
     return months.select(*person, F.bit_count(missed).alias("n_missed"))
 
 
-def payments_per_person(flags: DataFrame, person: Sequence[str] = PERSON) -> DataFrame:
-    """Every person's payment records as lists of structs, all of them."""
+def payments_per_person(
+    flags: DataFrame, person: Sequence[str] = PERSON, chunks: int = 1
+) -> DataFrame:
+    """Every person's payment records as lists of structs ``value`` and ``times``, all of
+    them, in ``chunks`` pieces for all persons alike."""
     return group_by_key(
-        flags, person, F.struct("due_date", "payment_date", "late"), "payments")
+        flags, person, F.struct("due_date", "payment_date", "late"), "payments", chunks)
 
 
 def defaulters(

@@ -29,8 +29,9 @@ def sales_from_messages(
     messages: DataFrame, cities: Sequence[str] = CITIES, on_error: str = "raise"
 ) -> DataFrame:
     """Payload bytes to sale rows of the cities, with ``profit`` and the message's
-    ``element_time``."""
-    rows = sale_rows(messages, from_bytes("data"), ["element_time"], on_error)
+    ``element_time``, and its ``message_id`` if there is one."""
+    more = [c for c in ("element_time", "message_id") if c in messages.columns]
+    rows = sale_rows(messages, from_bytes("data"), more, on_error)
     return with_profit(rows.where(F.col("store_location").isin(*cities)))
 
 

@@ -7,6 +7,8 @@ query uses fresh paths in the shared scratch folder.
 
 from __future__ import annotations
 
+import datetime as dt
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from ..functions.text import from_bytes, to_bytes
 from ..operators.windows import windowed
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path, settings
 from ..sinks import publish, write_messages
 from ..sources.topics import drop_repeats, read_messages, to_messages
 from ..streaming import (
@@ -29,7 +31,6 @@ from .window_queries import ARRIVAL_SQL, FIXED_SQL, PANES_SQL, SESSION_SQL, SLID
 EVENT_FIELDS = ["event_id", "user_id", "event_type", "cents", "at"]
 EVENT_JSON = "event_id bigint, user_id bigint, event_type string, cents bigint, at bigint"
 SENTINEL = "sentinel"
-FAR_FUTURE = "2200-01-01 00:00:00"
 NO_ZONE = "timestamp_ntz"
 
 CENTS = "CAST(round(value * 100) AS BIGINT)"
@@ -53,12 +54,26 @@ class Topic:
 
 
 def new_topic(spark: SparkSession, name: str) -> Topic:
-    # event times have no zone; they are taken as UTC on both sides of the stream
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     base = scratch_path(spark, name)
     return Topic(spark, f"{base}/topic", f"{base}/result", f"{base}/checkpoint")
 
 
+def stream_query(sql: str | None = None) -> Callable:
+    """Register a query that runs streams. Event times have no zone; they are taken as UTC
+    on both sides of the stream, and the result is fixed before the session's own zone
+    holds again."""
+
+    def wrap(fn: Callable) -> Callable:
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            with settings(spark, {"spark.sql.session.timeZone": "UTC"}):
+                return cut_lineage(fn(spark, sf_dir))
+
+        return query(sql)(run)
+
+    return wrap
+
+
 def event_messages(
     events: DataFrame, message_id: Column | None = None, publish_time: Column | None = None
 ) -> DataFrame:
@@ -79,11 +94,15 @@ def decoded(messages: DataFrame, from_record: bool = False) -> DataFrame:
     return rows.select(time.alias("ts"), "message_id", "e.*").drop("at")
 
 
-def close(topic: Topic) -> None:
+def close(topic: Topic, batches: list[DataFrame]) -> None:
+    """Publish the sentinel, two years after the last event."""
+    last = max(filter(None, (b.agg(F.max("ts")).first()[0] for b in batches)),
+               default=dt.datetime(2000, 1, 1))
+    after = (last + dt.timedelta(days=730)).strftime("%Y-%m-%d %H:%M:%S")
     fields = {"event_id": F.lit(-1), "user_id": F.lit(-1), "event_type": F.lit(SENTINEL),
-              "cents": F.lit(0), "at": F.unix_micros(F.lit(FAR_FUTURE).cast("timestamp"))}
+              "cents": F.lit(0), "at": F.unix_micros(F.lit(after).cast("timestamp"))}
     payload = to_bytes(F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()])))
-    publish(sentinel_message(topic.spark, payload, FAR_FUTURE, message_id=F.lit(SENTINEL)),
+    publish(sentinel_message(topic.spark, payload, after, message_id=F.lit(SENTINEL)),
             topic.uri)
 
 
@@ -104,15 +123,17 @@ def through_windows(
         sent = F.current_timestamp() if from_record else None
         publish(event_messages(batch, publish_time=sent), topic.uri)
         consume()
-    close(topic)
+    close(topic, batches)
     consume()
     result = spark.read.parquet(topic.result)
-    result = result.where(F.col("window_start") < F.lit("2199-01-01").cast("timestamp"))
+    for key, mark in (("event_type", SENTINEL), ("user_id", -1)):
+        if key in result.columns:
+            result = result.where(~F.col(key).eqNullSafe(F.lit(mark)))
     bounds = {c: F.col(c).cast(NO_ZONE) for c in ("window_start", "window_end")}
     return result.withColumns(bounds)
 
 
-@query(f"SELECT event_id, user_id, event_type, {CENTS} AS cents FROM events")
+@stream_query(f"SELECT event_id, user_id, event_type, {CENTS} AS cents FROM events")
 def stream_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = new_topic(spark, "passthrough-in"), new_topic(spark, "passthrough-out")
     publish(event_messages(event_records(spark, sf_dir)), source.uri)
@@ -122,7 +143,7 @@ def stream_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded(arrived).drop("ts", "message_id")
 
 
-@query(FIXED_SQL)
+@stream_query(FIXED_SQL)
 def stream_fixed_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By the time in the record; when the message was sent plays no part."""
     return through_windows(
@@ -131,7 +152,7 @@ def stream_fixed_window(spark: SparkSession, sf_dir: str) -> DataFrame:
         from_record=True)
 
 
-@query(ARRIVAL_SQL)
+@stream_query(ARRIVAL_SQL)
 def stream_arrival_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """By the time of the message."""
     return through_windows(
@@ -139,21 +160,21 @@ def stream_arrival_window(spark: SparkSession, sf_dir: str) -> DataFrame:
         lambda rows: op.fixed_windows(rows, ["user_id"], "ts", "cents", "1 day"))
 
 
-@query(SLIDING_SQL)
+@stream_query(SLIDING_SQL)
 def stream_sliding_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return through_windows(
         spark, "sliding", [event_records(spark, sf_dir)], "1 hour",
         lambda rows: op.sliding_windows(rows, ["event_type"], "ts", "cents", "2 hours", "1 hour"))
 
 
-@query(SESSION_SQL)
+@stream_query(SESSION_SQL)
 def stream_session_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return through_windows(
         spark, "session", [event_records(spark, sf_dir)], "1 hour",
         lambda rows: op.session_windows(rows, ["user_id"], "ts", "cents", 6 * 3600))
 
 
-@query(f"""
+@stream_query(f"""
 WITH moved AS (
   SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 10 DAY AS watermark
   FROM events WHERE event_type <> 'error'
@@ -176,7 +197,7 @@ def late_data_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum("cents").alias("total"), F.count(F.lit(1)).alias("n")))
 
 
-@query(PANES_SQL)
+@stream_query(PANES_SQL)
 def stream_count_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first half of January and the rest arrive in separate batches; open panes
     go on from one to the next."""
@@ -191,7 +212,7 @@ def stream_count_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_panes(spark, topic.result)
 
 
-@query("""
+@stream_query("""
 SELECT user_id || '-' || event_type AS message_id, count(DISTINCT user_id || event_type) AS n
 FROM events GROUP BY 1
 """)

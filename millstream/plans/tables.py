@@ -35,10 +35,13 @@ def card_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(60000.0).alias("max_credit_limit"))
 
 
-def loan_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as loan payments of the part's buyer, with 900 days to pay."""
+def loan_records(spark: SparkSession, sf_dir: str, priority: str | None = None) -> DataFrame:
+    """Line items as loan payments of the part's buyer, with 900 days to pay; of all
+    orders or those of one priority."""
     items = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_shipdate")
     orders = table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate", "o_orderpriority")
+    if priority:
+        orders = orders.where(F.col("o_orderpriority") == priority)
     return items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_partkey").alias("customer_id"),
         F.when(F.col("o_orderpriority") == "1-URGENT", "Medical Loan")

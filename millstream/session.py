@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,14 +66,36 @@ def scratch_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if root is None:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="millstream-")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(root)
+        root = _own_folder()
     return root
 
 
+@functools.cache
+def _own_folder() -> str:
+    """This process's folder, removed when it ends."""
+    root = tempfile.mkdtemp(prefix="millstream-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the length of a block."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared scratch folder; nothing is created yet."""
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from .avro_container import AvroContainer
-from .paths import load_or_empty, set_split_bytes
+from .paths import load_or_empty
 
 
 def read_parquet(
@@ -14,12 +13,10 @@ def read_parquet(
     path: str | list[str],
     *,
     columns: list[str] | None = None,
-    split_bytes: int | None = None,
     validate: bool = True,
     schema: str | None = None,
 ) -> DataFrame:
     """Parquet files, restricted to ``columns`` so that only these are read."""
-    set_split_bytes(spark, split_bytes)
     paths = [path] if isinstance(path, str) else path
     reader = spark.read.schema(schema) if schema else spark.read
     if not validate and not schema:
@@ -28,32 +25,26 @@ def read_parquet(
     return df.select(*columns) if columns else df
 
 
-def avro_module_missing(error: AnalysisException) -> bool:
-    """Spark's own Avro module is not on the class path."""
-    return "data source: avro" in str(error) or error.getCondition() == "DATA_SOURCE_NOT_FOUND"
+def avro_module(error: AnalysisException) -> Exception:
+    """What to raise for ``error``: a missing Avro module is named."""
+    text = str(error)
+    if "data source: avro" in text or error.getCondition() == "DATA_SOURCE_NOT_FOUND":
+        return RuntimeError(
+            "Avro needs Spark's module org.apache.spark:spark-avro on the class path "
+            "(spark.jars.packages)")
+    return error
 
 
 def read_avro(
     spark: SparkSession,
     path: str,
     *,
-    split_bytes: int | None = None,
     validate: bool = True,
     schema: str | None = None,
 ) -> DataFrame:
-    """Avro container files; blocks of one file can go to several tasks. Read with
-    Spark's module where it is there, else with the package's data source."""
-    set_split_bytes(spark, split_bytes)
+    """Avro container files, with Spark's Avro module."""
     try:
         return load_or_empty(
             spark, lambda: spark.read.format("avro").load(path), validate, schema or "")
     except AnalysisException as error:
-        if not avro_module_missing(error):
-            raise
-    spark.dataSource.register(AvroContainer)
-    reader = spark.read.format(AvroContainer.name()).option("validate", validate)
-    if split_bytes:
-        reader = reader.option("splitBytes", split_bytes)
-    if schema:
-        reader = reader.schema(schema)
-    return reader.load(path)
+        raise avro_module(error) from error

@@ -28,9 +28,3 @@ def load_or_empty(
     """Run ``load``; with ``validate=False`` a missing path gives an empty frame."""
     df = load_or_none(load, validate)
     return spark.createDataFrame([], empty_schema) if df is None else df
-
-
-def set_split_bytes(spark: SparkSession, split_bytes: int | None) -> None:
-    """Largest part of a file that one task reads (a session setting in Spark)."""
-    if split_bytes:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))

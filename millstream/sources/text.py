@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .paths import load_or_empty, load_or_none, set_split_bytes
+from .paths import load_or_empty, load_or_none
 
 
 def read_text(
@@ -18,7 +20,6 @@ def read_text(
     skip_header_lines: int = 0,
     strip_trailing_newlines: bool = True,
     line_separator: str | None = None,
-    split_bytes: int | None = None,
     validate: bool = True,
 ) -> DataFrame:
     """One row ``value`` per line; ``path`` may hold globs. Lines end with a line feed,
@@ -28,7 +29,6 @@ def read_text(
     ``strip_trailing_newlines`` each value keeps its line end; a file whose last
     line has none gets one.
     """
-    set_split_bytes(spark, split_bytes)
     ending = line_separator or "\n"
     reader = spark.read.option("lineSep", ending)
     lines = load_or_none(lambda: reader.text(path), validate)
@@ -49,32 +49,28 @@ def _skip_headers(lines: DataFrame, n: int) -> DataFrame:
     """Drop the first ``n`` lines of every file.
 
     A file's lines reach a task in file order, and its header lies in the block
-    that starts at byte 0, so counting within that block is enough.
+    that starts at byte 0, so counting within that block is enough. Lines are looked at in
+    runs of one block, never one by one.
     """
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, seen = None, 0
         for batch in batches:
-            keep = []
-            starts = batch.column("at_start").to_pylist()
-            files = batch.column("file").dictionary_encode()
-            names, codes = files.dictionary.to_pylist(), files.indices.to_pylist()
-            for code, first_block in zip(codes, starts, strict=True):
-                if not first_block:
-                    keep.append(True)
-                    continue
-                if names[code] != current:
-                    current, seen = names[code], 0
-                seen += 1
-                keep.append(seen > n)
-            yield batch.select(["value"]).filter(pa.array(keep, pa.bool_()))
+            files = batch.column("file")
+            keep = np.ones(len(files), bool)
+            runs, start = pc.run_end_encode(files), 0
+            for name, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist(), strict=True):
+                if name != current:
+                    current, seen = name, 0
+                if name:
+                    keep[start:min(end, start + max(n - seen, 0))] = False
+                seen, start = seen + end - start, end
+            yield batch.select(["value"]).filter(pa.array(keep))
 
-    tagged = lines.select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        (F.col("_metadata.file_block_start") == 0).alias("at_start"),
-    )
-    return tagged.mapInArrow(drop, "value string")
+    # the name of the file for lines of its first block, nothing for all others
+    name = F.when(F.col("_metadata.file_block_start") == 0, F.col("_metadata.file_path"))
+    return lines.select("value", F.coalesce(name, F.lit("")).alias("file")).mapInArrow(
+        drop, "value string")
 
 
 def read_csv(

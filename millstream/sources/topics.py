@@ -34,10 +34,17 @@ def to_messages(
     timestamp_attribute: str | None = None,
 ) -> DataFrame:
     """Rows as messages. ``id_label`` also puts the id under that attribute name,
-    ``timestamp_attribute`` the publish time in milliseconds since the epoch."""
+    ``timestamp_attribute`` the publish time in milliseconds since the epoch.
+
+    Without ``message_id`` a row keeps the id it has, or gets one that a task that runs
+    again gives it again: from its content and, in a table, its place. Rows of a stream
+    that agree in every column then share an id.
+    """
+    if message_id is None:
+        message_id = F.col("message_id") if "message_id" in df.columns else _content_id(df, data)
     staged = df.select(
         data.cast("binary").alias("data"),
-        (message_id if message_id is not None else F.uuid()).cast("string").alias("message_id"),
+        message_id.cast("string").alias("message_id"),
         (publish_time if publish_time is not None else F.current_timestamp())
         .cast("timestamp").alias("publish_time"),
         *[c.cast("string").alias(f"attr_{i}") for i, c in enumerate((attributes or {}).values())],
@@ -55,6 +62,14 @@ def to_messages(
     return staged.select("data", attribute_map.alias("attributes"), "message_id", "publish_time")
 
 
+def _content_id(df: DataFrame, data: Column) -> Column:
+    row = F.concat_ws("|", F.hex(data.cast("binary")), F.to_json(F.struct("*"))) if df.columns \
+        else F.hex(data.cast("binary"))
+    if not df.isStreaming:
+        row = F.concat_ws("|", row, F.monotonically_increasing_id())
+    return F.sha2(row, 256)
+
+
 def read_messages(
     spark: SparkSession,
     topic: str | None = None,
@@ -119,9 +134,15 @@ def drop_repeats(
 
 
 def first_per_id(df: DataFrame, ids: list[str], order: Column) -> DataFrame:
-    """The row with the smallest ``order`` for every id; repeats collapse before the shuffle."""
+    """The row with the smallest ``order`` for every id, of several the one with the
+    smallest message id, then payload, then other columns; repeats collapse before the
+    shuffle."""
     rest = [c for c in df.columns if c not in ids]
-    kept = df.groupBy(*ids).agg(F.min_by(F.struct(*rest), F.struct(order)).alias("kept"))
+    sorted_kinds = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    ties = [c for c in ("message_id", "data") if c in rest]
+    ties += [c for c in rest if c in sorted_kinds and c not in ties]
+    first = F.struct(order.alias("_order"), *ties)
+    kept = df.groupBy(*ids).agg(F.min_by(F.struct(*rest), first).alias("kept"))
     return kept.select(*ids, "kept.*").select(*df.columns)
 
 

@@ -1,8 +1,6 @@
 from .panes import count_trigger, read_panes
 from .runner import run_available, sentinel_message, stream_to_table
-from .stateful import count_panes_stateful
 
 __all__ = [
-    "count_panes_stateful", "count_trigger", "read_panes", "run_available", "sentinel_message",
-    "stream_to_table",
+    "count_trigger", "read_panes", "run_available", "sentinel_message", "stream_to_table",
 ]

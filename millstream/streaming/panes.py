@@ -1,22 +1,28 @@
 """The count trigger on a stream.
 
-Each micro-batch is a table, so it is cut into panes by the same operator as a
-table. What a key has left over goes into the next batch through a state table
-that lies beside the checkpoint. A batch that runs again after a failure starts
-from the same state and replaces its own result.
+Each micro-batch is a table, so it is cut into panes by the same operator as a table, in
+the order of arrival. What a key has left over goes into the next batch through tables
+beside the checkpoint: a batch writes the open panes of its own keys and no others, dealt
+to buckets by a hash of the key, and reads back only the buckets its keys are in. Every
+``COMPACT`` batches the open panes of all keys are gathered into one snapshot, so that a
+batch never reads more than that many tables. A batch that runs again after a failure
+starts from the same state and replaces its own result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.panes import pane_state, pane_sums
 
+BUCKETS = 64
+COMPACT = 20
+
 
 def count_trigger(
     df: DataFrame,
@@ -28,14 +34,27 @@ def count_trigger(
     size: int = 5,
     name: str = "total",
     available_now: bool = True,
+    on_panes: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
-    """Start a stream that writes the panes of every micro-batch below ``path``.
-    Within a batch the rows of a key are taken by ``order``."""
+    """Start a stream that writes the panes of every micro-batch below ``path``. Batches
+    follow each other; within one the rows of a key are taken by ``order``, which must
+    put them in one definite order. ``on_panes`` gets the full panes of each batch; a
+    batch that runs again hands over the same ones again."""
+    keys = list(keys)
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
-        state = _state(batch.sparkSession, path, batch_id, keys, size, name)
-        sums = pane_sums(batch, keys, order, value, size, name, state=state)
-        sums.write.mode("overwrite").parquet(_folder(path, batch_id))
+        rows = batch.persist()  # read by the count of hot keys, the state and the panes
+        try:
+            spark = rows.sparkSession
+            state = _open_panes(rows, path, batch_id, keys)
+            sums = pane_sums(rows, keys, order, value, size, name, state=state)
+            sums.write.mode("overwrite").parquet(f"{path}/panes/batch={batch_id}")
+            done = spark.read.schema(sums.schema).parquet(f"{path}/panes/batch={batch_id}")
+            _write(pane_state(done, keys, size, name), f"{path}/state/batch={batch_id}", keys)
+            if on_panes:
+                on_panes(done.where(F.col("n") == size).drop("n"))
+        finally:
+            rows.unpersist()
 
     writer = df.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
@@ -43,21 +62,57 @@ def count_trigger(
 
 def read_panes(spark: SparkSession, path: str, size: int = 5) -> DataFrame:
     """The full panes a stream has emitted so far."""
-    written = spark.read.parquet(path)
+    written = spark.read.parquet(f"{path}/panes")
     return written.where(F.col("n") == size).drop("n", "batch")
 
 
-def _state(
-    spark: SparkSession, path: str, batch_id: int, keys: Sequence[str], size: int, name: str
-) -> DataFrame | None:
-    if batch_id == 0:
-        return None
+def _bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+
+def _write(state: DataFrame, place: str, keys: Sequence[str]) -> None:
+    state.withColumn("bucket", _bucket(keys)).write.mode("overwrite").partitionBy(
+        "bucket").parquet(place)
+
+
+def _saved(spark: SparkSession, path: str, first: int, batch_id: int) -> DataFrame | None:
+    """Open panes of the batches from ``first`` on and of the snapshot before them, with
+    the number of the batch they are from; the snapshot's are from before all."""
     try:
-        last = spark.read.parquet(_folder(path, batch_id - 1))
+        frames = []
+        if batch_id > first:
+            places = [f"{path}/state/batch={b}" for b in range(first, batch_id)]
+            frames.append(spark.read.option("basePath", f"{path}/state").parquet(*places))
+        if first:
+            snapshot = spark.read.parquet(f"{path}/snapshot/before={first}")
+            frames.append(snapshot.withColumn("batch", F.lit(-1)))
     except AnalysisException as error:
-        raise RuntimeError(f"no panes of batch {batch_id - 1} below {path}") from error
-    return pane_state(last, keys, size, name)
+        raise RuntimeError(f"the state before batch {batch_id} is missing below {path}") from error
+    if not frames:
+        return None
+    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+
 
+def _latest(saved: DataFrame, keys: Sequence[str]) -> DataFrame:
+    rest = [c for c in saved.columns if c not in (*keys, "batch", "bucket")]
+    last = saved.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("last"))
+    return last.select(*keys, "last.*")
 
-def _folder(path: str, batch_id: int) -> str:
-    return f"{path}/batch={batch_id}"
+
+def _open_panes(rows: DataFrame, path: str, batch_id: int, keys: Sequence[str]
+                ) -> DataFrame | None:
+    """The open panes of the keys of this batch."""
+    spark = rows.sparkSession
+    first = batch_id - batch_id % COMPACT
+    if batch_id and batch_id == first:
+        before = _saved(spark, path, batch_id - COMPACT, batch_id)
+        _write(_latest(before, keys), f"{path}/snapshot/before={batch_id}", keys)
+    saved = _saved(spark, path, first, batch_id)
+    if saved is None:
+        return None
+    present = rows.select(*keys).distinct()
+    touched = [r[0] for r in present.select(_bucket(keys)).distinct().collect()]  # few numbers
+    near = saved.where(F.col("bucket").isin(touched))
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    present = present.select(*[F.col(k).alias(f"_of_{k}") for k in keys])
+    return _latest(near, keys).join(present, same, "left_semi")

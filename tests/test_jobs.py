@@ -9,9 +9,9 @@ from test_plans import CARDS, DEPT, monthly, sale_messages
 from test_streams import CLOSING_SALE, FUTURE
 
 from millstream.functions.text import to_bytes
-from millstream.plans import jobs
+from millstream.plans import jobs, sales
 from millstream.sinks import publish
-from millstream.sources import read_messages, read_text
+from millstream.sources import read_messages, read_text, to_messages
 from millstream.streaming import run_available, sentinel_message
 
 
@@ -88,6 +88,40 @@ def test_sales_jobs(spark, scratch, kind, expected):
     assert {r[0] for r in got.collect() if "END" not in r[0]} == expected
 
 
+@pytest.mark.parametrize("per_file", [7, 42])
+def test_panes_job_counts_in_order_of_arrival(spark, scratch, per_file):
+    """Messages of files that hold them in another order than they arrived."""
+    source, target = f"dir:{scratch('in')}", f"dir:{scratch('out')}"
+    checkpoint = scratch("checkpoint")
+    lines = [(f"S1,Mumbai,P1,Toys,1,0,{i}", i) for i in range(42)]
+    for start in range(0, 42, per_file):
+        part = list(reversed(lines[start:start + per_file]))
+        frame = spark.createDataFrame(part, "line string, at int")
+        publish(to_messages(frame, to_bytes("line"), publish_time=F.timestamp_seconds("at")), source)
+        run_available(jobs.sales_job(
+            spark, "panes", source, target, checkpoint, available_now=True))
+    got = read_messages(spark, topic=target, streaming=False, with_attributes=True)
+    sums = sorted(int(bytes(r["data"]).decode().split(", ")[1][:-1]) for r in got.collect())
+    assert sums == [10, 35, 60, 85, 110, 135, 160, 185]
+    assert {r["message_id"] for r in got.collect()} == {f"S1-{p}" for p in range(8)}
+
+
+def test_sliding_job(spark, scratch):
+    source, target = f"dir:{scratch('in')}", f"dir:{scratch('out')}"
+    checkpoint = scratch("checkpoint")
+    publish(sale_messages(spark), source)
+    for last in (False, True):
+        if last:
+            publish(sentinel_message(spark, to_bytes(F.lit(CLOSING_SALE)), FUTURE), source)
+        run_available(jobs.sales_job(
+            spark, "sliding", source, target, checkpoint, delay="100 seconds", available_now=True))
+    got = read_messages(spark, topic=target, streaming=False).select(F.decode("data", "UTF-8"))
+    table = sales.sales_from_messages(sale_messages(spark).withColumn(
+        "element_time", F.col("publish_time")))
+    want = [f"('{r.store_id}', {r.total})" for r in sales.profit_by_sliding_window(table).collect()]
+    assert sorted(r[0] for r in got.collect() if "END" not in r[0]) == sorted(want)
+
+
 def test_passthrough_job(spark, scratch):
     source, target = f"dir:{scratch('in')}", f"dir:{scratch('out')}"
     publish(sale_messages(spark), source)

@@ -76,7 +76,7 @@ def test_employees_with_locations(spark):
     places = create(spark, ["1,Pune,2nd floor", "9,Goa", "1,Delhi"], "value string")
     groups = cogroup({"dep_data": layouts.keyed_rows(lines(spark, DEPT)),
                       "loc_data": layouts.keyed_rows(places)}, ["key"])
-    got = {r["key"]: (len(r["dep_data"]), sorted(f[0] for f in r["loc_data"]))
+    got = {r["key"]: (len(r["dep_data"]), sorted(f["row"][0] for f in r["loc_data"]))
            for r in groups.collect()}
     assert got["1"] == (2, [["Delhi"], ["Pune", "2nd floor"]])
     assert got["9"] == (0, [["Goa"]]) and got["2"] == (1, [])
@@ -182,8 +182,9 @@ def test_all_defaulters_names_once_per_rule(spark):
 
 def test_payments_per_person_are_all_there(spark):
     got = loans.payments_per_person(loan_flags(spark, monthly("A", late=(3,)))).collect()
-    assert len(got) == 1 and len(got[0]["payments"]) == 12
-    assert sum(p["late"] for p in got[0]["payments"]) == 1
+    assert len(got) == 1
+    assert sum(p["times"] for p in got[0]["payments"]) == 12
+    assert sum(p["value"]["late"] * p["times"] for p in got[0]["payments"]) == 1
 
 
 SALES = """

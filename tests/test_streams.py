@@ -10,7 +10,7 @@ from millstream.sinks import publish, tap_stream, write_messages
 from millstream.sources import read_messages, to_messages
 from millstream.sources.topics import drop_repeats
 from millstream.streaming import (
-    count_panes_stateful, count_trigger, read_panes, run_available, sentinel_message, stream_to_table,
+    count_trigger, read_panes, run_available, sentinel_message, stream_to_table,
 )
 
 FUTURE = "2150-01-01 00:00:00"
@@ -117,24 +117,29 @@ def test_count_trigger_goes_on_over_batches_and_repeats_safely(spark, topic, scr
     assert rows(read_panes(spark, other)) == want
 
 
-def test_stateful_count_trigger(spark, topic, scratch):
-    text = "\n".join(f"S{i % 2 + 1},Mumbai,P,T,1,0,{i % 2 + 1}" for i in range(27))
-    messages = sale_messages(spark, text)
+def test_a_batch_writes_only_its_own_keys(spark, topic, scratch):
+    """Also after the open panes have been gathered into snapshots."""
     result, checkpoint = scratch("result"), scratch("checkpoint")
-    conf = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(conf)
-    spark.conf.set(
-        conf, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        for part in (F.unix_seconds("publish_time") < 1031, F.unix_seconds("publish_time") >= 1031):
-            publish(messages.where(part), topic)
-            kept = sales.sales_from_messages(read_messages(spark, topic=topic))
-            panes = count_panes_stateful(kept, ["store_id"], "profit")
-            run_available(stream_to_table(panes, result, checkpoint))
-    finally:
-        spark.conf.set(conf, before)
-    assert rows(spark.read.parquet(result)) == [
-        ("S1", 0, 5), ("S1", 1, 5), ("S2", 0, 10), ("S2", 1, 10)]
+    want, sent = {}, 0
+    for batch in range(23):
+        keys = range(40) if batch == 0 else [batch % 3]
+        lines = []
+        for k in keys:
+            lines.append((f"S{k},Mumbai,P,T,1,0,{sent}", sent))
+            want.setdefault(f"S{k}", []).append(sent)
+            sent += 1
+        frame = spark.createDataFrame(lines, "line string, at int")
+        publish(to_messages(frame, to_bytes("line"), message_id=F.col("at"),
+                            publish_time=F.timestamp_seconds("at")), topic)
+        kept = sales.sales_from_messages(
+            read_messages(spark, topic=topic, with_attributes=True))
+        run_available(count_trigger(kept, ["store_id"], ["element_time", "message_id"], "profit",
+                                    result, checkpoint, size=4))
+        if batch in (1, 20, 22):
+            written = spark.read.parquet(f"{result}/state/batch={batch}")
+            assert [r["store_id"] for r in written.collect()] == [f"S{batch % 3}"]
+    panes = [(k, p, sum(v[4 * p:4 * p + 4])) for k, v in want.items() for p in range(len(v) // 4)]
+    assert rows(read_panes(spark, result, 4)) == sorted(panes, key=repr)
 
 
 @pytest.mark.parametrize("salts", [0, 3])
