@@ -64,6 +64,7 @@ class Features:
         self.rows = rows
         size = np.maximum(np.diff(texts.offsets), 1)
         n_words = np.diff(words.first)
+        self.n_words = n_words
         some = np.maximum(n_words, 1)
         kinds = _KINDS[texts.data]
         shares = [row_sums(kinds == k, texts.offsets) / size for k in range(1, 8)]

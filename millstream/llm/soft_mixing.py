@@ -34,7 +34,7 @@ from ..plans.registry import query
 from ..session import cut_lineage
 from .factorisation import N_STATS, Features
 from .labelled import arrays_of, labelled_sample, sampled_rows, with_sample
-from .textwords import map_texts, read_table, words_of
+from .textwords import map_texts, read_table
 
 DOMAINS = ("good", "poor", "toxic")
 WEIGHTS = {"good": 0.87, "poor": 0.08, "toxic": 0.05}
@@ -139,7 +139,7 @@ def with_posteriors(docs: DataFrame, model: Softmax, keep: dict, text: str = "te
         def work(kept, texts):
             f = Features(texts, [], bits)
             p, _ = model.posterior(f.buckets, f.first, f.rows, f.stats)
-            tokens = np.diff(words_of(texts).first).astype(np.int64)
+            tokens = f.n_words.astype(np.int64)
             ends = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * p.shape[1])
             return [tokens, pa.ListArray.from_arrays(ends, pa.array(p.astype(np.float64).ravel()))]
         return work
@@ -226,9 +226,9 @@ def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], keep: dic
         min_rate: float = 0.0) -> DataFrame:
     """Columns ``keep``, ``_tokens``, ``_posterior`` and ``_rate``, for every row."""
     model = fit_domains(docs, labels, id_col, text)
-    compact = cut_lineage(with_posteriors(docs, model, {}, text))
-    history = fit_rates(compact, [weights[d] for d in DOMAINS], budget, min_rate)
-    return with_rates(with_posteriors(docs, model, keep, text), history, len(DOMAINS), min_rate)
+    scored = cut_lineage(with_posteriors(docs, model, keep, text))
+    history = fit_rates(scored, [weights[d] for d in DOMAINS], budget, min_rate)  # reads two columns
+    return with_rates(scored, history, len(DOMAINS), min_rate)
 
 
 @query()
