@@ -369,7 +369,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     projection = idf[:, None] * basis(y)
 
     def document_count(h: int) -> float:
-        return counts["word"][np.searchsorted(vocabulary, np.uint64(h))]
+        """Words of a few documents are equally rare: which copies of an item lack a word
+        must not decide what its answer is."""
+        return max(counts["word"][np.searchsorted(vocabulary, np.uint64(h))], 32.0)
 
     out = empty
     for block in blocks:
