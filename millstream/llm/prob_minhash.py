@@ -16,6 +16,15 @@ round, until everyone outside the bucket's largest component has led. So no link
 components within a bucket is missed, and a bucket of many near copies costs a few leaders
 times its size instead of all pairs.
 
+Texts that only share a frequent passage can also meet, in buckets that grow with the data.
+Members of buckets of more than ``LARGE`` texts are dealt anew by the prefix rule: with
+the shingles of each text ordered from rare to frequent, two texts of the wanted similarity
+must share one among the first ``size - ceil(threshold * size) + 1`` of both. That loses no
+link, and shingles of a frequent passage hardly ever come so early. Where two texts meet
+at such a shingle, what follows it in the shorter rest bounds their overlap; pairs that
+cannot reach the threshold that way are not formed (at the first shingle that they share
+the bound holds in full, so a link is never lost).
+
 A link is verified on whole shingle sets: Jaccard similarity of at least ``threshold``.
 
 Defined cases: texts of fewer than five words have no shingles and are near only to equal
@@ -28,7 +37,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.registry import query
@@ -41,6 +50,7 @@ from .textwords import (
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
+LARGE = 32
 _MASK = np.uint64((1 << 52) - 1)
 
 
@@ -118,7 +128,8 @@ def row_digests(texts: Texts, words: Words) -> list[np.ndarray]:
 
 
 def signatures(docs: DataFrame, id_col: str, text: str, bands: int, rows: int) -> DataFrame:
-    """id, two digests of the words and the hashes of the bands, for each row."""
+    """id, two digests of the words, the number of shingles and the hashes of the bands, for
+    each row."""
 
     def make():
         def work(kept, texts):
@@ -127,14 +138,15 @@ def signatures(docs: DataFrame, id_col: str, text: str, bands: int, rows: int) -
             row, element, counts = shingles(words)
             h = band_hashes(prob_minhash(row, element, 1 + np.log(counts), n, bands * rows),
                             bands, rows).view(np.int64)
-            some = np.bincount(row, minlength=n) > 0
+            size = np.bincount(row, minlength=n)
+            some = size > 0
             offsets = np.concatenate(([0], np.cumsum(some * bands))).astype(np.int32)
-            return [*row_digests(texts, words),
+            return [*row_digests(texts, words), size.astype(np.int32),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(h[some].reshape(-1)))]
         return work
 
     return map_texts(docs, text, {"id": F.col(id_col)},
-                     "d1 long, d2 long, bands array<long>", make)
+                     "d1 long, d2 long, size int, bands array<long>", make)
 
 
 def shingle_sets(docs: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -151,6 +163,39 @@ def shingle_sets(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     return map_texts(docs, text, {"id": F.col(id_col)}, "shingles binary", make)
 
 
+def prefix_buckets(sets: DataFrame, threshold: float) -> DataFrame:
+    """``(bucket, id, place, size)`` for the rarest shingles of each text, as many as any text of the
+    wanted similarity must share one of; shingles of one text alone are left out."""
+
+    def spread(batches):
+        for batch in batches:
+            sizes = [len(b.as_buffer()) // 8 for b in batch.column(1)]
+            if not sum(sizes):
+                continue
+            ids = batch.column(0).take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
+            values = np.concatenate([np.frombuffer(b.as_buffer(), np.int64)
+                                     for b in batch.column(1)])
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(values), pa.array(np.repeat(sizes, sizes).astype(np.int32))],
+                ["id", "bucket", "size"])
+
+    kind = sets.schema["id"].dataType.simpleString()
+    rows = cut_lineage(sets.select("id", "shingles").mapInArrow(
+        spread, f"id {kind}, bucket long, size int"))
+    common = rows.groupBy("bucket").agg(F.count("id").alias("texts")).where("texts > 1")
+    # shingles of one text come first in its order; how many there are is all that counts
+    shared = rows.join(common, "bucket")
+    order = Window.partitionBy("id").orderBy("texts", "bucket")  # the shingles of one text
+    place = F.row_number().over(order)
+    own = F.col("size") - F.count("bucket").over(Window.partitionBy("id"))
+    length = F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1
+    early = shared.withColumn("place", place + own).where(F.col("place") <= length)
+    early = cut_lineage(early.select(
+        F.xxhash64(F.lit("prefix"), "bucket").alias("bucket"), "id", "place", "size"))
+    again = early.groupBy("bucket").agg(F.count("id").alias("n")).where("n > 1").select("bucket")
+    return early.join(again, "bucket")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs ``(u, v)`` whose sets have a Jaccard similarity of ``threshold``."""
     both = (pairs.join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("a")), "u")
@@ -176,24 +221,25 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def _next_pairs(members: DataFrame, stars: DataFrame | None, led: DataFrame | None,
-                number: int) -> tuple[DataFrame, DataFrame]:
+                number: int, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Leaders ``(bucket, id)`` of a round, and the pairs of them with the members of
-    their buckets that belong to other components."""
+    their buckets that belong to other components and can be near enough."""
     if stars is None:
         now = members.withColumn("comp", F.col("id"))
     else:
-        now = members.join(stars.withColumnRenamed("u", "id"), "id", "left").select(
-            "bucket", "id", F.coalesce("v", "id").alias("comp"))
-    fresh = now.withColumn("new", F.col("id"))
+        now = members.join(stars.withColumnRenamed("u", "id"), "id", "left").withColumn(
+            "comp", F.coalesce("v", "id")).drop("v")
+    own = F.struct("id", "place", "size")
+    fresh = now.withColumn("new", own)
     if led is not None:
         fresh = now.join(led.withColumn("led", F.lit(True)), ["bucket", "id"], "left").withColumn(
-            "new", F.when(F.col("led").isNull(), F.col("id")))
+            "new", F.when(F.col("led").isNull(), own))
     parts = fresh.groupBy("bucket", "comp").agg(F.count("id").alias("n"),
                                                 F.min("new").alias("new"))
     mixed = parts.groupBy("bucket").agg(
         F.max(F.struct("n", "comp")).alias("big"), F.count("comp").alias("k")).where("k > 1")
-    share = F.least(F.lit(1.0), F.lit(2.0 * 4 ** (number - 1)) / (F.col("k") - 1))
-    chance = F.pmod(F.xxhash64("new"), F.lit(1 << 30)) / float(1 << 30)
+    share = F.least(F.lit(1.0), F.lit(2.0 * 6 ** (number - 1)) / (F.col("k") - 1))
+    chance = F.pmod(F.xxhash64("new.id"), F.lit(1 << 30)) / float(1 << 30)
     able = cut_lineage(parts.join(mixed, "bucket").where(
         (F.col("comp") != F.col("big.comp")) & F.col("new").isNotNull()
     ).select("bucket", F.col("new").alias("lead"), F.col("comp").alias("lead_comp"),
@@ -202,9 +248,13 @@ def _next_pairs(members: DataFrame, stars: DataFrame | None, led: DataFrame | No
     leaders = able.join(least, "bucket").where(
         (F.col("chance") < F.col("share")) | (F.col("chance") == F.col("least"))
     ).select("bucket", "lead", "lead_comp")
-    pairs = leaders.join(now, "bucket").where("comp != lead_comp").select(
-        F.least("lead", "id").alias("u"), F.greatest("lead", "id").alias("v")).distinct()
-    return leaders.select("bucket", F.col("lead").alias("id")), pairs
+    rest = F.least(F.col("lead.size") - F.col("lead.place"), F.col("size") - F.col("place")) + 1
+    needed = (F.col("lead.size") + F.col("size")) * (threshold / (1 + threshold)) - 1e-6
+    pairs = leaders.join(now.withColumnRenamed("bucket", "b"), (F.col("bucket") == F.col("b"))
+                         & (F.col("comp") != F.col("lead_comp")) & (rest >= needed))
+    pairs = pairs.select(F.least("lead.id", "id").alias("u"),
+                         F.greatest("lead.id", "id").alias("v")).distinct()
+    return leaders.select("bucket", F.col("lead.id").alias("id")), pairs
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
@@ -214,20 +264,32 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     ``class_id`` (the smallest id of its class of near duplicates)."""
     known = docs.where(F.col(id_col).isNotNull())
     base = cut_lineage(signatures(known, id_col, text, bands, rows))
-    nodes = base.groupBy("d1", "d2").agg(F.min(F.struct("id", "bands")).alias("r"))
-    nodes = cut_lineage(nodes.select("d1", "d2", F.col("r.id").alias("exact_id"), "r.bands"))
-    rows_of = nodes.select(F.explode("bands").alias("bucket"), F.col("exact_id").alias("id"))
-    crowded = rows_of.groupBy("bucket").agg(
-        F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("bucket")
-    members = cut_lineage(rows_of.join(crowded, "bucket").distinct())
+    nodes = base.groupBy("d1", "d2").agg(F.min(F.struct("id", "size", "bands")).alias("r"))
+    nodes = cut_lineage(
+        nodes.select("d1", "d2", F.col("r.id").alias("exact_id"), "r.size", "r.bands"))
+    rows_of = nodes.select(
+        F.explode("bands").alias("bucket"), F.col("exact_id").alias("id"), "size")
+    crowded = rows_of.groupBy("bucket").agg(F.count("id").alias("texts")).where("texts > 1")
+    members = cut_lineage(rows_of.join(crowded, "bucket"))
     chosen = members.select(F.col("id").alias("_near")).distinct()
     texts = known.select(id_col, text).join(chosen, F.col(id_col) == F.col("_near"), "left_semi")
     sets = cut_lineage(shingle_sets(
         texts.groupBy(id_col).agg(F.min(text).alias(text)), id_col, text))
+    large = members.where(F.col("texts") > LARGE).select("id").distinct()
+    # buckets of the same few texts are one bucket
+    few = members.where(F.col("texts") <= LARGE).groupBy("bucket").agg(
+        F.sort_array(F.collect_list(F.struct("id", "size"))).alias("all"))
+    few = few.select("all").distinct().select(
+        F.xxhash64("all").alias("bucket"), F.inline("all"), F.lit(1).alias("place"))
+    if large.isEmpty():
+        members = cut_lineage(few)
+    else:
+        members = cut_lineage(few.unionByName(
+            prefix_buckets(sets.join(large, "id", "left_semi"), threshold)))
     stars = led = done = None
     number = 1
     while True:
-        leaders, pairs = _next_pairs(members, stars, led, number)
+        leaders, pairs = _next_pairs(members, stars, led, number, threshold)
         if done is not None:
             pairs = pairs.join(done, ["u", "v"], "left_anti")
         pairs = cut_lineage(pairs)

@@ -89,10 +89,23 @@ def test_a_large_group_of_near_copies(spark):
     assert got == brute_force(rows)
 
 
+def test_a_passage_that_many_texts_share(spark):
+    """Most of them have nothing else in common; a few are near copies."""
+    rng = random.Random(4)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join(passage + [f"q{rng.randrange(10**6)}" for _ in range(rng.choice([3, 15, 40]))]))
+            for i in range(250)]
+    rows += [(1000 + i, rows[i][1] + " and") for i in range(0, 250, 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.class_id for r in near_classes(docs).collect()}
+    assert got == brute_force(rows)
+
+
 def test_long_texts(spark):
-    rows = [(1, LONG + "tail one"), (2, "head " + LONG), (3, LONG + "tail one")]
+    body = " ".join(f"w{i}" for i in range(30_000))
+    rows = [(1, body + " tail one"), (2, "head " + body), (3, body + " tail one"), (4, LONG)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    assert {r.class_id for r in near_classes(docs).collect()} == {1}
+    assert {r.class_id for r in near_classes(docs).collect()} == {1, 4}
 
 
 def test_components_of_chains_and_stars(spark):
