@@ -48,10 +48,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
-    leaks = latent_retrieval.find_leaks(docs, read_table(spark, sf_dir, "benchmark"))
-    leaks = leaks.select(F.col("doc_id").alias("_leaks")).distinct()
-    return docs.join(leaks, F.col("doc_id") == F.col("_leaks"), "left_anti")
+    """Documents without a passage of the benchmark. Whether a row leaks depends on its text
+    alone, so rows are known by a digest of the text, with or without an id."""
+    content = F.sha2(F.coalesce("text", F.lit("")), 256)
+    leaks = latent_retrieval.find_leaks(
+        docs.select(content.alias("_content"), "text"), read_table(spark, sf_dir, "benchmark"),
+        id_col="_content")
+    leaks = leaks.select(F.col("_content").alias("_leaks")).distinct()
+    return docs.join(leaks, content == F.col("_leaks"), "left_anti")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

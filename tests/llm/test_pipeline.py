@@ -87,3 +87,15 @@ def test_messy_documents(spark, messy, no_docs, labels, no_labels, scratch):  #
             out = cut_lineage(out)
             assert out.count() <= 2 * docs.count()
     assert np.uint32(zlib.crc32(b"")) == 0
+
+
+def test_rows_without_an_id_are_decontaminated(spark):
+    item = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").first().text
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    plain = "nothing of the benchmark stands here at all"
+    rows = [(None, f"before it {item} after it"), (None, plain), (-1, f"and {item} again"),
+            (-1, plain + " either")]
+    extra = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = docs.unionByName(extra, allowMissingColumns=True)
+    left = corpus_pipeline.decontaminate(spark, docs, SF_DIR).where("doc_id is null or doc_id = -1")
+    assert {(r.doc_id, r.text) for r in left.collect()} == {rows[1], rows[3]}
