@@ -1,6 +1,8 @@
 import hashlib
 import math
+import random
 import re
+import string
 
 import duckdb
 import pytest
@@ -120,6 +122,40 @@ def test_windows_against_brute_force(run, threshold):
     assert sorted(got) == sorted(covered)
 
 
+def _secret(rng, alphabet, size):
+    return "".join(rng.choice(alphabet) for _ in range(size))
+
+
+@pytest.mark.parametrize("alphabet", [
+    "0123456789ABCDEF", "0123456789abcdef", string.ascii_lowercase, string.ascii_letters,
+    string.ascii_lowercase + string.digits, string.ascii_letters + string.digits,
+    string.ascii_letters + string.digits + "+/"])
+@pytest.mark.parametrize("around", ["{}", "KEY_ID={}", "prefix-{}", "{}/end", "Zz9_{}=_x-y"])
+def test_random_secrets_are_found_whatever_they_are_joined_to(alphabet, around):
+    rng = random.Random(7)
+    for size in (20, 32, 40):
+        secrets = [_secret(rng, alphabet, size) for _ in range(400)]
+        hits = 0
+        for s in secrets:
+            text = around.format(s)
+            at = text.index(s)
+            found = se.entropy_spans(text, [])
+            hits += any(a < at + size and b > at for a, _, b in found)
+        assert hits >= 0.97 * len(secrets), size
+
+
+def test_windows_by_their_own_class():
+    """A joined neighbour adds no entropy; numbers and repeats are no secrets."""
+    hex_key = "9F86D081884C7D659A2FEAA0C55AD015"
+    assert (7, 3, 39) in [(max(a, 7), k, b) for a, k, b in se.entropy_spans("KEY_ID=" + hex_key, [])]
+    for run in ("id=" + "1234567890" * 4, "a" * 40, "key_" + "ab" * 20 + "_x"):
+        assert se.entropy_spans(run, []) == []
+    for kinds in range(1, 64):
+        sample = "".join(c for i, c in enumerate("0agAG+") if kinds >> i & 1)
+        want = next(t for _, shape, _, t in se.CLASSES if shape.fullmatch(sample))
+        assert se.class_threshold(kinds) == (math.inf if want is None else want)
+
+
 def test_secret_query(spark):
     rows = se.op7_secret_entropy(spark, "/root/testdata/sf0.001").collect()
     texts = {r.doc_id: r.text for r in
