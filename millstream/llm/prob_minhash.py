@@ -1,14 +1,19 @@
 """Near duplicates by ProbMinHash signatures, banding and exact verification.
 
 A text is the set of its five-word shingles, each weighted by ``1 + ln(count)``. Every
-shingle is a Poisson process of arrivals whose rate is its weight; each arrival picks one
+weighted shingle is a Poisson process of arrivals whose rate is its weight; each arrival picks one
 of ``M`` components, and a component keeps the shingle that arrived there first. Two texts
 agree in a component with the probability Jaccard similarity of their weighted shingles.
 Arrivals come from hashes of the shingle alone. Generation stops early: a horizon is set at
 which nearly all components have an arrival, later ones can change nothing, and texts with
 an empty component go on with a doubled horizon.
 
-Bands of components name buckets. Equal texts (same words in the same order) are one node,
+Bands of components name buckets. Links are decided on plain sets, and a shingle repeated in
+one text only lowers the weighted similarity below the plain one. So a text with repeated
+shingles has the bands of its plain set (all weights 1) as well; without repeats both are the
+same. Any two texts then meet as their plain similarity says, whatever they repeat.
+
+Equal texts (same words in the same order) are one node,
 so copies cost one row each. Within a bucket some members lead and all members of other
 components are compared with them; verified links are contracted; buckets whose members
 are one component are done, and in the others more members lead, four times as many in each
@@ -127,22 +132,38 @@ def row_digests(texts: Texts, words: Words) -> list[np.ndarray]:
     return out
 
 
+def text_bands(words: Words, n: int, bands: int, rows: int
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bands of the weighted and of the plain shingles of ``n`` rows, each once; where each
+    row's begin; how many shingles it has."""
+    row, element, counts = shingles(words)
+    weighted = band_hashes(prob_minhash(row, element, 1 + np.log(counts), n, bands * rows),
+                           bands, rows)
+    size = np.bincount(row, minlength=n)
+    repeats = np.bincount(row, weights=counts > 1, minlength=n) > 0
+    plain = weighted.copy()
+    if repeats.any():
+        own = np.cumsum(repeats) - 1
+        use = repeats[row]
+        plain[repeats] = band_hashes(
+            prob_minhash(own[row[use]], element[use], np.ones(np.count_nonzero(use)),
+                         np.count_nonzero(repeats), bands * rows), bands, rows)
+    every = np.hstack([weighted, plain])
+    taken = np.hstack([np.broadcast_to((size > 0)[:, None], weighted.shape), plain != weighted])
+    return every[taken], np.concatenate(([0], np.cumsum(taken.sum(axis=1)))), size
+
+
 def signatures(docs: DataFrame, id_col: str, text: str, bands: int, rows: int) -> DataFrame:
-    """id, two digests of the words, the number of shingles and the hashes of the bands, for
-    each row."""
+    """id, two digests of the words, the number of shingles and the hashes
+    of the bands, for each row."""
 
     def make():
         def work(kept, texts):
             words = words_of(texts)
-            n = len(texts)
-            row, element, counts = shingles(words)
-            h = band_hashes(prob_minhash(row, element, 1 + np.log(counts), n, bands * rows),
-                            bands, rows).view(np.int64)
-            size = np.bincount(row, minlength=n)
-            some = size > 0
-            offsets = np.concatenate(([0], np.cumsum(some * bands))).astype(np.int32)
+            h, first, size = text_bands(words, len(texts), bands, rows)
             return [*row_digests(texts, words), size.astype(np.int32),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(h[some].reshape(-1)))]
+                    pa.ListArray.from_arrays(pa.array(first.astype(np.int32)),
+                                             pa.array(h.view(np.int64)))]
         return work
 
     return map_texts(docs, text, {"id": F.col(id_col)},

@@ -101,6 +101,20 @@ def test_a_passage_that_many_texts_share(spark):
     assert got == brute_force(rows)
 
 
+def test_unequal_repeats_hide_no_pair(spark):
+    """One text of each pair repeats half of what both share; the plain similarity decides."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(150):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(104)]
+        rows.append((2 * i, " ".join(words)))
+        rows.append((2 * i + 1, " ".join(words[:54] * (30 + i % 2 * 300) + words[54:96])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.class_id for r in near_classes(docs).collect()}
+    assert got == brute_force(rows)
+    assert got == {i: i - i % 2 for i in range(300)}
+
+
 def test_long_texts(spark):
     body = " ".join(f"w{i}" for i in range(30_000))
     rows = [(1, body + " tail one"), (2, "head " + body), (3, body + " tail one"), (4, LONG)]
