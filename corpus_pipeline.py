@@ -36,15 +36,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates, the one with the smallest id. Rows
-    that share an id are one document; rows without an id stay."""
-    classes = prob_minhash.near_classes(docs)
-    stays = classes.where("doc_id = class_id").select(F.col("doc_id").alias("_stays")).distinct()
-    known = docs.join(stays, F.col("doc_id") == F.col("_stays"), "left_semi")
-    row = F.struct(*_columns(docs).values())
-    one = known.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.min_by(row, F.xxhash64(F.coalesce("text", F.lit("")))).alias("_row"))
-    return one.select("_row.*").unionByName(docs.where(F.col("doc_id").isNull()))
+    """One document of each class of near duplicates, the one with the smallest id. Classes
+    are of contents: rows that share an id, or have none, are compared by their texts."""
+    return prob_minhash.one_of_each_class(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,8 +13,8 @@ one text only lowers the weighted similarity below the plain one. So a text with
 shingles has the bands of its plain set (all weights 1) as well; without repeats both are the
 same. Any two texts then meet as their plain similarity says, whatever they repeat.
 
-Equal texts (same words in the same order) are one node,
-so copies cost one row each. Within a bucket some members lead and all members of other
+Equal texts (same words in the same order) are one node, known by a 64-bit hash of its first
+text, so copies cost one row each and ids need not be unique. Within a bucket some members lead and all members of other
 components are compared with them; verified links are contracted; buckets whose members
 are one component are done, and in the others more members lead, four times as many in each
 round, until everyone outside the bucket's largest component has led. So no link between
@@ -34,15 +34,16 @@ A link is verified on whole shingle sets: Jaccard similarity of at least ``thres
 
 Defined cases: texts of fewer than five words have no shingles and are near only to equal
 texts, byte for byte after folding A-Z; a null text is empty, and empty texts are equal to
-each other; rows with a null id are compared with nothing and have no class; rows with one
-id are one document; an empty table gives no rows; other columns are not read.
+each other; rows with a null id are compared with nothing and have no class; rows that share
+an id are compared by their own texts; an empty table gives no rows; other columns are not
+read.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.registry import query
@@ -154,7 +155,7 @@ def text_bands(words: Words, n: int, bands: int, rows: int
 
 
 def signatures(docs: DataFrame, id_col: str, text: str, bands: int, rows: int) -> DataFrame:
-    """id, two digests of the words, the number of shingles and the hashes
+    """id, a hash of the text, two digests of the words, the number of shingles and the hashes
     of the bands, for each row."""
 
     def make():
@@ -166,10 +167,14 @@ def signatures(docs: DataFrame, id_col: str, text: str, bands: int, rows: int) -
                                              pa.array(h.view(np.int64)))]
         return work
 
-    return map_texts(docs, text, {"id": F.col(id_col)},
+    return map_texts(docs, text, {"id": F.col(id_col), "key": content_key(text)},
                      "d1 long, d2 long, size int, bands array<long>", make)
 
 
+def content_key(text: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
 def shingle_sets(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """id and the sorted shingle hashes as 64-bit numbers."""
 
@@ -278,24 +283,32 @@ def _next_pairs(members: DataFrame, stars: DataFrame | None, led: DataFrame | No
     return leaders.select("bucket", F.col("lead.id").alias("id")), pairs
 
 
-def near_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
-                 threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS
-                 ) -> DataFrame:
-    """One row per row of ``docs``: id, ``exact_id`` (the smallest id with equal words) and
-    ``class_id`` (the smallest id of its class of near duplicates)."""
-    known = docs.where(F.col(id_col).isNotNull())
-    base = cut_lineage(signatures(known, id_col, text, bands, rows))
-    nodes = base.groupBy("d1", "d2").agg(F.min(F.struct("id", "size", "bands")).alias("r"))
-    nodes = cut_lineage(
-        nodes.select("d1", "d2", F.col("r.id").alias("exact_id"), "r.size", "r.bands"))
+def _rows_of(docs: DataFrame, firsts: DataFrame, id_col: str, text: str) -> DataFrame:
+    """The rows of ``docs`` that ``firsts`` names by id and key, with ``_key``; other copies of
+    a text are left out before anything is grouped."""
+    wanted = firsts.select(F.col("first.id").alias("_id"), F.col("first.key").alias("_first"))
+    return docs.withColumn("_key", content_key(text)).join(
+        wanted, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_first")),
+        "left_semi")
+
+
+def content_classes(docs: DataFrame, id_col: str, text: str, threshold: float, bands: int,
+                    rows: int) -> tuple[DataFrame, DataFrame]:
+    """``(id, key, d1, d2)`` of each row, and for each ``(d1, d2)`` its smallest id
+    ``exact_id`` and the ``first`` row of its class: smallest id (null last) and key."""
+    base = cut_lineage(signatures(docs, id_col, text, bands, rows))
+    nodes = base.groupBy("d1", "d2").agg(F.min(F.struct(
+        F.isnull("id").alias("lost"), "id", "key", "size", "bands")).alias("r"))
+    nodes = cut_lineage(nodes.select(
+        "d1", "d2", F.col("r.key").alias("node"), F.struct("r.lost", "r.id", "r.key")
+        .alias("first"), "r.size", "r.bands"))
     rows_of = nodes.select(
-        F.explode("bands").alias("bucket"), F.col("exact_id").alias("id"), "size")
+        F.explode("bands").alias("bucket"), F.col("node").alias("id"), "size")
     crowded = rows_of.groupBy("bucket").agg(F.count("id").alias("texts")).where("texts > 1")
     members = cut_lineage(rows_of.join(crowded, "bucket"))
-    chosen = members.select(F.col("id").alias("_near")).distinct()
-    texts = known.select(id_col, text).join(chosen, F.col(id_col) == F.col("_near"), "left_semi")
-    sets = cut_lineage(shingle_sets(
-        texts.groupBy(id_col).agg(F.min(text).alias(text)), id_col, text))
+    chosen = members.select(F.col("id").alias("node")).distinct().join(nodes, "node").select("first")
+    texts = _rows_of(docs, chosen, id_col, text).groupBy("_key").agg(F.min(text).alias("_text"))
+    sets = cut_lineage(shingle_sets(texts, "_key", "_text"))
     large = members.where(F.col("texts") > LARGE).select("id").distinct()
     # buckets of the same few texts are one bucket
     few = members.where(F.col("texts") <= LARGE).groupBy("bucket").agg(
@@ -323,17 +336,46 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         led = leaders if led is None else led.unionByName(leaders)
         done = pairs if done is None else done.unionByName(pairs)
         number += 1
-    found = base.select("id", "d1", "d2").join(nodes.select("d1", "d2", "exact_id"), ["d1", "d2"])
-    found = found.join(stars.withColumnRenamed("u", "exact_id"), "exact_id", "left") if stars \
-        is not None else found.withColumn("v", F.lit(None).cast(found.schema["id"].dataType))
-    found = found.select(F.col("id").alias(id_col), "exact_id",
-                         F.coalesce("v", "exact_id").alias("class_id"))
+    if stars is None:
+        return base, nodes.select("d1", "d2", F.col("first.id").alias("exact_id"), "first")
+    linked = stars.unionByName(stars.select(F.col("v").alias("u"), "v").distinct())
+    known = linked.join(nodes.select(F.col("node").alias("u"), F.col("first").alias("own")), "u")
+    heads = known.groupBy("v").agg(F.min("own").alias("head"))
+    heads = linked.join(heads, "v").select(F.col("u").alias("node"), "head")
+    return base, nodes.join(heads, "node", "left").select(
+        "d1", "d2", F.col("first.id").alias("exact_id"),
+        F.coalesce("head", "first").alias("first"))
+
+
+def near_classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
+                 threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS
+                 ) -> DataFrame:
+    """One row per row of ``docs``: id, ``exact_id`` (the smallest id with equal words),
+    ``class_id`` (the smallest id of its class of near duplicates) and ``kept`` (the row that
+    stands for its class, and those equal to it)."""
+    base, classes = content_classes(
+        docs.where(F.col(id_col).isNotNull()), id_col, text, threshold, bands, rows)
+    found = base.select("id", "key", "d1", "d2").join(classes, ["d1", "d2"]).select(
+        F.col("id").alias(id_col), "exact_id", F.col("first.id").alias("class_id"),
+        ((F.col("id") == F.col("first.id")) & (F.col("key") == F.col("first.key"))).alias("kept"))
     lost = docs.where(F.col(id_col).isNull()).select(
-        id_col, *[F.col(id_col).alias(c) for c in ("exact_id", "class_id")])
+        id_col, *[F.col(id_col).alias(c) for c in ("exact_id", "class_id")],
+        F.lit(None).cast("boolean").alias("kept"))
     return found.unionByName(lost)
 
 
+def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
+                      threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS
+                      ) -> DataFrame:
+    """One whole row of ``docs`` for each class of near contents: the one with the smallest
+    id. Rows without an id are compared too and come last in that order. Of rows with equal id
+    and text one stays."""
+    _, classes = content_classes(docs, id_col, text, threshold, bands, rows)
+    left = _rows_of(docs, classes.select("first").distinct(), id_col, text)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return left.groupBy("_key").agg(F.first(row).alias("_row")).select("_row.*")
+
+
 @query()
 def op9_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    classes = near_classes(read_table(spark, sf_dir, "documents"))
-    return classes.withColumn("kept", F.col("doc_id") == F.col("class_id"))
+    return near_classes(read_table(spark, sf_dir, "documents"))

@@ -7,7 +7,7 @@ from corpus_samples import LONG, MESSY, ascii_lower, messy, no_docs  # noqa: F40
 
 from millstream.llm.components import contract
 from millstream.llm.prob_minhash import (
-    near_classes, op9_prob_minhash, prob_minhash,
+    near_classes, one_of_each_class, op9_prob_minhash, prob_minhash,
 )
 
 SPLIT = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -115,6 +115,27 @@ def test_unequal_repeats_hide_no_pair(spark):
     assert got == {i: i - i % 2 for i in range(300)}
 
 
+def test_different_texts_that_share_an_id(spark):
+    """They stay apart, near copies meet whatever their ids are, and one row of each class of
+    contents is kept."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(30)]
+    rows = [(0, t) for t in texts]
+    rows += [(None, t + " and more") for t in texts[:5]]  # near copies without an id
+    rows += [(100 + i, texts[i].upper()) for i in range(5, 10)]  # equal words
+    rows += [(-1 - i, texts[i] + " also") for i in range(10, 15)]  # near copies of smaller id
+    rows += [(0, texts[20]), (None, "no copy of this text without an id is anywhere else")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    left = sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in one_of_each_class(docs).collect())
+    want = [(False, 0, t) for t in texts[:10] + texts[15:]]
+    want += [(False, -1 - i, texts[i] + " also") for i in range(10, 15)]
+    assert left == sorted(want + [(True, 0, rows[-1][1])])
+    got = near_classes(docs.where("doc_id is not null")).collect()
+    assert sum(r.kept for r in got) == 32  # each class once, and the row that stands there three times
+    assert {r.class_id for r in got if r.doc_id >= 100} == {0}
+    assert {r.class_id for r in got if r.doc_id < 0} == set(range(-15, -10))
+
+
 def test_long_texts(spark):
     body = " ".join(f"w{i}" for i in range(30_000))
     rows = [(1, body + " tail one"), (2, "head " + body), (3, body + " tail one"), (4, LONG)]
