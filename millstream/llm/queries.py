@@ -2,5 +2,5 @@
 
 from . import (  # noqa: F401
     bit_planes, factorisation, ftrl, latent_retrieval, license_templates, match_model,
-    prob_minhash, secret_entropy, soft_mixing, stream_dedup,
+    prob_minhash, secret_entropy, soft_mixing, stream_dedup, word_runs,
 )
