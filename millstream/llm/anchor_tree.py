@@ -248,12 +248,12 @@ def hard_negatives(df: DataFrame, id_col: str, vector: str, label: Column, is_an
     positives AS (
       SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
       QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
-    SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank,
+    SELECT anchor_id, positive_id, CAST(row_number() OVER (
+             PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INT) AS rank,
            other_id AS negative_id, positive_score, score AS negative_score
     FROM positives JOIN scores USING (anchor_id)
     WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
     QUALIFY rank <= 5
-    WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)
 """)
 def op13_anchor_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
