@@ -237,10 +237,10 @@ def hard_negatives(df: DataFrame, id_col: str, vector: str, label: Column, is_an
 @query(sql="""
     WITH usable AS (
       SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-             list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS vec
+             list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec
       FROM embeddings
       WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-        AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
+        AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
     scores AS (
       SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
              CAST(list_dot_product(a.vec, b.vec) AS BIGINT) AS score
