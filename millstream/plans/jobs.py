@@ -15,9 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.numbers import to_int
 from ..functions.text import join_fields, pair_text, strip_all
 from ..operators.cogroup import cogroup, flatten
-from ..sinks import publish, write_messages, write_tagged, write_text
+from ..sinks import write_messages, write_tagged, write_text
 from ..sources import read_messages, read_text
-from ..sources.topics import to_messages
 from ..streaming import count_trigger
 from . import attendance, cards, layouts, loans, sales, words
 
@@ -167,12 +166,10 @@ def sales_job(
         read_messages(spark, subscription=source, with_attributes=True), cities, on_error)
     data = sales.result_payload(key) if payload is None else payload
     if kind == "panes":
-        def send(panes: DataFrame) -> None:
-            ids = F.concat_ws("-", key, "pane")
-            publish(to_messages(panes, data, message_id=ids), target)
-
-        return count_trigger(
-            rows, [key], ["element_time", "message_id"], "profit", f"{checkpoint.rstrip('/')}-panes",
-            checkpoint, sales.PANE_ROWS, available_now=available_now, on_panes=send)
+        panes = count_trigger(
+            rows, [key], ["element_time", "message_id"], "profit", sales.PANE_ROWS)
+        return write_messages(
+            panes, target, checkpoint, data=data, message_id=F.concat_ws("-", key, "pane"),
+            available_now=available_now)
     return write_messages(
         step(rows, delay), target, checkpoint, data=data, available_now=available_now)

@@ -22,8 +22,9 @@ from ..session import cut_lineage, scratch_path, settings
 from ..sinks import publish, write_messages
 from ..sources.topics import drop_repeats, read_messages, to_messages
 from ..streaming import (
-    count_trigger, read_panes, run_available, sentinel_message, stream_to_table,
+    count_trigger, run_available, run_to_end, sentinel_message, stream_to_table,
 )
+from .jobs import sales_job
 from .registry import query
 from .tables import event_records
 from .window_queries import ARRIVAL_SQL, FIXED_SQL, PANES_SQL, SESSION_SQL, SLIDING_SQL
@@ -44,18 +45,19 @@ class Topic:
     place: str
     result: str
     checkpoint: str
+    kind: str = "dir"
 
     @property
     def uri(self) -> str:
-        return f"dir:{self.place}"
+        return f"{self.kind}:{self.place}"
 
     def read(self, **kwargs) -> DataFrame:
         return read_messages(self.spark, topic=self.uri, with_attributes=True, **kwargs)
 
 
-def new_topic(spark: SparkSession, name: str) -> Topic:
+def new_topic(spark: SparkSession, name: str, kind: str = "dir") -> Topic:
     base = scratch_path(spark, name)
-    return Topic(spark, f"{base}/topic", f"{base}/result", f"{base}/checkpoint")
+    return Topic(spark, f"{base}/topic", f"{base}/result", f"{base}/checkpoint", kind)
 
 
 def stream_query(sql: str | None = None) -> Callable:
@@ -206,10 +208,9 @@ def stream_count_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
     early = F.col("ts") < F.lit("2024-01-15").cast(NO_ZONE)
     for batch in (events.where(early), events.where(~early)):
         publish(event_messages(batch), topic.uri)
-        run_available(count_trigger(
-            decoded(topic.read()), ["user_id"], ["event_id"], "cents",
-            topic.result, topic.checkpoint))
-    return read_panes(spark, topic.result)
+        panes = count_trigger(decoded(topic.read()), ["user_id"], ["event_id"], "cents")
+        run_available(stream_to_table(panes, topic.result, topic.checkpoint))
+    return spark.read.parquet(topic.result)
 
 
 @stream_query("""
@@ -227,3 +228,142 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.count_per_key(spark.read.parquet(topic.result), ["message_id"])
 
 
+
+
+# ---- the options of topics -------------------------------------------------
+
+@stream_query("""
+SELECT event_id, event_type, date_trunc('milliseconds', ts) AS element_time FROM events
+""")
+def stream_read_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writers publish each event under ids of their own. The reader knows events by
+    an attribute and takes their time from another; it admits a few files a batch, is stopped
+    after the first batches and goes on from its checkpoint."""
+    topic = new_topic(spark, "options", "log")
+    events = event_records(spark, sf_dir).withColumn("at", F.col("ts").cast("timestamp"))
+    for writer in ("first", "second"):
+        publish(to_messages(
+            events.repartition(4, "event_id"), to_bytes("event_type"),
+            attributes={"uid": F.col("event_id"), "sent": F.unix_millis("at")},
+            message_id=F.concat_ws("-", F.lit(writer), "event_id")), topic.uri, writer)
+
+    def stream():
+        unique = topic.read(id_label="uid", timestamp_attribute="sent", dedup_delay="400 days",
+                            max_rows_per_trigger=1)
+        rows = unique.select(F.col("attributes")["uid"].cast("bigint").alias("event_id"),
+                             from_bytes("data").alias("event_type"), "element_time")
+        return stream_to_table(rows, topic.result, topic.checkpoint, available_now=False)
+
+    query = stream()
+    while query.isActive and not (query.lastProgress and query.lastProgress["batchId"] > 0):
+        query.awaitTermination(0.1)
+    query.stop()
+    run_to_end(stream())
+    return spark.read.parquet(topic.result).withColumn(
+        "element_time", F.col("element_time").cast(NO_ZONE))
+
+
+@stream_query("""
+SELECT event_type, count(*) AS messages, count(*) AS ids, true AS labelled, true AS stamped
+FROM events GROUP BY event_type
+""")
+def stream_write_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that agree in every column become messages with ids of their own; ids and
+    publish times are in the attributes too."""
+    source, target = (new_topic(spark, f"stamps-{n}", "log") for n in ("in", "out"))
+    publish(event_messages(event_records(spark, sf_dir)), source.uri)
+    kinds = decoded(source.read()).select("event_type")
+    run_to_end(write_messages(
+        kinds, target.uri, target.checkpoint, data=to_bytes("event_type"), id_label="uid",
+        timestamp_attribute="sent", available_now=False))
+    sent = target.read(streaming=False)
+    label, stamp = F.col("attributes")["uid"], F.col("attributes")["sent"]
+    return sent.groupBy(from_bytes("data").alias("event_type")).agg(
+        F.count(F.lit(1)).alias("messages"), F.countDistinct("message_id").alias("ids"),
+        F.every(label == F.col("message_id")).alias("labelled"),
+        F.every(stamp == F.unix_millis("publish_time").cast("string")).alias("stamped"))
+
+
+# ---- store sales from text to text -----------------------------------------
+
+SALES_SQL = f"""
+WITH sales AS (
+  SELECT 'STR_' || (user_id % 40) AS store_id, 'CAT_' || (user_id % 100) AS category,
+         1 + event_id % 7 AS pieces, ({CENTS} - 100) * (1 + event_id % 7) AS profit, ts, event_id
+  FROM events WHERE event_type <> 'error'
+), results AS ({{}})
+SELECT '(''' || key || ''', ' || total || ')' AS line, count(*) AS n FROM results GROUP BY ALL
+"""
+PROFIT_SQL = """
+SELECT store_id AS key, CAST(sum(profit) AS BIGINT) AS total FROM {} GROUP BY store_id, {}"""
+
+
+def sale_lines(events: DataFrame) -> DataFrame:
+    """Events as lines of text: errors are sales of a city that no job looks at."""
+    city = F.when(F.col("event_type") == "error", "Pune").when(
+        F.col("user_id") % 2 == 0, "Mumbai").otherwise("Bangalore")
+    line = F.concat_ws(
+        ",", F.concat(F.lit("STR_"), F.col("user_id") % 40), city, F.lit("P1"),
+        F.concat(F.lit("CAT_"), F.col("user_id") % 100), 1 + F.col("event_id") % 7, F.lit(100),
+        "cents", F.unix_seconds(F.col("ts").cast("timestamp")))
+    return to_messages(  # the ids sort as the events do
+        events, to_bytes(F.concat(F.lit(" "), line, F.lit("\r\n"))),
+        message_id=F.lpad(F.col("event_id").cast("string"), 19, "0"), publish_time=F.col("ts"))
+
+
+def sales_stream(spark: SparkSession, sf_dir: str, kind: str, delay: str = "1 hour") -> DataFrame:
+    """The job over a log that ends with a sale far in the future; its results as text, with
+    how often each occurs."""
+    source, target = (new_topic(spark, f"sales-{n}", "log") for n in ("in", "out"))
+    publish(sale_lines(event_records(spark, sf_dir)), source.uri)
+
+    def run() -> None:
+        run_to_end(sales_job(spark, kind, source.uri, target.uri, target.checkpoint, delay=delay))
+
+    run()
+    if kind != "panes":
+        end = to_bytes(F.lit("END,Mumbai,P1,END,0,0,0,5000000000"))
+        publish(sentinel_message(spark, end, "2128-06-11 08:53:20", message_id=F.lit(SENTINEL)),
+                source.uri)
+        run()
+    sent = target.read(streaming=False).select(from_bytes("data").alias("line"))
+    return sent.where(~F.col("line").startswith("('END'")).groupBy("line").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+BUCKET = "time_bucket(INTERVAL 5 SECOND, ts)"
+
+
+@stream_query(SALES_SQL.format(PROFIT_SQL.format("sales", BUCKET)))
+def stream_sales_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sales_stream(spark, sf_dir, "fixed_event_time")
+
+
+@stream_query(SALES_SQL.format(PROFIT_SQL.format("sales", BUCKET)))
+def stream_sales_arrival_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sales_stream(spark, sf_dir, "fixed_arrival_time")
+
+
+@stream_query(SALES_SQL.format(PROFIT_SQL.format(
+    "sales CROSS JOIN (VALUES (0), (1)) AS o(k)", f"epoch({BUCKET}) - 5 * k")))
+def stream_sales_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sales_stream(spark, sf_dir, "sliding")
+
+
+@stream_query(SALES_SQL.format("""
+SELECT category AS key, CAST(sum(pieces) AS BIGINT) AS total FROM (
+  SELECT *, sum(opens) OVER (PARTITION BY category ORDER BY ts, event_id) AS session FROM (
+    SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY category ORDER BY ts, event_id)
+      + INTERVAL 10 SECOND THEN 0 ELSE 1 END AS opens FROM sales))
+GROUP BY category, session"""))
+def stream_sales_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sales_stream(spark, sf_dir, "session")
+
+
+@stream_query(SALES_SQL.format("""
+SELECT store_id AS key, CAST(sum(profit) AS BIGINT) AS total FROM (
+  SELECT *, (row_number() OVER (PARTITION BY store_id ORDER BY ts, event_id) - 1) // 5 AS pane
+  FROM sales)
+GROUP BY store_id, pane HAVING count(*) = 5"""))
+def stream_sales_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sales_stream(spark, sf_dir, "panes")

@@ -12,6 +12,12 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Keeps state on the executors' disks, so it may outgrow their memory.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
 
 def get_session(
     app_name: str = "millstream",
@@ -36,9 +42,7 @@ def get_session(
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # sessions of one key are merged before the shuffle of a micro-batch
         "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    }
+    } | STATE_STORE
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if max_partition_bytes:

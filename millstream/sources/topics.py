@@ -1,6 +1,7 @@
 """Message topics.
 
-A topic is named by a URI: ``dir:/shared/path`` for a folder of message files or
+A topic is named by a URI: ``dir:/shared/path`` for a folder of message files,
+``log:/shared/path`` for a log of many writers (see ``topic_log``) or
 ``kafka:name@host:port`` for a Kafka topic. A message is a payload of bytes with
 attributes, an id and the time it was published.
 """
@@ -10,16 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MESSAGE_SCHEMA = (
-    "data binary, attributes map<string,string>, message_id string, publish_time timestamp"
-)
+from .topic_log import FORMAT, MESSAGE_SCHEMA, MessageLog
 
 
 def topic_parts(uri: str) -> tuple[str, str]:
     """``(kind, place)`` of a topic URI."""
     kind, _, place = uri.partition(":")
-    if kind not in ("dir", "kafka") or not place:
-        raise ValueError(f"topic URI must start with dir: or kafka:, got {uri!r}")
+    if kind not in ("dir", "log", "kafka") or not place:
+        raise ValueError(f"topic URI must start with dir:, log: or kafka:, got {uri!r}")
     return kind, place
 
 
@@ -32,19 +31,23 @@ def to_messages(
     publish_time: Column | None = None,
     id_label: str | None = None,
     timestamp_attribute: str | None = None,
+    content_ids: bool = True,
 ) -> DataFrame:
     """Rows as messages. ``id_label`` also puts the id under that attribute name,
     ``timestamp_attribute`` the publish time in milliseconds since the epoch.
 
     Without ``message_id`` a row keeps the id it has, or gets one that a task that runs
     again gives it again: from its content and, in a table, its place. Rows of a stream
-    that agree in every column then share an id.
+    that agree in every column then share an id. ``content_ids=False`` leaves such ids to the
+    topic: a log gives each message one of its own when it is published.
     """
-    if message_id is None:
-        message_id = F.col("message_id") if "message_id" in df.columns else _content_id(df, data)
+    if message_id is None and "message_id" in df.columns:
+        message_id = F.col("message_id")
+    if message_id is None and content_ids:
+        message_id = _content_id(df, data)
     staged = df.select(
         data.cast("binary").alias("data"),
-        message_id.cast("string").alias("message_id"),
+        (F.lit(None) if message_id is None else message_id).cast("string").alias("message_id"),
         (publish_time if publish_time is not None else F.current_timestamp())
         .cast("timestamp").alias("publish_time"),
         *[c.cast("string").alias(f"attr_{i}") for i, c in enumerate((attributes or {}).values())],
@@ -52,7 +55,7 @@ def to_messages(
     pairs: list[Column] = []
     for i, name in enumerate(attributes or {}):
         pairs += [F.lit(name), F.col(f"attr_{i}")]
-    if id_label:
+    if id_label and (content_ids or message_id is not None):
         pairs += [F.lit(id_label), F.col("message_id")]
     if timestamp_attribute:
         pairs += [F.lit(timestamp_attribute), F.unix_millis("publish_time").cast("string")]
@@ -80,6 +83,7 @@ def read_messages(
     timestamp_attribute: str | None = None,
     streaming: bool = True,
     max_files_per_trigger: int | None = None,
+    max_rows_per_trigger: int | None = None,
     dedup_delay: str = "10 minutes",
 ) -> DataFrame:
     """Messages of a topic as a stream, or as a table with ``streaming=False``.
@@ -87,13 +91,16 @@ def read_messages(
     Columns: ``data`` and ``element_time``, plus the other message fields with
     ``with_attributes``. ``element_time`` is the publish time, or the named
     attribute (milliseconds since the epoch). ``id_label`` names the attribute
-    that identifies a message; repeats of one id are dropped.
+    that identifies a message; repeats of one id are dropped. What a micro-batch admits is
+    limited by files for a folder and by rows, in whole files, for a log.
     """
     if (topic is None) == (subscription is None):
         raise ValueError("give either topic or subscription, and not both")
     kind, place = topic_parts(topic or subscription)
     if kind == "dir":
         raw = _from_directory(spark, place, streaming, max_files_per_trigger)
+    elif kind == "log":
+        raw = _from_log(spark, place, streaming, max_rows_per_trigger)
     else:
         raw = _from_kafka(spark, place, streaming, subscription is not None)
     messages = raw.withColumn("element_time", element_time(timestamp_attribute))
@@ -157,6 +164,14 @@ def _from_directory(
     return reader.parquet(place)
 
 
+def _from_log(
+    spark: SparkSession, place: str, streaming: bool, max_rows: int | None
+) -> DataFrame:
+    spark.dataSource.register(MessageLog)
+    reader = (spark.readStream if streaming else spark.read).format(FORMAT).option("path", place)
+    return (reader.option("rows_per_batch", max_rows) if max_rows else reader).load()
+
+
 def kafka_options(place: str, is_subscription: bool = False) -> dict[str, str]:
     """Options from ``name@servers``, or ``name/group@servers`` for a subscription."""
     name, _, servers = place.partition("@")

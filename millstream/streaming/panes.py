@@ -1,27 +1,55 @@
-"""The count trigger on a stream.
-
-Each micro-batch is a table, so it is cut into panes by the same operator as a table, in
-the order of arrival. What a key has left over goes into the next batch through tables
-beside the checkpoint: a batch writes the open panes of its own keys and no others, dealt
-to buckets by a hash of the key, and reads back only the buckets its keys are in. Every
-``COMPACT`` batches the open panes of all keys are gathered into one snapshot, so that a
-batch never reads more than that many tables. A batch that runs again after a failure
-starts from the same state and replaces its own result.
+"""The count trigger on a stream, on the engine's own keyed state.
+
+A key's state is the pane that is open: its number, its rows so far and their sum, in typed
+columns that travel with the rows in Arrow batches. A micro-batch adds the key's rows in the order of arrival, every full pane leaves as a
+row, and the rest goes back to the state store. So a batch without rows, a restart and a
+batch that runs again need nothing of their own, and the result is a stream that any sink can
+take. The rows of one key in one micro-batch meet in one task, which holds their order and
+value columns; the reader's admission limit bounds them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-
-from ..operators.panes import pane_state, pane_sums
-
-BUCKETS = 64
-COMPACT = 20
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import DataType, LongType, NumericType, StringType, StructField, StructType
+
+
+def _cutter(size: int) -> Callable[..., Iterator[pd.DataFrame]]:
+    """Cuts the rows of a key into panes of ``size`` rows. Rows hold the columns ``o…`` that
+    order them, ``value`` and ``missing`` (such a value adds nothing)."""
+
+    def cut(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState
+            ) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows))
+        if len(batch) > 1:
+            batch = batch.sort_values([c for c in batch.columns if c.startswith("o")],
+                                      kind="stable")
+        pane, n, total = state.get if state.exists else (0, 0, None)
+        values, missing = batch["value"].tolist(), batch["missing"].tolist()
+        done = []
+        at = 0
+        while at < len(values):
+            stop = min(at + size - n, len(values))
+            for value, gone in zip(values[at:stop], missing[at:stop], strict=True):
+                if not gone:
+                    total = value if total is None else total + value
+            n += stop - at
+            at = stop
+            if n == size:
+                done.append((pane, total))
+                pane, n, total = pane + 1, 0, None
+        state.update((pane, n, total))
+        if done:
+            numbers, totals = zip(*done, strict=True)
+            out = {f"k{i}": [v] * len(done) for i, v in enumerate(key)}
+            yield pd.DataFrame(out | {"pane": numbers, "total": totals}, dtype=object)
+
+    return cut
 
 
 def count_trigger(
@@ -29,90 +57,36 @@ def count_trigger(
     keys: Sequence[str],
     order: Sequence[str],
     value: str,
-    path: str,
-    checkpoint: str,
     size: int = 5,
     name: str = "total",
-    available_now: bool = True,
-    on_panes: Callable[[DataFrame], None] | None = None,
-) -> StreamingQuery:
-    """Start a stream that writes the panes of every micro-batch below ``path``. Batches
-    follow each other; within one the rows of a key are taken by ``order``, which must
-    put them in one definite order. ``on_panes`` gets the full panes of each batch; a
-    batch that runs again hands over the same ones again."""
-    keys = list(keys)
-
-    def one_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.persist()  # read by the count of hot keys, the state and the panes
-        try:
-            spark = rows.sparkSession
-            state = _open_panes(rows, path, batch_id, keys)
-            sums = pane_sums(rows, keys, order, value, size, name, state=state)
-            sums.write.mode("overwrite").parquet(f"{path}/panes/batch={batch_id}")
-            done = spark.read.schema(sums.schema).parquet(f"{path}/panes/batch={batch_id}")
-            _write(pane_state(done, keys, size, name), f"{path}/state/batch={batch_id}", keys)
-            if on_panes:
-                on_panes(done.where(F.col("n") == size).drop("n"))
-        finally:
-            rows.unpersist()
-
-    writer = df.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
-
-
-def read_panes(spark: SparkSession, path: str, size: int = 5) -> DataFrame:
-    """The full panes a stream has emitted so far."""
-    written = spark.read.parquet(f"{path}/panes")
-    return written.where(F.col("n") == size).drop("n", "batch")
-
-
-def _bucket(keys: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
-
-
-def _write(state: DataFrame, place: str, keys: Sequence[str]) -> None:
-    state.withColumn("bucket", _bucket(keys)).write.mode("overwrite").partitionBy(
-        "bucket").parquet(place)
-
-
-def _saved(spark: SparkSession, path: str, first: int, batch_id: int) -> DataFrame | None:
-    """Open panes of the batches from ``first`` on and of the snapshot before them, with
-    the number of the batch they are from; the snapshot's are from before all."""
-    try:
-        frames = []
-        if batch_id > first:
-            places = [f"{path}/state/batch={b}" for b in range(first, batch_id)]
-            frames.append(spark.read.option("basePath", f"{path}/state").parquet(*places))
-        if first:
-            snapshot = spark.read.parquet(f"{path}/snapshot/before={first}")
-            frames.append(snapshot.withColumn("batch", F.lit(-1)))
-    except AnalysisException as error:
-        raise RuntimeError(f"the state before batch {batch_id} is missing below {path}") from error
-    if not frames:
-        return None
-    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
-
-
-def _latest(saved: DataFrame, keys: Sequence[str]) -> DataFrame:
-    rest = [c for c in saved.columns if c not in (*keys, "batch", "bucket")]
-    last = saved.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("last"))
-    return last.select(*keys, "last.*")
-
-
-def _open_panes(rows: DataFrame, path: str, batch_id: int, keys: Sequence[str]
-                ) -> DataFrame | None:
-    """The open panes of the keys of this batch."""
-    spark = rows.sparkSession
-    first = batch_id - batch_id % COMPACT
-    if batch_id and batch_id == first:
-        before = _saved(spark, path, batch_id - COMPACT, batch_id)
-        _write(_latest(before, keys), f"{path}/snapshot/before={batch_id}", keys)
-    saved = _saved(spark, path, first, batch_id)
-    if saved is None:
-        return None
-    present = rows.select(*keys).distinct()
-    touched = [r[0] for r in present.select(_bucket(keys)).distinct().collect()]  # few numbers
-    near = saved.where(F.col("bucket").isin(touched))
-    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
-    present = present.select(*[F.col(k).alias(f"_of_{k}") for k in keys])
-    return _latest(near, keys).join(present, same, "left_semi")
+) -> DataFrame:
+    """The full panes of a stream: keys, ``pane`` (from 0) and the sum of its ``size`` rows.
+    Batches follow each other; within one the rows of a key are taken by ``order``, which must
+    put them in one definite order (nulls first). The stream must be started with the
+    RocksDB state store, as ``get_session`` sets it and ``start`` does in any session."""
+    placed = {f"k{i}": F.col(k) for i, k in enumerate(keys)}
+    short = list(placed)
+    for i, c in enumerate(order):
+        placed |= {f"o{i}set": F.col(c).isNotNull(),
+                   f"o{i}to": F.coalesce(c, _default(df.schema[c].dataType))}
+    kind = df.schema[value].dataType
+    placed |= {"value": F.coalesce(value, F.lit(0).cast(kind)), "missing": F.isnull(value)}
+    rows = df.select(*[c.alias(n) for n, c in placed.items()]).groupBy(*short)
+    total = rows.agg(F.sum("value")).schema[-1].dataType
+    output = StructType([
+        *[StructField(n, df.schema[k].dataType) for n, k in zip(short, keys, strict=True)],
+        StructField("pane", LongType()), StructField("total", total)])
+    state = StructType([StructField("pane", LongType()), StructField("n", LongType()),
+                        StructField("total", total)])
+    panes = rows.applyInPandasWithState(
+        _cutter(size), output, state, "append", GroupStateTimeout.NoTimeout)
+    return panes.toDF(*keys, "pane", name)
+
+
+def _default(kind: DataType) -> Column:
+    """Stands for a missing value of an order column, which is told apart by its flag."""
+    if isinstance(kind, NumericType):
+        return F.lit(0).cast(kind)
+    if isinstance(kind, StringType):
+        return F.lit("")
+    return F.lit("1970-01-01").cast(kind)

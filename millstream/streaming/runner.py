@@ -6,11 +6,19 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from ..session import STATE_STORE, settings
 from ..sources.topics import to_messages
 
 
+def start(writer: DataStreamWriter, df: DataFrame) -> StreamingQuery:
+    """Start the stream with the state store that all operators work with. A query takes the
+    session's settings when it starts; one that goes on from a checkpoint keeps its own."""
+    with settings(df.sparkSession, STATE_STORE):
+        return writer.start()
+
+
 def stream_to_table(
     df: DataFrame, path: str, checkpoint: str, *, available_now: bool = True
 ) -> StreamingQuery:
@@ -20,7 +28,7 @@ def stream_to_table(
         df.writeStream.format("parquet").outputMode("append")
         .option("path", path).option("checkpointLocation", checkpoint)
     )
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    return start(writer.trigger(availableNow=True) if available_now else writer, df)
 
 
 def run_available(query: StreamingQuery, timeout: float | None = None) -> StreamingQuery:
@@ -29,6 +37,17 @@ def run_available(query: StreamingQuery, timeout: float | None = None) -> Stream
     return query
 
 
+def run_to_end(query: StreamingQuery) -> StreamingQuery:
+    """Let a stream without an end read all that there is, batch by batch under its admission
+    limit, and stop it. Spark runs ``available_now`` on a log of messages as one batch, without
+    the limit and without the batch that closes windows; this is the way for logs."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query
+
+
 def sentinel_message(
     spark: SparkSession, payload: Column, after: dt.datetime | str, **kwargs
 ) -> DataFrame:

@@ -12,9 +12,7 @@ from millstream.session import get_session  # noqa: E402
 def spark():
     session = get_session(
         "tests", "local[4]", 4,
-        extra={"spark.ui.enabled": "false", "spark.driver.memory": "4g",
-               "spark.sql.streaming.stateStore.providerClass":
-                   "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"})
+        extra={"spark.ui.enabled": "false", "spark.driver.memory": "4g"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -1,5 +1,4 @@
-"""Every query on the smallest tables against its SQL. The stream queries, which
-take longer, are compared by ``check.py``."""
+"""Every query on the smallest tables against its SQL, streams too."""
 
 import glob
 import os
@@ -15,7 +14,6 @@ SF_DIR = "/root/testdata/sf0.001"
 CORPUS = re.compile(r"op\d+_.*|pipeline")  # the optional part has tests of its own
 QUERIES = {k: v for k, v in entry_points.queries().items() if not CORPUS.fullmatch(k)}
 SQL = {k: v for k, v in entry_points.oracle_sql().items() if k in QUERIES}
-SLOW = {"late_data_dropped"} | {q for q in QUERIES if q.startswith("stream_")}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no tables here")
 
@@ -37,7 +35,7 @@ def test_entry(spark):
     assert entry_points.entry(spark).columns == ["name", "n"]
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_against_sql(spark, db, name):
     df = QUERIES[name](spark, SF_DIR)
     want = db.sql(SQL[name])
