@@ -14,15 +14,20 @@ shingles has the bands of its plain set (all weights 1) as well; without repeats
 same. Any two texts then meet as their plain similarity says, whatever they repeat.
 
 Equal texts (same words in the same order) are one node, known by a 64-bit hash of its first
-text, so copies cost one row each and ids need not be unique. Within a bucket some members lead and all members of other
-components are compared with them; verified links are contracted; buckets whose members
-are one component are done, and in the others more members lead, four times as many in each
-round, until everyone outside the bucket's largest component has led. So no link between
-components within a bucket is missed, and a bucket of many near copies costs a few leaders
-times its size instead of all pairs.
+text, so copies cost one row each and ids need not be unique. First every bucket has one leader,
+the member that meets the most texts over all its buckets: of a group of near copies that is the
+text they were made from, if it is there, and all buckets of the group share it. The other members
+are compared with it and verified links are contracted. This pass is linear in the members, and
+leaves a group of many near copies in a few components. Buckets whose members are one component
+are done. In the others members of different components still have to be compared: members
+lead, and all members of other components that have not led yet are compared with them,
+until everyone outside the bucket's largest component has led. In a bucket of at most ``LARGE``
+texts all lead at once; in others more in each round. So no link between
+components within a bucket is missed.
 
 Texts that only share a frequent passage can also meet, in buckets that grow with the data.
-Members of buckets of more than ``LARGE`` texts are dealt anew by the prefix rule: with
+Members of buckets of more than ``LARGE`` texts that are still split are dealt anew by the
+prefix rule: with
 the shingles of each text ordered from rare to frequent, two texts of the wanted similarity
 must share one among the first ``size - ceil(threshold * size) + 1`` of both. That loses no
 link, and shingles of a frequent passage hardly ever come so early. Where two texts meet
@@ -50,7 +55,7 @@ from ..plans.registry import query
 from ..session import cut_lineage
 from .components import contract
 from .textwords import (
-    Texts, Words, grams, map_texts, mix, read_table, row_keys, run_hashes, words_of,
+    Texts, Words, fresh_name, grams, map_texts, mix, read_table, row_keys, run_hashes, words_of,
 )
 
 SHINGLE = 5
@@ -246,49 +251,92 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return both.select("u", "v", "a", "b").mapInArrow(check, f"u {kind}, v {kind}")
 
 
-def _next_pairs(members: DataFrame, stars: DataFrame | None, led: DataFrame | None,
-                number: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+def _with_components(members: DataFrame, stars: DataFrame) -> DataFrame:
+    return members.join(stars.select(F.col("u").alias("id"), "v"), "id", "left").withColumn(
+        "comp", F.coalesce("v", "id")).drop("v")
+
+
+def _first_pairs(members: DataFrame, threshold: float) -> DataFrame:
+    """Each member of a bucket with the bucket's leader, if their sizes allow a link."""
+    mates = members.groupBy("id").agg(F.sum("texts").alias("mates"))
+    leaders = members.join(mates, "id").groupBy("bucket").agg(
+        F.max(F.struct("mates", "id", "size")).alias("lead"))
+    both = members.join(leaders, "bucket").where(
+        (F.col("id") != F.col("lead.id"))
+        & (F.least("size", "lead.size") >= threshold * F.greatest("size", "lead.size") - 1e-9))
+    return both.select(F.least("lead.id", "id").alias("u"),
+                       F.greatest("lead.id", "id").alias("v")).distinct()
+
+
+def _next_pairs(members: DataFrame, stars: DataFrame, led: DataFrame | None, number: int,
+                threshold: float) -> tuple[DataFrame, DataFrame]:
     """Leaders ``(bucket, id)`` of a round, and the pairs of them with the members of
-    their buckets that belong to other components and can be near enough."""
-    if stars is None:
-        now = members.withColumn("comp", F.col("id"))
-    else:
-        now = members.join(stars.withColumnRenamed("u", "id"), "id", "left").withColumn(
-            "comp", F.coalesce("v", "id")).drop("v")
-    own = F.struct("id", "place", "size")
-    fresh = now.withColumn("new", own)
+    their buckets that belong to other components, have not led and can be near enough."""
+    now = _with_components(members, stars)
     if led is not None:
-        fresh = now.join(led.withColumn("led", F.lit(True)), ["bucket", "id"], "left").withColumn(
-            "new", F.when(F.col("led").isNull(), own))
-    parts = fresh.groupBy("bucket", "comp").agg(F.count("id").alias("n"),
-                                                F.min("new").alias("new"))
-    mixed = parts.groupBy("bucket").agg(
+        now = now.join(led.withColumn("led", F.lit(True)), ["bucket", "id"], "left")
+    else:
+        now = now.withColumn("led", F.lit(None).cast("boolean"))
+    now = cut_lineage(now)
+    parts = now.groupBy("bucket", "comp").agg(F.count("id").alias("n"))
+    split = parts.groupBy("bucket").agg(
         F.max(F.struct("n", "comp")).alias("big"), F.count("comp").alias("k")).where("k > 1")
-    share = F.least(F.lit(1.0), F.lit(2.0 * 6 ** (number - 1)) / (F.col("k") - 1))
-    chance = F.pmod(F.xxhash64("new.id"), F.lit(1 << 30)) / float(1 << 30)
-    able = cut_lineage(parts.join(mixed, "bucket").where(
-        (F.col("comp") != F.col("big.comp")) & F.col("new").isNotNull()
-    ).select("bucket", F.col("new").alias("lead"), F.col("comp").alias("lead_comp"),
-             chance.alias("chance"), share.alias("share")))
+    able = now.where("led is null").join(
+        split.select("bucket", F.col("big.comp").alias("big"), "k"), "bucket").where("comp != big")
+    share = F.when(F.col("few"), 1.0).otherwise(2.0 * 32 ** (number - 1) / F.col("k"))
+    chance = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
+    able = able.select("bucket", F.struct("id", "place", "size", "comp").alias("lead"),
+                       chance.alias("chance"), share.alias("share"))
     least = able.groupBy("bucket").agg(F.min("chance").alias("least"))  # at least one leads
-    leaders = able.join(least, "bucket").where(
+    leaders = cut_lineage(able.join(least, "bucket").where(
         (F.col("chance") < F.col("share")) | (F.col("chance") == F.col("least"))
-    ).select("bucket", "lead", "lead_comp")
+    ).select("bucket", "lead"))
     rest = F.least(F.col("lead.size") - F.col("lead.place"), F.col("size") - F.col("place")) + 1
     needed = (F.col("lead.size") + F.col("size")) * (threshold / (1 + threshold)) - 1e-6
-    pairs = leaders.join(now.withColumnRenamed("bucket", "b"), (F.col("bucket") == F.col("b"))
-                         & (F.col("comp") != F.col("lead_comp")) & (rest >= needed))
+    others = now.where("led is null").withColumnRenamed("bucket", "b")
+    pairs = leaders.join(others, (F.col("bucket") == F.col("b"))
+                         & (F.col("comp") != F.col("lead.comp")) & (rest >= needed))
     pairs = pairs.select(F.least("lead.id", "id").alias("u"),
                          F.greatest("lead.id", "id").alias("v")).distinct()
     return leaders.select("bucket", F.col("lead.id").alias("id")), pairs
 
 
-def _rows_of(docs: DataFrame, firsts: DataFrame, id_col: str, text: str) -> DataFrame:
-    """The rows of ``docs`` that ``firsts`` names by id and key, with ``_key``; other copies of
-    a text are left out before anything is grouped."""
-    wanted = firsts.select(F.col("first.id").alias("_id"), F.col("first.key").alias("_first"))
-    return docs.withColumn("_key", content_key(text)).join(
-        wanted, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_first")),
+def _components(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """``(u, v)``: every node of a component of near texts, but for the smallest, with that one.
+    ``members`` are ``(bucket, id, size, texts)``."""
+    stars = contract(verified(cut_lineage(_first_pairs(members, threshold)), sets, threshold))
+    left = _with_components(members, stars)
+    split = left.groupBy("bucket").agg(F.countDistinct("comp").alias("k")).where("k > 1")
+    left = cut_lineage(members.join(split.select("bucket"), "bucket"))
+    large = left.where(F.col("texts") > LARGE).select("id").distinct()
+    # buckets of the same few texts are one bucket
+    few = left.where(F.col("texts") <= LARGE).groupBy("bucket").agg(
+        F.sort_array(F.collect_list(F.struct("id", "size"))).alias("all"))
+    few = few.select("all").distinct().select(
+        F.xxhash64("all").alias("bucket"), F.inline("all"), F.lit(1).alias("place"),
+        F.lit(True).alias("few"))
+    if not large.isEmpty():
+        early = prefix_buckets(sets.join(large, "id", "left_semi"), threshold)
+        few = few.unionByName(early.withColumn("few", F.lit(False)))
+    members, led, number = cut_lineage(few), None, 1
+    while True:
+        leaders, pairs = _next_pairs(members, stars, led, number, threshold)
+        if leaders.isEmpty():
+            return stars
+        pairs = cut_lineage(pairs)
+        if not pairs.isEmpty():
+            stars = contract(verified(pairs, sets, threshold).unionByName(stars))
+        led = cut_lineage(leaders if led is None else leaders.unionByName(led))
+        number += 1
+
+
+def _rows_of(docs: DataFrame, firsts: DataFrame, id_col: str, text: str, key: str) -> DataFrame:
+    """The rows of ``docs`` that ``firsts`` names by id and key, with the column ``key``; other
+    copies of a text are left out before anything is grouped."""
+    own_id, own_key = fresh_name("_id", docs.columns), fresh_name("_first", docs.columns)
+    wanted = firsts.select(F.col("first.id").alias(own_id), F.col("first.key").alias(own_key))
+    return docs.withColumn(key, content_key(text)).join(
+        wanted, F.col(id_col).eqNullSafe(F.col(own_id)) & (F.col(key) == F.col(own_key)),
         "left_semi")
 
 
@@ -307,37 +355,11 @@ def content_classes(docs: DataFrame, id_col: str, text: str, threshold: float, b
     crowded = rows_of.groupBy("bucket").agg(F.count("id").alias("texts")).where("texts > 1")
     members = cut_lineage(rows_of.join(crowded, "bucket"))
     chosen = members.select(F.col("id").alias("node")).distinct().join(nodes, "node").select("first")
-    texts = _rows_of(docs, chosen, id_col, text).groupBy("_key").agg(F.min(text).alias("_text"))
+    plain = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+    texts = _rows_of(plain, chosen, "id", "text", "_key").groupBy("_key").agg(
+        F.min("text").alias("_text"))
     sets = cut_lineage(shingle_sets(texts, "_key", "_text"))
-    large = members.where(F.col("texts") > LARGE).select("id").distinct()
-    # buckets of the same few texts are one bucket
-    few = members.where(F.col("texts") <= LARGE).groupBy("bucket").agg(
-        F.sort_array(F.collect_list(F.struct("id", "size"))).alias("all"))
-    few = few.select("all").distinct().select(
-        F.xxhash64("all").alias("bucket"), F.inline("all"), F.lit(1).alias("place"))
-    if large.isEmpty():
-        members = cut_lineage(few)
-    else:
-        members = cut_lineage(few.unionByName(
-            prefix_buckets(sets.join(large, "id", "left_semi"), threshold)))
-    stars = led = done = None
-    number = 1
-    while True:
-        leaders, pairs = _next_pairs(members, stars, led, number, threshold)
-        if done is not None:
-            pairs = pairs.join(done, ["u", "v"], "left_anti")
-        pairs = cut_lineage(pairs)
-        leaders = cut_lineage(leaders)
-        if leaders.isEmpty():
-            break
-        if not pairs.isEmpty():
-            links = verified(pairs, sets, threshold)
-            stars = contract(links if stars is None else links.unionByName(stars))
-        led = leaders if led is None else led.unionByName(leaders)
-        done = pairs if done is None else done.unionByName(pairs)
-        number += 1
-    if stars is None:
-        return base, nodes.select("d1", "d2", F.col("first.id").alias("exact_id"), "first")
+    stars = _components(members, sets, threshold)
     linked = stars.unionByName(stars.select(F.col("v").alias("u"), "v").distinct())
     known = linked.join(nodes.select(F.col("node").alias("u"), F.col("first").alias("own")), "u")
     heads = known.groupBy("v").agg(F.min("own").alias("head"))
@@ -371,9 +393,10 @@ def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     id. Rows without an id are compared too and come last in that order. Of rows with equal id
     and text one stays."""
     _, classes = content_classes(docs, id_col, text, threshold, bands, rows)
-    left = _rows_of(docs, classes.select("first").distinct(), id_col, text)
+    key = fresh_name("_key", docs.columns)
+    left = _rows_of(docs, classes.select("first").distinct(), id_col, text, key)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return left.groupBy("_key").agg(F.first(row).alias("_row")).select("_row.*")
+    return left.groupBy(key).agg(F.first(row).alias("_row")).select("_row.*")
 
 
 @query()

@@ -165,6 +165,14 @@ def split_texts(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[in
         start = stop
 
 
+def fresh_name(name: str, taken) -> str:
+    """``name``, with as many underscores before it as it needs to be new."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name = f"_{name}"
+    return name
+
+
 def map_texts(df: DataFrame, text: str | Column, keep: dict[str, Column], new: str,
               make: Callable[[], Callable[[list[pa.Array], Texts], list]],
               limit: int = CHUNK_BYTES) -> DataFrame:
@@ -174,7 +182,8 @@ def map_texts(df: DataFrame, text: str | Column, keep: dict[str, Column], new: s
     texts of a chunk and gives one array per new column.
     """
     text = F.col(text) if isinstance(text, str) else text
-    source = df.select(text.cast("string").alias("_text"),
+    own = fresh_name("_text", keep)
+    source = df.select(text.cast("string").alias(own),
                        *[c.alias(name) for name, c in keep.items()])
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[1:])
     names = [*keep, *StructType.fromDDL(new).names]
