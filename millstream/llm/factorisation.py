@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..plans.registry import query
 from .labelled import arrays_of, labelled_sample, sampled_rows, with_sample
-from .textwords import Texts, map_texts, read_table, remainder, row_keys, words_of
+from .textwords import Texts, fresh_name, map_texts, read_table, remainder, row_keys, words_of
 
 BITS = 18
 RANK = 8
@@ -189,9 +189,9 @@ def score_quality(docs: DataFrame, machine: Machine, keep: dict, text: str = "te
             return [model.score(Features(texts, kept[n:], bits))]
         return work
 
-    keep = keep | {f"_meta{i}": F.col(m).cast("double") for i, m in enumerate(metadata)}
-    scored = map_texts(docs, text, keep, f"{out} double", make)
-    return scored.drop(*[f"_meta{i}" for i in range(len(metadata))])
+    own = {fresh_name(f"_meta{i}", [*keep, out]): F.col(m).cast("double")
+           for i, m in enumerate(metadata)}
+    return map_texts(docs, text, keep | own, f"{out} double", make).drop(*own)
 
 
 @query()

@@ -28,7 +28,7 @@ def with_sample(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id") -> D
     """The sampled documents with their ``_label``; the sample is bounded, so it is
     broadcast."""
     sample = sample.select(F.col(id_col).alias("_sampled"), F.col("label").alias("_label"))
-    return docs.join(F.broadcast(sample), F.col(id_col) == F.col("_sampled"))
+    return docs.drop("_sampled", "_label").join(F.broadcast(sample), F.col(id_col) == F.col("_sampled"))
 
 
 def sampled_rows(features: DataFrame, id_col: str, *columns: str) -> pa.Table:

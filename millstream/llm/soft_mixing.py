@@ -3,26 +3,33 @@
 Domains come from the labelled table: toxic texts, good texts and poor texts. A softmax
 classifier over hashed words and structure, fitted on at most ``max_rows`` labelled
 documents, gives every document its posterior over the domains, so a document counts in
-each domain with a share of its tokens. Document rates ``r >= min_rate`` are then fitted by
-accelerated projected gradient steps so that the expected tokens ``E_k = sum n r p_k`` of the
-domains meet the targets ``T_k``, in least squares relative to what each domain has:
-``sum (E_k - T_k)**2 / N_k``. In the metric of the tokens a step of length 1 never overshoots.
-
-The rate of a document follows from its posterior and the history of the few domain
-residuals. So a step is one pass over a compact table of token counts and posteriors
-that returns one row per task, the history is all the state there is, and a lost task is
-simply run again. In the end a document is repeated ``floor(rate)`` times, and once more if
-a hash of its id falls below the fraction.
+each domain with a share of its tokens. Document rates between ``min_rate`` and ``max_rate``
+are then fitted by projected gradient steps so that the expected tokens ``E_k = sum n r p_k`` of
+the domains meet the targets ``T_k`` in least squares. Residuals are weighted by the inverse
+of ``G = sum n p p'`` over the documents whose rates are not at a bound, the tokens per
+unit of step, so a rare domain does not hold up the others: without a bound in the way one step
+meets the targets. A step that makes the error larger is halved.
+
+The rate of a document follows from its posterior and the history of the few steps. So a step is
+one pass over a compact table of token counts and posteriors that returns one row per task, the
+history is all the state there is, and a lost task is simply run again. If the targets
+are out of reach (no mixture of the documents has these shares, or ``max_rate`` is in the
+way), a warning says so, ``_met`` is false, and the rates are the best found. In the end a
+document is repeated ``floor(rate)`` times, and once more if a hash of its id and text falls
+below the fraction.
 
 Defined cases: null and empty texts have no tokens, a posterior and a rate; a null id hashes
 as such; without labels all domains are equally likely; a domain without tokens has no
-target, and its weight is left to the others; repeated rows get equal rates; an empty table
-gives no rows; other columns are kept as they are.
+target, and its weight is left to the others; rows with equal texts get equal rates, and equal
+rows as many copies each; an empty table gives no rows; other columns are kept as they are, but
+not under the names ``_tokens``, ``_posterior``, ``_rate``, ``_met``, which is an error.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +48,10 @@ WEIGHTS = {"good": 0.87, "poor": 0.08, "toxic": 0.05}
 BITS = 16
 MAX_LABELLED = 10_000
 MAX_STEPS = 60
-TOLERANCE = 1e-4
+#: Targets are met if each domain's tokens differ by no more than this share of its target.
+TOLERANCE = 1e-3
+#: An error that falls by less than this share in a step does not fall any more.
+STALLED = 0.01
 
 
 def domain_label() -> Column:
@@ -147,14 +157,19 @@ def with_posteriors(docs: DataFrame, model: Softmax, keep: dict, text: str = "te
     return map_texts(docs, text, keep, "_tokens long, _posterior array<double>", make)
 
 
-def rates_of(posterior: np.ndarray, history: list[tuple[np.ndarray, float]], min_rate: float
-             ) -> tuple[np.ndarray, np.ndarray]:
-    """The rates after all steps, and the point where the next gradient is taken."""
-    rate = ahead = np.ones(len(posterior))
-    for residual, momentum in history:
-        after = np.maximum(ahead - posterior @ residual, min_rate)
-        rate, ahead = after, after + momentum * (after - rate)
-    return rate, ahead
+class Rates(NamedTuple):
+    """How rates follow from posteriors, and whether they meet the targets."""
+
+    history: list[np.ndarray]
+    least: float
+    most: float
+    met: bool
+
+    def of(self, posterior: np.ndarray) -> np.ndarray:
+        rate = np.clip(np.ones(len(posterior)), self.least, self.most)
+        for step in self.history:
+            rate = np.clip(rate - posterior @ step, self.least, self.most)
+        return rate
 
 
 def _matrix(column: pa.Array, kinds: int) -> np.ndarray:
@@ -162,79 +177,100 @@ def _matrix(column: pa.Array, kinds: int) -> np.ndarray:
 
 
 def fit_rates(table: DataFrame, weights: Sequence[float], budget: float | None = None,
-              min_rate: float = 0.0, max_steps: int = MAX_STEPS, tolerance: float = TOLERANCE
-              ) -> list[tuple[np.ndarray, float]]:
-    """The history of steps that leads to the rates. ``table`` has ``_tokens`` and
-    ``_posterior``; the budget is all tokens it has unless given."""
+              min_rate: float = 0.0, max_rate: float = np.inf, max_steps: int = MAX_STEPS,
+              tolerance: float = TOLERANCE) -> Rates:
+    """Rates for a ``table`` with ``_tokens`` and ``_posterior``; the budget is all tokens it
+    has unless given."""
     kinds = len(weights)
+    names = [f"k{i}" for i in range(kinds + kinds * kinds)]
+
+    def totals(history: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of each domain at the rates, and ``G``."""
+        rates = Rates(history, min_rate, max_rate, False)
 
-    def totals(history, at_rate: bool) -> np.ndarray:
         def add(batches):
-            total = np.zeros(kinds)
+            total, free = np.zeros(kinds), np.zeros((kinds, kinds))
             for batch in batches:
-                p = _matrix(batch.column(1), kinds)
-                r = rates_of(p, history, min_rate)[0 if at_rate else 1]
-                total += (batch.column(0).to_numpy() * r) @ p
-            yield pa.RecordBatch.from_arrays([pa.array([float(x)]) for x in total],
-                                             [f"k{i}" for i in range(kinds)])
-
-        schema = ", ".join(f"k{i} double" for i in range(kinds))
-        parts = table.select("_tokens", "_posterior").mapInArrow(add, schema)
-        row = parts.agg(*[F.sum(f"k{i}") for i in range(kinds)]).first()
-        return np.array([x or 0.0 for x in row])
-
-    now = totals([], True)
-    some = now > 1e-9 * max(now.sum(), 1e-9)
+                p, n = _matrix(batch.column(1), kinds), batch.column(0).to_numpy()
+                r = rates.of(p)
+                total += (n * r) @ p
+                free += (p * (n * ((r > min_rate) & (r < max_rate)))[:, None]).T @ p
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([float(x)]) for x in [*total, *free.ravel()]], names)
+
+        parts = table.select("_tokens", "_posterior").mapInArrow(
+            add, ", ".join(f"{n} double" for n in names))
+        row = np.array([x or 0.0 for x in parts.agg(*[F.sum(n) for n in names]).first()])
+        return row[:kinds], row[kinds:].reshape(kinds, kinds)
+
+    now, free = totals([])
+    some = now > 1e-12 * max(now.sum(), 1e-9)
     share = np.where(some, np.asarray(weights, float), 0)
     target = (now.sum() if budget is None else budget) * share / max(share.sum(), 1e-12)
-    scale = np.where(some, now, 1)
-    history: list[tuple[np.ndarray, float]] = []
-    pace, ahead = 1.0, now
+    history: list[np.ndarray] = []
+    best, halved = np.inf, 0
     for _ in range(max_steps):
-        residual = np.where(some, (ahead - target) / scale, 0)
-        if np.abs(ahead - target).sum() <= tolerance * max(target.sum(), 1e-9):
-            break
-        after = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
-        history.append((residual, (pace - 1) / after))
-        pace = after
-        ahead = totals(history, False)
-    return history
-
-
-def with_rates(scored: DataFrame, history, kinds: int, min_rate: float = 0.0) -> DataFrame:
+        residual = np.where(some, now - target, 0)
+        # of what is wanted, so that a rare domain counts as much as the others
+        error = np.abs(residual) / np.maximum(np.where(target > 0, target, target.sum()), 1e-9)
+        if (error <= tolerance).all():
+            return Rates(history, min_rate, max_rate, True)
+        error = error.sum()
+        if error > (1 - STALLED) * best:
+            if halved == 5:
+                history.pop()
+                break
+            history[-1] = history[-1] / 2
+            halved += 1
+        else:
+            best, halved = error, 0
+            scale = 1 / np.sqrt(np.maximum(np.diag(free), 1e-300))
+            step = np.linalg.lstsq(free * scale[:, None] * scale, residual * scale, rcond=1e-10)[0]
+            history.append(step * scale)
+        now, free = totals(history)
+    warnings.warn(f"targets {target} are not met: {now}", stacklevel=2)
+    return Rates(history, min_rate, max_rate, False)
+
+
+def with_rates(scored: DataFrame, rates: Rates, kinds: int) -> DataFrame:
     """``scored`` and a column ``_rate``."""
     at = scored.columns.index("_posterior")
     schema = StructType([*scored.schema.fields, StructField("_rate", DoubleType())])
 
     def run(batches):
         for batch in batches:
-            rate = rates_of(_matrix(batch.column(at), kinds), history, min_rate)[0]
+            rate = rates.of(_matrix(batch.column(at), kinds))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)],
                                              [*batch.schema.names, "_rate"])
 
     return scored.mapInArrow(run, schema)
 
 
-def copies(rate: str, id_col: str, seed: int = 17) -> Column:
-    """How often a document is taken: the rate on average over ids."""
-    chance = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(1 << 30)) / float(1 << 30)
+def copies(rate: str, *known_by: str | Column, seed: int = 17) -> Column:
+    """How often a document is taken: the rate on average over documents."""
+    chance = F.pmod(F.xxhash64(F.lit(seed), *known_by), F.lit(1 << 30)) / float(1 << 30)
     return F.floor(F.col(rate) + chance).cast("long")
 
 
 def mix(docs: DataFrame, labels: DataFrame, weights: dict[str, float], keep: dict,
         id_col: str = "doc_id", text: str = "text", budget: float | None = None,
-        min_rate: float = 0.0) -> DataFrame:
-    """Columns ``keep``, ``_tokens``, ``_posterior`` and ``_rate``, for every row."""
+        min_rate: float = 0.0, max_rate: float = np.inf) -> DataFrame:
+    """Columns ``keep``, ``_tokens``, ``_posterior``, ``_rate`` and ``_met``, for every row."""
+    if taken := {"_tokens", "_posterior", "_rate", "_met"} & set(keep):
+        raise ValueError(f"columns are named as the result's own: {sorted(taken)}")
     model = fit_domains(docs, labels, id_col, text)
     scored = cut_lineage(with_posteriors(docs, model, keep, text))
-    history = fit_rates(scored, [weights[d] for d in DOMAINS], budget, min_rate)  # reads two columns
-    return with_rates(scored, history, len(DOMAINS), min_rate)
+    rates = fit_rates(scored, [weights[d] for d in DOMAINS], budget, min_rate, max_rate)
+    return with_rates(scored, rates, len(DOMAINS)).withColumn("_met", F.lit(rates.met))
 
 
 @query()
 def op10_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    mixed = mix(docs, read_table(spark, sf_dir, "labels"), WEIGHTS, {"doc_id": F.col("doc_id")})
+    mixed = mix(docs, read_table(spark, sf_dir, "labels"), WEIGHTS,
+                {"doc_id": F.col("doc_id"), "content": F.xxhash64("text")})
     posterior = [F.col("_posterior")[i].alias(f"p_{d}") for i, d in enumerate(DOMAINS)]
     return mixed.select("doc_id", F.col("_tokens").alias("n_tokens"), *posterior,
-                        F.col("_rate").alias("rate"), copies("_rate", "doc_id").alias("copies"))
+                        F.col("_rate").alias("rate"),
+                        copies("_rate", "doc_id", "content").alias("copies"),
+                        F.col("_met").alias("targets_met"))

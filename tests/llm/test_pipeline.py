@@ -63,9 +63,13 @@ def test_decontamination(spark, stages):
 def test_mixing(spark, stages):
     known = spark.read.parquet(f"{SF_DIR}/labels.parquet")
     mixed = soft_mixing.mix(stages[3], known, corpus_pipeline.WEIGHTS,
-                            {"doc_id": F.col("doc_id")})
+                            {"doc_id": F.col("doc_id"), "text": F.col("text")},
+                            max_rate=corpus_pipeline.MOST_COPIES)
     want = {r.doc_id: r.c for r in mixed.select(
-        "doc_id", soft_mixing.copies("_rate", "doc_id").alias("c")).collect() if r.c}
+        "doc_id", soft_mixing.copies("_rate", "doc_id", F.xxhash64("text")).alias("c")
+    ).collect() if r.c}
+    assert max(want.values()) <= corpus_pipeline.MOST_COPIES
+    assert len(want) > 0.5 * stages[3].count()
     assert collections.Counter(r.doc_id for r in stages[4].collect()) == want
 
 
@@ -89,6 +93,23 @@ def test_messy_documents(spark, messy, no_docs, labels, no_labels, scratch):  #
     assert np.uint32(zlib.crc32(b"")) == 0
 
 
+def test_columns_named_like_inner_ones(spark, scratch):
+    """They come out of every stage as they went in."""
+    names = ["_quality", "_text", "_leaks", "_tokens", "_key", "_times", "_label", "_sampled",
+             "_rate", "_met", "_posterior", "_content", "_copy", "_first", "_id", "_row", "_meta0",
+             "other 5", "a.b", "first", "id", "key"]
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("length(text) < 3000")
+    docs = docs.select("*", *[F.concat(F.lit(f"{n} "), "doc_id").alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = cut_lineage(stage(spark, docs, SF_DIR))
+        wrong = [F.col(f"`{n}`") != F.concat(F.lit(f"{n} "), "doc_id") for n in names]
+        assert docs.count() > 20, name
+        for w in wrong:
+            assert docs.where(w).isEmpty(), name
+    tokens = corpus_pipeline.token_output(spark, docs, SF_DIR)
+    assert tokens.count() == docs.count()
+
+
 def test_rows_without_an_id_are_decontaminated(spark):
     item = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").first().text
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
