@@ -7,6 +7,8 @@ of the documents.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,10 +25,27 @@ LEAST_QUALITY = 0.7
 WEIGHTS = {"good": 0.94, "poor": 0.01, "toxic": 0.05}
 
 
+#: A document is repeated no more often than that, whatever the targets ask for.
+MOST_COPIES = 4.0
+OWN = ("doc_id", "text", "lang", "source", "n_chars")
+
+
 def _columns(docs: DataFrame) -> dict:
     return {c: F.col(f"`{c}`") for c in docs.columns}
 
 
+def _stage(step):
+    """Other columns than the documents' own travel under names that no operator uses."""
+
+    @functools.wraps(step)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = [c if c in OWN else f"other {i}" for i, c in enumerate(docs.columns)]
+        return step(spark, docs.toDF(*names), sf_dir).toDF(*docs.columns)
+
+    return run
+
+
+@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine does not reject."""
     labels = read_table(spark, sf_dir, "labels")
@@ -35,12 +54,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("_quality") >= LEAST_QUALITY).drop("_quality")
 
 
+@_stage
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates, the one with the smallest id. Classes
     are of contents: rows that share an id, or have none, are compared by their texts."""
     return prob_minhash.one_of_each_class(docs)
 
 
+@_stage
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark. Whether a row leaks depends on its text
     alone, so rows are known by a digest of the text, with or without an id."""
@@ -52,10 +73,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.join(leaks, content == F.col("_leaks"), "left_anti")
 
 
+@_stage
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents, each as often as its rate says, for the target shares of the domains."""
-    mixed = soft_mixing.mix(docs, read_table(spark, sf_dir, "labels"), WEIGHTS, _columns(docs))
-    times = soft_mixing.copies("_rate", "doc_id")
+    mixed = soft_mixing.mix(docs, read_table(spark, sf_dir, "labels"), WEIGHTS, _columns(docs),
+                            max_rate=MOST_COPIES)
+    times = soft_mixing.copies("_rate", "doc_id", F.xxhash64("text"))
     return (mixed.withColumn("_times", times).where("_times > 0")
             .withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_times").cast("int"))))
             .select(*_columns(docs).values()))
