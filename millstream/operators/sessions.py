@@ -10,6 +10,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: A slice of time is so many gaps wide.
+SLICE_CELLS = 512
+
 
 def seconds(value: float) -> Column:
     """An interval of so many seconds, to the microsecond."""
@@ -52,30 +55,39 @@ def _on_stream(
 def _on_table(
     df: DataFrame, keys: Sequence[str], time: str, value: str, gap: float, name: str
 ) -> DataFrame:
-    """Two steps. Events of a key within one cell of gap width are always in one
+    """Three steps. Events of a key within one cell of gap width are always in one
     session, so an ordinary aggregate reduces them to (first, last, sum, count);
     it works before the shuffle, and a hot key costs at most one row per task and
-    cell. Then the cells of a key are joined in time order where the distance is
-    below the gap. A key has at most (time span / gap) cells, however many events.
+    cell. Then the cells of a key and a slice of time are joined in order where the
+    distance is below the gap, so a hot key is spread over as many tasks as it has slices. Of a
+    slice's sessions only the first and the last may go on beyond it; those of a key, at most
+    two a slice, are joined in order in the same way.
     """
-    cell = F.window(time, f"{round(gap * 1_000_000)} microseconds")["start"]
+    width = round(gap * 1_000_000)
+    cell = F.window(time, f"{width} microseconds")["start"]
     cells = df.groupBy(*keys, cell.alias("_cell")).agg(
         F.min(time).alias("_first"), F.max(time).alias("_last"),
         F.sum(value).alias(name), F.count(F.lit(1)).alias("n"),
     )
-    in_order = Window.partitionBy(*keys).orderBy("_cell")
-    previous = F.lag("_last").over(in_order)
-    opens = F.when(F.col("_first") < previous + seconds(gap), 0).otherwise(1)
-    numbered = cells.withColumn("_opens", opens).withColumn(
-        "_session",
-        F.sum("_opens").over(in_order.rowsBetween(Window.unboundedPreceding, 0)),
-    )
-    return (
-        numbered.groupBy(*keys, "_session")
-        .agg(
-            F.min("_first").alias("window_start"),
-            (F.max("_last") + seconds(gap)).alias("window_end"),
-            F.sum(name).alias(name), F.sum("n").alias("n"),
-        )
-        .select("window_start", "window_end", *keys, name, "n")
-    )
+    # a slice holds whole cells: both are counted from the epoch
+    slices = cells.withColumn("_slice", F.window("_cell", f"{width * SLICE_CELLS} microseconds")["start"])
+    pieces = _joined(slices, [*keys, "_slice"], "_cell", gap, name)
+    last = F.max("_number").over(Window.partitionBy(*keys, "_slice"))
+    at_edge = (F.col("_number") == 1) | (F.col("_number") == last)
+    pieces = pieces.withColumn("_edge", at_edge)
+    edges = _joined(pieces.where("_edge"), keys, "_first", gap, name)
+    rest = [*keys, "_first", "_last", name, "n"]
+    return pieces.where("NOT _edge").select(*rest).unionByName(edges.select(*rest)).select(
+        F.col("_first").alias("window_start"), (F.col("_last") + seconds(gap)).alias("window_end"),
+        *keys, name, "n")
+
+
+def _joined(pieces: DataFrame, part: Sequence[str], order: str, gap: float, name: str) -> DataFrame:
+    """Pieces of ``part`` joined where they are less than a gap apart, with ``_number`` in it."""
+    in_order = Window.partitionBy(*part).orderBy(order)
+    opens = F.when(F.col("_first") < F.lag("_last").over(in_order) + seconds(gap), 0).otherwise(1)
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    numbered = pieces.withColumn("_opens", opens).withColumn("_number", F.sum("_opens").over(so_far))
+    return numbered.groupBy(*part, "_number").agg(
+        F.min("_first").alias("_first"), F.max("_last").alias("_last"),
+        F.sum(name).alias(name), F.sum("n").alias("n"))

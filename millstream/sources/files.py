@@ -88,14 +88,18 @@ def open_output(path: str):
 
 
 def publish_parts(path: str, messages: list, overwrite: bool) -> None:
-    """Make the files of the finished tasks visible; a lost attempt stays hidden."""
+    """Make the files of the finished tasks visible; a lost attempt stays hidden. Old files
+    go only when all new ones are in place, so a failure in between loses no row; until
+    the mark of success is back, there may be rows of both."""
     fs, place = open_fs(path)
     fs.create_dir(place, recursive=True)
-    if overwrite:
-        for old, _ in list_files(path, validate=False):
-            fs.delete_file(old)
+    old = [f for f, _ in list_files(path, validate=False)] if overwrite else []
+    if old and fs.get_file_info(f"{place}/_SUCCESS").type == pafs.FileType.File:
+        fs.delete_file(f"{place}/_SUCCESS")
     for message in messages:
         if message is not None and message.staged:
             fs.move(open_fs(message.staged)[1], open_fs(message.final)[1])
+    for f in old:
+        fs.delete_file(f)
     with fs.open_output_stream(f"{place}/_SUCCESS", compression=None):
         pass

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from millstream import sinks, sources
 from millstream.operators import count_per_key
-from millstream.sources import records
+from millstream.sources import files, records
 from millstream.sources.jdbc import jdbc_options
 
 
@@ -217,3 +217,19 @@ def test_write_tagged(spark, scratch):
     path = scratch()
     sinks.write_tagged(df, path)
     assert values(sources.read_parquet(spark, f"{path}/tag=a")) == [1, 3]
+
+
+def test_an_overwrite_that_fails_loses_no_row(spark, scratch, monkeypatch):
+    """The old files go only after the new ones are in place."""
+    path = scratch()
+    df = spark.range(5).select(F.col("id").cast("string").alias("value"))
+    sinks.write_tfrecord(df, path, num_shards=2)
+    part = files.new_part(path, ".x")
+    with files.open_output(part.staged) as f:
+        f.write(b"new")
+    lost = files.WrittenFile(f"{path}/_staged/gone", f"{path}/part-gone")
+    with pytest.raises(FileNotFoundError):
+        files.publish_parts(path, [part, lost], overwrite=True)
+    assert len(files.list_files(path)) == 3
+    files.publish_parts(path, [], overwrite=True)
+    assert files.list_files(path, validate=False) == []

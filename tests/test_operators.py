@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 import sys
 from collections import Counter, defaultdict
 from decimal import Decimal
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from millstream import operators as op
 from millstream.operators.pardo import tagged_output
+from millstream.session import settings as session_settings
 from millstream.sources import create
 
 # the workers do not have the test folder on their path
@@ -368,6 +370,30 @@ def test_sessions_against_brute_force(spark, data, gap):
     assert sorted(tuple(r) for r in got.collect()) == sessions(data, gap)
 
 
+@pytest.mark.parametrize("width", [1, 2, 3])
+def test_sessions_that_cross_slices_of_time(spark, monkeypatch, width):
+    """Sessions that fill slices, end at their edges or lie between them."""
+    monkeypatch.setattr(op.sessions, "SLICE_CELLS", width)
+    rng = random.Random(width)
+    for step in (3, 9, 14, 30):
+        at, data = 0, []
+        for _ in range(120):
+            at += rng.choice([1, 10, rng.randint(1, step)])
+            data.append((rng.choice("ab"), at, rng.randint(-5, 5)))
+        got = op.session_windows(timed(spark, data), ["k"], "ts", "v", 10)
+        assert sorted(tuple(r) for r in got.collect()) == sessions(data, 10)
+
+
+def test_sessions_of_one_key_are_spread_over_tasks(spark):
+    data = [("hot", 10 * i + 1000 * (i // 20), 1) for i in range(20_000)]
+    with session_settings(spark, {"spark.sql.shuffle.partitions": "24",
+                                  "spark.sql.adaptive.enabled": "false"}):
+        got = op.session_windows(timed(spark, data), ["k"], "ts", "v", 15)
+        tasks = got.select(F.spark_partition_id()).distinct().count()
+        assert tasks >= 8
+        assert rows(got.select("total", "n")) == [(20, 20)] * 1000
+
+
 def test_events_one_gap_apart_are_two_sessions(spark):
     data = [("a", 0, 1), ("a", 10, 1), ("a", 19, 1)]
     got = op.session_windows(timed(spark, data), ["k"], "ts", "v", 10)
