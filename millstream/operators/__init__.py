@@ -4,6 +4,7 @@ from .elements import (
     chain, filter_equals, filter_in, flat_map, key_value, labelled, map_columns, struct_key,
     tag_constant,
 )
+from .group_streams import per_group
 from .grouping import count_per_key, count_values, fold_groups, group_by_key, having, sum_per_key
 from .pardo import (
     DoFn, Tagged, filter_rows, flat_map_rows, map_rows, par_do, par_do_tagged, tagged_output,
@@ -20,6 +21,6 @@ __all__ = [
     "combine_globally", "combine_per_key", "count_panes", "count_per_key", "exclude",
     "filter_equals", "filter_in", "filter_rows", "flat_map_rows", "fixed_windows", "flat_map", "flatten", "fold_groups",
     "group_by_key", "having", "key_value", "labelled", "map_columns", "map_rows", "output", "pane_state",
-    "par_do", "par_do_tagged", "session_windows", "side_list", "sliding_windows", "struct_key",
+    "par_do", "par_do_tagged", "per_group", "session_windows", "side_list", "sliding_windows", "struct_key",
     "sum_per_key", "tag_constant", "tag_rows", "tagged_output", "typed", "windowed",
 ]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -496,6 +497,67 @@ def cogroup_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.cogroup_join(customers, orders, ["key"], "left").select("key", "name", "order_id")
 
 
+@query("""
+WITH marked AS (
+  SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id)
+    - row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS island
+  FROM events
+), streaks AS (
+  SELECT user_id, count(*) AS n FROM marked GROUP BY user_id, event_type, island
+)
+SELECT user_id, CAST(sum(n) AS BIGINT) AS n, max(n) AS longest FROM streaks GROUP BY user_id
+""")
+def group_stream_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Longest streak of one type among the events of a user, in order, batch by batch."""
+    def longest(key, batches):
+        n = best = current = 0
+        last = None
+        for _, batch in batches:
+            for kind in batch.column("event_type").to_pylist():
+                current = current + 1 if kind == last else 1
+                best, last = max(best, current), kind
+            n += batch.num_rows
+        yield pa.RecordBatch.from_pylist(
+            [{"user_id": key[0], "n": n, "longest": best}])
+
+    events = table(spark, sf_dir, "events", "user_id", "event_id", "event_type")
+    return op.per_group({"events": events}, ["user_id"], longest,
+                        "user_id long, n long, longest long", order=["event_id"])
+
+
+@query("""
+WITH steps AS (
+  SELECT o_custkey AS key, o_orderkey - lag(o_orderkey) OVER (
+    PARTITION BY o_custkey ORDER BY o_orderkey) AS step FROM orders
+), paired AS (SELECT key, count(*) AS n, max(step) AS widest FROM steps GROUP BY key)
+SELECT coalesce(c_custkey, key) AS key, c_name AS name, coalesce(n, 0) AS n, widest
+FROM customer FULL JOIN paired ON c_custkey = key
+""")
+def cogroup_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with the widest step between their order numbers: the customer's row comes
+    first, then the orders in order."""
+    def pair(key, batches):
+        name, n, last, widest = None, 0, None, None
+        for source, batch in batches:
+            if source == "customers":
+                name = batch.column("name")[0].as_py()
+                continue
+            ids = batch.column("order_id").to_numpy()
+            n += len(ids)
+            ids = ids if last is None else np.concatenate(([last], ids))
+            steps = np.diff(ids).tolist()
+            widest = max([*steps, *([] if widest is None else [widest])], default=None)
+            last = ids[-1]
+        yield pa.RecordBatch.from_arrays([
+            pa.array([key[0]], pa.int64()), pa.array([name], pa.string()),
+            pa.array([n], pa.int64()), pa.array([widest], pa.int64())],
+            ["key", "name", "n", "widest"])
+
+    customers, orders = customer_inputs(spark, sf_dir)
+    return op.per_group({"customers": customers, "orders": orders}, ["key"], pair,
+                        "key long, name string, n long, widest long", order=["order_id"])
+
+
 # ---- use cases -------------------------------------------------------------
 
 @query(f"""
