@@ -6,15 +6,18 @@ folder. Each stream job returns its running query.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.numbers import to_int
 from ..functions.text import join_fields, pair_text, strip_all
-from ..operators.cogroup import cogroup, flatten
+from ..operators.cogroup import flatten
+from ..operators.group_streams import per_group
 from ..sinks import write_messages, write_tagged, write_text
 from ..sources import read_messages, read_text
 from ..streaming import count_trigger
@@ -77,19 +80,33 @@ def word_counts(spark: SparkSession, source: str, target: str) -> None:
 
 
 def employees_with_locations(
-    spark: SparkSession, employees: str, locations: str, target: str
+    spark: SparkSession, employees: str, locations: str, target: str, per_line: int = 1000
 ) -> None:
     """One JSON line per id with the records of both files under ``dep_data`` and
-    ``loc_data``."""
-    groups = cogroup({
+    ``loc_data``; an id with more than ``per_line`` records goes on in further lines."""
+
+    def lines(key, batches):
+        record, held, written = {"key": key[0], "dep_data": [], "loc_data": []}, 0, False
+        for side, batch in batches:
+            for fields in batch.column("fields").to_pylist():
+                if held == per_line:
+                    yield _json_line(record)
+                    record, held, written = record | {"dep_data": [], "loc_data": []}, 0, True
+                record[side].append(fields)
+                held += 1
+        if held or not written:
+            yield _json_line(record)
+
+    groups = per_group({
         "dep_data": layouts.keyed_rows(read_text(spark, employees)),
         "loc_data": layouts.keyed_rows(read_text(spark, locations)),
-    }, ["key"])
-    record = F.struct(
-        "key", *[F.flatten(F.transform(side, lambda r: F.array_repeat(
-            r["row"]["fields"], r["times"].cast("int")))).alias(side)
-                for side in ("dep_data", "loc_data")])
-    write_text(groups, target, F.to_json(record))
+    }, ["key"], lines, "value string")
+    write_text(groups, target)
+
+
+def _json_line(record: dict) -> pa.RecordBatch:
+    text = json.dumps(record, separators=(",", ":"), ensure_ascii=False)
+    return pa.RecordBatch.from_arrays([pa.array([text])], ["value"])
 
 
 def card_skippers(

@@ -49,6 +49,12 @@ def test_department_jobs(spark, files, scratch):
     found = {r["key"]: r for r in map(json.loads, lines_of(spark, targets[5]))}
     assert found["9"] == {"key": "9", "dep_data": [], "loc_data": [["Goa"]]}
     assert len(found["1"]["dep_data"]) == 2
+    short = scratch("short")
+    jobs.employees_with_locations(spark, dept, places, short, per_line=1)
+    ones = [r for r in map(json.loads, lines_of(spark, short)) if r["key"] == "1"]
+    assert [len(r["dep_data"]) + len(r["loc_data"]) for r in ones] == [1, 1, 1]
+    assert sorted(r["dep_data"][0] for r in ones if r["dep_data"]) == sorted(
+        found["1"]["dep_data"])
     jobs.salaries(spark, dept, targets[6])
     assert "1:Kim, 200" in lines_of(spark, targets[6])
 
