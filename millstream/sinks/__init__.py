@@ -1,8 +1,8 @@
 from .files import write_avro, write_parquet, write_tagged, write_text, write_tfrecord
-from .taps import tap, tap_stream
+from .taps import TapListener, shown, tap, tap_stream
 from .topics import publish, write_messages
 
 __all__ = [
-    "publish", "tap", "tap_stream", "write_avro", "write_messages", "write_parquet",
+    "TapListener", "publish", "shown", "tap", "tap_stream", "write_avro", "write_messages", "write_parquet",
     "write_tagged", "write_text", "write_tfrecord",
 ]

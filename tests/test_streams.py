@@ -1,4 +1,5 @@
 import os
+import time
 
 import pytest
 from conftest import rows
@@ -8,7 +9,7 @@ from test_plans import SALES, sale_messages
 from millstream import operators as op
 from millstream.functions.text import pair_text, to_bytes
 from millstream.plans import sales
-from millstream.sinks import publish, tap_stream, write_messages
+from millstream.sinks import TapListener, publish, shown, tap, tap_stream, write_messages
 from millstream.sources import read_messages, to_messages
 from millstream.sources.topics import drop_repeats
 from millstream.streaming import count_trigger, run_available, sentinel_message, stream_to_table
@@ -214,6 +215,37 @@ def test_tap_on_a_stream(spark, topic, scratch):
     assert seen == 6
 
 
+def test_taps_show_rows(spark, topic, scratch):
+    """Few, the same ones on every run, also from a stream while it runs."""
+    table = spark.range(500, numPartitions=7).select("id", (F.col("id") % 3).alias("a.b"))
+    got = []
+    for parts in (2, 5):
+        tapped, seen = tap(table.repartition(parts), "t", show=4)
+        assert tapped.count() == 500 and seen.get["rows"] == 500
+        got.append(shown(seen.get))
+    assert got[0] == got[1] and 1 <= len(got[0]) <= 4
+    assert all(r["a.b"] == r["id"] % 3 and 0 <= r["id"] < 500 for r in got[0])
+    tapped, seen = tap(table.where("id < 0"), "none", show=2)
+    assert tapped.count() == 0 and shown(seen.get) == []
+
+    publish(sale_messages(spark), topic)
+    heard = []
+    listener = TapListener("seen", lambda *a: heard.append(a))
+    spark.streams.addListener(listener)
+    try:
+        rows_in = sales.sales_from_messages(read_messages(spark, topic=topic))
+        run_available(stream_to_table(
+            tap_stream(rows_in.select("store_id", "pieces"), "seen", show=3), scratch("r"),
+            scratch("c")))
+        deadline = time.time() + 20
+        while not heard and time.time() < deadline:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert [(b, n) for b, n, _ in heard] == [(0, 5)]
+    assert {r["store_id"] for r in heard[0][2]} <= {"S1", "S2"} and heard[0][2]
+
+
 def test_one_function_serves_table_and_stream(spark):
     table = spark.range(3).select(F.lit("k").alias("k"), F.col("id").alias("v"))
     step = op.chain(op.filter_equals("k", "k"), op.map_columns(t=pair_text("k", "v")))
