@@ -16,6 +16,7 @@ from ..functions.text import (
 )
 from ..operators.pardo import tagged_output
 from ..operators.grouping import sum_list
+from ..session import cut_lineage
 from ..sources import create, create_from_map
 from . import attendance, cards, loans, sales, words
 from .registry import query
@@ -304,7 +305,8 @@ FROM part
 def pardo_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = table(spark, sf_dir, "part").select(F.col("p_name").alias("name"))
     kinds = {"red": "name string", "Short_Names": "name string", "Long_Names": "name string"}
-    tagged = op.par_do_tagged(names, NameKinds(), kinds, "red", 9, "red")
+    # written once, so that the function runs once and not for each output
+    tagged = cut_lineage(op.par_do_tagged(names, NameKinds(), kinds, "red", 9, "red"))
     outputs = [tagged_output(tagged, k).withColumn("tag", F.lit(k)) for k in kinds]
     return op.flatten(*outputs)
 
