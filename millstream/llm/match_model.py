@@ -1,20 +1,22 @@
 """Language-model scores by prediction by partial matching over bytes.
 
-A trie of byte contexts holds, for every context of up to two bytes, how often each byte
+A trie of byte contexts holds, for every context of up to five bytes, how often each byte
 followed in the training texts. The code length of a byte is taken at its longest context;
 where the byte was not seen there, an escape (method C: distinct symbols over occurrences
 plus distinct symbols) leads to the next shorter context, in which the symbols already
 ruled out count no more, and at last to a uniform choice of what remains. Texts begin in a
-context of two padding bytes and end with an end symbol; both values never occur in UTF-8.
+context of five padding bytes and end with an end symbol; both values never occur in UTF-8.
 
-Training counts are gathered from all training texts by a shuffle. A trie of this depth has
-at most 256**3 leaves however large the corpus, so it may be broadcast; workers expand it
-once into the table of all code lengths.
+The trie is a table of its deepest entries, sorted by the context read backwards, so that the
+entries of every shorter context lie together too. It grows with the corpus and is nowhere
+whole: entries are dealt by the last three context bytes, and what is below a context of three
+bytes (at most 256**3 entries however large the corpus) is broadcast. So each task knows all
+counts that the escapes of its entries need, and gives every entry its code length.
 
-Beside it stands the score of single tokens, whose vocabulary has no such bound. Documents
-are dealt to chunks; each chunk asks for the counts of its distinct tokens, the answers
-come back by a join, and chunk and answers meet in a co-group. No task holds more than a
-chunk and no table of all tokens is ever in one place.
+Documents are dealt to chunks of a number of bytes. Each chunk asks for the distinct tokens
+and the distinct entries of its texts; token counts and code lengths come back by a join, and
+chunk and answers meet in a co-group. No task holds more than a chunk, or the entries of a
+context of three bytes.
 
 Defined cases: a null text is empty and has the end as its only token; a null id is never
 held out; without training texts all counts are 0; repeated rows are scored each; an empty
@@ -23,9 +25,6 @@ table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-import sys
-import types
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,70 +36,106 @@ from ..plans.registry import query
 from ..session import cut_lineage
 from .textwords import TOKEN, Texts, read_table, remainder, split_texts, words_of
 
-CHUNK_DOCS = 2048
+CHUNK_BYTES = 32 << 20
+ORDER = 5
 PAD, END = 0xFE, 0xFF
 END_KEY = np.int64(0)  # the key of the end token; words have mixed 64-bit hashes
-GRAMS = -1  # the chunk number of rows that hold byte counts
+SLICE = 1 << 21  # symbols looked at together, also within one long text
+ENTRIES = 1 << 18  # entries whose lengths are computed together, in whole contexts
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 
 
-def byte_codes(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """Two context bytes and the symbol as one number, for every byte and end of every
-    text; where each text begins."""
+def trie_keys(texts: Texts) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys of the trie entries of all bytes and ends of all texts, with their rows, in
+    slices. A key is the context from its last byte to its first, then the symbol."""
     n = len(texts)
-    first = texts.offsets + 3 * np.arange(n + 1)
-    padded = np.empty(len(texts.data) + 3 * n, np.uint32)
-    padded[first[:-1]] = padded[first[:-1] + 1] = PAD
-    padded[first[1:] - 1] = END
+    first = texts.offsets + (ORDER + 1) * np.arange(n + 1)
+    padded = np.full(len(texts.data) + (ORDER + 1) * n, PAD, np.uint8)
     inside = np.ones(len(padded), bool)
-    inside[first[:-1]] = inside[first[:-1] + 1] = inside[first[1:] - 1] = False
+    for k in range(ORDER):
+        inside[first[:-1] + k] = False
+    inside[first[1:] - 1] = False
     padded[inside] = _FOLD[texts.data]
-    codes = (padded[:-2] << 16) | (padded[1:-1] << 8) | padded[2:]
-    own = np.ones(len(codes), bool)  # the contexts that end in padding are not a text's
-    own[first[1:-1] - 2] = own[first[1:-1] - 1] = False
-    return codes[own], texts.offsets + np.arange(n + 1)
-
-
-def code_lengths(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """log10 of the probability of every symbol in every context of two bytes, from the
-    counts of training codes."""
-    deep = np.zeros(1 << 24, np.float32)
-    deep[codes] = counts
-    deep = deep.reshape(256, 256, 256)
-    middle = deep.sum(axis=0, dtype=np.float64)
-    shallow = middle.sum(axis=0)
-    out = np.empty((256, 256, 256), np.float32)
-    rest = np.count_nonzero(shallow == 0)
-    uniform = np.full(256, 1 / max(rest, 1))
-
-    def level(seen: np.ndarray, lower: np.ndarray) -> np.ndarray:
-        """Probabilities of a context, given those of all symbols it has not seen."""
-        total = seen.sum(axis=-1, keepdims=True)
-        kinds = np.count_nonzero(seen, axis=-1)[..., None]
-        whole = np.maximum(total + kinds, 1)
-        escape = np.where(total > 0, kinds / whole, 1.0)
-        return np.where(seen > 0, seen / whole, escape * lower)
-
-    for b in range(256):
-        for a in range(0, 256, 64):
-            first = deep[a:a + 64, b, :].astype(np.float64)
-            # an escape rules out what the longer context has seen
-            second = np.where(first > 0, 0.0, middle[b])
-            third = np.where(middle[b] > 0, 0.0, shallow)
-            third = np.broadcast_to(third, second.shape)
-            chance = level(first, level(second, level(third, uniform)))
-            out[a:a + 64, b, :] = np.log10(np.maximum(chance, 1e-300))
-    return out.reshape(-1)
-
-
-def _kept_lengths(name: str, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The table, expanded once per worker process and model."""
-    kept = sys.modules.setdefault("_millstream_kept", types.ModuleType("_millstream_kept"))
-    if getattr(kept, "lengths_of", None) != name:
-        kept.lengths = None
-        kept.lengths, kept.lengths_of = code_lengths(codes, counts), name
-    return kept.lengths
+    padded[first[1:] - 1] = END
+    for low in range(0, len(padded), SLICE):
+        high = min(low + SLICE, len(padded))
+        low = max(low, ORDER)
+        keys = padded[low:high].astype(np.int64)
+        for k in range(1, ORDER + 1):
+            keys |= padded[low - k:high - k].astype(np.int64) << (8 * (ORDER + 1 - k))
+        own = padded[low:high] != PAD
+        rows = np.repeat(np.arange(n), np.diff(np.clip(first, low, high)))
+        yield keys[own], rows[own]
+
+
+def _step(n, total, kinds, lower):
+    """Chance of a symbol in a context: its own share, or an escape to ``lower``."""
+    whole = np.maximum(total + kinds, 1)
+    return np.where(n > 0, n / whole, np.where(total > 0, kinds / whole, 1.0) * lower)
+
+
+class Shallow:
+    """Contexts of up to two bytes, from the sorted entries of order two."""
+
+    def __init__(self, codes: np.ndarray, counts: np.ndarray):
+        self.codes = np.append(codes, np.iinfo(np.int64).max)
+        self.counts = np.append(counts.astype(np.float64), 0.0)
+        pair, short = codes >> 8, (codes >> 16 << 8) | (codes & 255)
+        self.n1 = np.bincount(short, weights=counts, minlength=1 << 16)
+        square = self.n1.reshape(256, 256)
+        self.n0 = square.sum(axis=0)
+        self.total2 = np.bincount(pair, weights=counts, minlength=1 << 16)
+        self.kinds2 = np.bincount(pair, minlength=1 << 16)
+        self.total1, self.kinds1 = square.sum(axis=1), np.count_nonzero(square, axis=1)
+        # what a context rules out of the next shorter one
+        self.ruled2 = np.bincount(pair, weights=self.n1[short], minlength=1 << 16)
+        self.ruled1 = np.where(square > 0, self.n0, 0.0).sum(axis=1)
+
+    def count(self, codes: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.codes, codes)
+        return np.where(self.codes[at] == codes, self.counts[at], 0.0)
+
+    def chance(self, codes: np.ndarray, n2, total, kinds) -> np.ndarray:
+        """Chances of order two, given the total and kinds that are not ruled out."""
+        last, pair, symbol = codes >> 16, codes >> 8, codes & 255
+        seen = np.count_nonzero(self.n0)
+        p = _step(self.n0[symbol], self.n0.sum() - self.ruled1[last],
+                  seen - self.kinds1[last], 1 / max(256 - seen, 1))
+        p = _step(self.n1[(last << 8) | symbol], self.total1[last] - self.ruled2[pair],
+                  self.kinds1[last] - self.kinds2[pair], p)
+        return _step(n2, total, kinds, p)
+
+
+def code_lengths(keys: np.ndarray, n: np.ndarray, shallow: Shallow) -> np.ndarray:
+    """log10 of the probabilities of entries, sorted and in whole contexts of three bytes,
+    from their training counts (0: asked for, but not seen)."""
+    levels = []  # from the longest context: keys, counts, group of each key, place one level up
+    count, place = n.astype(np.float64), None
+    for order in range(ORDER, 2, -1):
+        if place is not None:
+            count = np.bincount(place, weights=count, minlength=len(keys))
+        _, group = np.unique(keys >> 8, return_inverse=True)
+        total = np.bincount(group, weights=count)
+        kinds = np.bincount(group, weights=count > 0)
+        levels.append((count, group, total, kinds, place))
+        if order > 3:
+            keys, place = np.unique((keys >> 16 << 8) | (keys & 255), return_inverse=True)
+    codes = (keys >> 16 << 8) | (keys & 255)
+    count, group, total, kinds, place = levels.pop()
+    n2 = shallow.count(codes)
+    ruled = np.bincount(group, weights=np.where(count > 0, n2, 0.0))
+    p = shallow.chance(codes, n2, shallow.total2[codes >> 8] - ruled[group],
+                       shallow.kinds2[codes >> 8] - kinds[group])
+    while levels:
+        longer, longer_group, longer_total, longer_kinds, longer_place = levels.pop()
+        n_here, here = count[place], group[place]
+        ruled = np.bincount(longer_group, weights=np.where(longer > 0, n_here, 0.0))
+        p = _step(n_here, total[here] - ruled[longer_group],
+                  kinds[here] - longer_kinds[longer_group], p[place])
+        count, group, total, kinds, place = (
+            longer, longer_group, longer_total, longer_kinds, longer_place)
+    return np.log10(_step(count, total[group], kinds[group], p))
 
 
 def token_keys(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -111,76 +146,116 @@ def token_keys(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     return keys, words.first
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (chunk, key, n) of the distinct tokens of each chunk with their training
-    counts, and of the training bytes. Batches come sorted by chunk."""
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    unique, place = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    counts = np.concatenate([n for _, n in parts])
+    return unique, np.bincount(place, weights=counts, minlength=len(unique)).astype(np.int64)
+
 
-    def rows(chunk, keys, counts):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(keys), chunk, np.int32)), pa.array(keys),
-             pa.array(counts.astype(np.int64))], ["chunk", "key", "n"])
+def _tally(parts: list, keys: np.ndarray, learns: np.ndarray) -> None:
+    """Add the distinct keys with how often they are learnt from."""
+    parts.append(np.unique(keys[learns], return_counts=True))
+    asked = np.unique(keys[~learns])
+    parts.append((asked, np.zeros(len(asked), np.int64)))
 
-    def flush(chunk, parts):
-        keys = np.concatenate([k for k, _ in parts])
-        counts = np.concatenate([n for _, n in parts])
-        unique, place = np.unique(keys, return_inverse=True)
-        return rows(chunk, unique, np.bincount(place, weights=counts, minlength=len(unique)))
 
-    current, parts = None, []
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (chunk, entry, key, n) of the distinct tokens and trie entries of each chunk with
+    their training counts. Batches come sorted by chunk."""
+
+    def flush(chunk, found):
+        for entry, parts in enumerate(found):
+            keys, counts = _merged(parts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(keys), chunk, np.int32)),
+                 pa.array(np.full(len(keys), bool(entry))), pa.array(keys), pa.array(counts)],
+                ["chunk", "entry", "key", "n"])
+
+    current, found = None, ([], [])
     for batch in batches:
         chunks = batch.column(0).to_numpy()
         learns = batch.column(1).to_numpy(zero_copy_only=False)
-        for start, stop, texts in split_texts(batch.column(2)):
-            keys, first = token_keys(texts)
-            codes, begin = byte_codes(texts)
-            learn = learns[start:stop]
-            taken = codes[np.repeat(learn, np.diff(begin))]
-            if len(taken):
-                yield rows(GRAMS, *(lambda u, c: (u.astype(np.int64), c))(
-                    *np.unique(taken, return_counts=True)))
-            at = 0
-            while at < stop - start:  # the run of rows of one chunk
-                chunk = chunks[start + at]
-                end = at + int(np.searchsorted(chunks[start + at:stop], chunk, "right"))
-                if current is not None and chunk != current:
-                    yield flush(current, parts)
-                    parts = []
-                current = chunk
-                weight = np.repeat(learn[at:end], np.diff(first[at:end + 1])).astype(np.int64)
-                unique, place = np.unique(keys[first[at]:first[end]], return_inverse=True)
-                parts.append((unique, np.bincount(place, weights=weight,
-                                                  minlength=len(unique)).astype(np.int64)))
-                parts.append((np.array([END_KEY]), np.array([learn[at:end].sum()])))
-                at = end
-    if parts:
-        yield flush(current, parts)
-
-
-def _scored(docs: pa.Table, answers: pa.Table, lengths: np.ndarray, total: int, kinds: int
-            ) -> pa.Table:
-    known = answers.column("key").to_numpy()
-    order = np.argsort(known)
-    known = np.append(known[order], np.iinfo(np.int64).max)
-    count = np.append(answers.column("c").to_numpy()[order], 0)
-    column = docs.column("text").combine_chunks()
-    if isinstance(column, pa.ChunkedArray):
-        column = column.chunk(0)
+        at = 0
+        while at < len(chunks):  # the run of rows of one chunk
+            end = at + int(np.searchsorted(chunks[at:], chunks[at], "right"))
+            if current is not None and chunks[at] != current:
+                yield from flush(current, found)
+                found = ([], [])
+            current = chunks[at]
+            for start, stop, texts in split_texts(batch.column(2).slice(at, end - at)):
+                learn = learns[at + start:at + stop]
+                keys, first = token_keys(texts)
+                _tally(found[0], keys, np.repeat(learn, np.diff(first)))
+                found[0].append((np.array([END_KEY]), np.array([learn.sum()])))
+                for keys, rows in trie_keys(texts):
+                    _tally(found[1], keys, learn[rows])
+            for parts in found:
+                if len(parts) > 64:
+                    parts[:] = [_merged(parts)]
+            at = end
+    if current is not None:
+        yield from flush(current, found)
+
+
+def _lengths(model):
+    """Rows (entry, key, value) of trie entries with their code lengths. Batches (key, n) come
+    sorted by key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shallow = Shallow(*model.value)
+
+        def rows(keys, n):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.ones(len(keys), bool)), pa.array(keys),
+                 pa.array(code_lengths(keys, n, shallow))], ["entry", "key", "value"])
+
+        keys, counts, held = [], [], 0
+        for batch in batches:
+            keys.append(batch.column(0).to_numpy())
+            counts.append(batch.column(1).to_numpy())
+            held += batch.num_rows
+            if held >= ENTRIES:
+                k, n = np.concatenate(keys), np.concatenate(counts)
+                whole = int(np.searchsorted(k, k[-1] >> 24 << 24))  # the last context may go on
+                if whole:
+                    yield rows(k[:whole], n[:whole])
+                keys, counts, held = [k[whole:]], [n[whole:]], 0
+        if keys and sum(map(len, keys)):
+            yield rows(np.concatenate(keys), np.concatenate(counts))
+
+    return run
+
+
+def _scored(docs: pa.Table, answers: pa.Table, total: int, kinds: int) -> pa.Table:
+    entry = answers.column("entry").to_numpy()
+    known, values = answers.column("key").to_numpy(), answers.column("value").to_numpy()
+
+    def table(of):
+        order = np.argsort(known[of])
+        return known[of][order], values[of][order]
+
+    words, counts = table(~entry)
+    words, counts = np.append(words, np.iinfo(np.int64).max), np.append(counts, 0.0)
+    entries, lengths = table(entry)
     out: list[list[np.ndarray]] = [[], [], [], []]
     floor = np.log10(total + kinds + 1)
-    for start, stop, texts in split_texts(column):
-        n = stop - start
-        keys, first = token_keys(texts)
-        keys = np.insert(keys, first[1:], END_KEY)
-        first = first + np.arange(n + 1)
-        rows = np.repeat(np.arange(n), np.diff(first))
-        at = np.searchsorted(known, keys)
-        c = np.where(known[at] == keys, count[at], 0)
-        codes, begin = byte_codes(texts)
-        sizes = np.diff(first)
-        out[0].append(sizes)
-        out[1].append(np.bincount(rows, weights=c > 0, minlength=n).astype(np.int64))
-        out[2].append(np.bincount(rows, weights=np.log10(c + 1.0), minlength=n) - sizes * floor)
-        out[3].append(np.add.reduceat(lengths[codes].astype(np.float64), begin[:-1]))
+    for column in docs.column("text").chunks:
+        for start, stop, texts in split_texts(column):
+            n = stop - start
+            keys, first = token_keys(texts)
+            keys = np.insert(keys, first[1:], END_KEY)
+            sizes = np.diff(first) + 1
+            rows = np.repeat(np.arange(n), sizes)
+            at = np.searchsorted(words, keys)
+            c = np.where(words[at] == keys, counts[at], 0.0)
+            score = np.zeros(n)
+            for keys, of in trie_keys(texts):
+                score += np.bincount(of, lengths[np.searchsorted(entries, keys)], n)
+            out[0].append(sizes)
+            out[1].append(np.bincount(rows, weights=c > 0, minlength=n).astype(np.int64))
+            out[2].append(np.bincount(rows, weights=np.log10(c + 1.0), minlength=n)
+                          - sizes * floor)
+            out[3].append(score)
     made = [pa.array(np.concatenate(o)) for o in out]
     return pa.Table.from_arrays(
         [docs.column("id"), docs.column("held_out"), made[0], made[1],
@@ -189,32 +264,38 @@ def _scored(docs: pa.Table, answers: pa.Table, lengths: np.ndarray, total: int,
 
 
 def score_texts(docs: DataFrame, held_out, id_col: str = "doc_id", text: str = "text",
-                chunk_docs: int = CHUNK_DOCS) -> DataFrame:
+                chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Learn from the rows that ``held_out`` spares and score all rows: doc_id, held_out,
     n_tokens, n_known, train_tokens, base_score and score."""
-    spark = docs.sparkSession
-    n_chunks = max(1, -(-docs.count() // chunk_docs))
     rows = docs.select(F.col(id_col).alias("id"), held_out.alias("held_out"),
                        F.coalesce(F.col(text), F.lit("")).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text") + F.lit(64)).alias("n")).first().n or 0
+    n_chunks = max(1, -(-size // chunk_bytes))
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("id", "text"), F.lit(n_chunks)).cast("int"))
 
     dealt = rows.select("chunk", (~F.col("held_out")).alias("learn"), "text")
     asked = cut_lineage(
         dealt.repartition("chunk").sortWithinPartitions("chunk")
-        .mapInArrow(_count, "chunk int, key long, n long"))
-    codes = (asked.where(F.col("chunk") == GRAMS).groupBy("key").agg(F.sum("n").alias("n"))
-             .toArrow())  # at most 256**3 rows
-    model = (uuid.uuid4().hex, codes.column("key").to_numpy().astype(np.int64),
-             codes.column("n").to_numpy().astype(np.float32))
-    tokens = asked.where(F.col("chunk") != GRAMS)
-    counts = cut_lineage(tokens.groupBy("key").agg(F.sum("n").alias("c")).where("c > 0"))
-    total, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("c")).first()
-    answers = tokens.select("chunk", "key").join(counts, "key").select("chunk", "key", "c")
-
-    shared = spark.sparkContext.broadcast(model)
+        .mapInArrow(_count, "chunk int, entry boolean, key long, n long"))
+    counts = cut_lineage(asked.groupBy("entry", "key").agg(F.sum("n").alias("n")))
+    words = counts.where(~F.col("entry") & (F.col("n") > 0))
+    total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("n")).first()
+    entries = counts.where("entry")
+    short = F.shiftleft(F.shiftright("key", 32), 8).bitwiseOR(F.col("key").bitwiseAND(F.lit(255)))
+    model = (entries.where("n > 0").groupBy(short.alias("key")).agg(F.sum("n").alias("n"))
+             .sort("key").toArrow())  # at most 256**3 rows
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (model.column("key").to_numpy(), model.column("n").to_numpy()))
+    values = (
+        entries.select("key", "n").repartition(F.shiftright("key", 24))
+        .sortWithinPartitions("key")
+        .mapInArrow(_lengths(shared), "entry boolean, key long, value double")
+        .unionAll(words.select("entry", "key", F.col("n").cast("double").alias("value"))))
+    answers = asked.select("chunk", "entry", "key").join(values, ["entry", "key"]).select(
+        "chunk", "entry", "key", "value")
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _scored(left, right, _kept_lengths(*shared.value), total, kinds)
+        return _scored(left, right, total, kinds)
 
     return (rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         score, f"doc_id {rows.schema['id'].dataType.simpleString()}, held_out boolean, "
