@@ -94,34 +94,51 @@ class Log:
         """A file of the messages that is not published yet. Messages without an id get
         one from the name of the file and their place in it, with ``id_label`` also as that
         attribute."""
-        out = path = None
-        name, rows = f"{uuid.uuid4().hex}.parquet", 0
+        out = MessageFile(self, writer, id_label)
         try:
             for batch in batches:
-                if not batch.num_rows:
-                    continue
-                if out is None:
-                    self.files.create_dir(self.path("shards", writer))
-                    path = self.path("shards", writer, name)
-                    out = pq.ParquetWriter(path, ARROW_SCHEMA, filesystem=self.files)
-                table = pa.Table.from_batches([batch]).select(ARROW_SCHEMA.names).cast(ARROW_SCHEMA)
-                if table["message_id"].null_count:
-                    table = with_ids(table, f"{name[:32]}-", rows, id_label)
-                out.write_table(table, row_group_size=GROUP_ROWS)
-                rows += len(table)
+                out.add(pa.Table.from_batches([batch]))
         finally:
-            if out is not None:
-                out.close()
-        if out is None:
-            return None
-        groups = pq.ParquetFile(path, filesystem=self.files).num_row_groups
-        return [name, rows, groups]
+            done = out.close()
+        return done
 
     def remove(self, writer: str, names: list[str]) -> None:
         for name in names:
             self.files.delete_file(self.path("shards", writer, name))
 
 
+class MessageFile:
+    """A file of messages of a shard, made with the first message."""
+
+    def __init__(self, log: Log, writer: str, id_label: str | None = None):
+        self.log, self.writer, self.id_label = log, writer, id_label
+        self.name, self.rows, self.out = f"{uuid.uuid4().hex}.parquet", 0, None
+
+    @property
+    def path(self) -> str:
+        return self.log.path("shards", self.writer, self.name)
+
+    def add(self, messages: pa.Table) -> None:
+        if not messages.num_rows:
+            return
+        if self.out is None:
+            self.log.files.create_dir(self.log.path("shards", self.writer))
+            self.out = pq.ParquetWriter(self.path, ARROW_SCHEMA, filesystem=self.log.files)
+        table = messages.select(ARROW_SCHEMA.names).cast(ARROW_SCHEMA)
+        if table["message_id"].null_count:
+            table = with_ids(table, f"{self.name[:32]}-", self.rows, self.id_label)
+        self.out.write_table(table, row_group_size=GROUP_ROWS)
+        self.rows += len(table)
+
+    def close(self) -> list | None:
+        """Name, rows and row groups; nothing without messages."""
+        if self.out is None:
+            return None
+        self.out.close()
+        groups = pq.ParquetFile(self.path, filesystem=self.log.files).num_row_groups
+        return [self.name, self.rows, groups]
+
+
 def with_ids(table: pa.Table, prefix: str, first: int, id_label: str | None) -> pa.Table:
     """Messages without an id get ``prefix`` and their number."""
     ids = pa.array([f"{prefix}{i}" for i in range(first, first + len(table))])

@@ -189,6 +189,42 @@ def test_tfrecord_damage_is_noticed(spark, scratch):
         sources.read_tfrecord(spark, path).count()
 
 
+@pytest.mark.parametrize("split", [1, 13, 100, 5000, 1 << 20])
+def test_tfrecord_splits(tmp_path, split):
+    data = [b"", b"", b"x" * 700, bytes(900), b"", bytes(range(256)) * 40, b"yz", b"end"] * 3
+    path = tmp_path / "one.tfrecord"
+    path.write_bytes(records.frame(data))
+    size = path.stat().st_size
+    got = []
+    with open(path, "rb") as stream:
+        for start in range(0, size, split):
+            for values in records.unframe_split(stream, "one", start, min(start + split, size), size):
+                got += values
+    assert got == data
+
+
+def test_tfrecord_splits_on_spark(spark, scratch):
+    path = scratch()
+    data = [str(i).encode() * (i % 90) for i in range(3000)]
+    sinks.write_tfrecord(sources.create(spark, data, "value binary"), path, num_shards=1)
+    whole = sources.read_tfrecord(spark, path, split_bytes=0)
+    cut = sources.read_tfrecord(spark, path, split_bytes=10_000)
+    assert whole.rdd.getNumPartitions() == 1 and cut.rdd.getNumPartitions() > 20
+    assert sorted(bytes(r[0]) for r in cut.collect()) == sorted(data)
+
+
+def test_tfrecord_frames_within_a_record_are_noticed(tmp_path):
+    inner = records.frame([b"inner" * 20] * 200)
+    path = tmp_path / "one.tfrecord"
+    path.write_bytes(records.frame([b"a", inner, b"b" * 50]))
+    size = path.stat().st_size
+    with open(path, "rb") as stream:
+        parts = [list(records.unframe_split(stream, "one", 0, size, size))]
+        assert sum(parts[0], []) == [b"a", inner, b"b" * 50]
+        with pytest.raises(ValueError, match="holds frames itself"):
+            list(records.unframe_split(stream, "one", 0, 5000, size))
+
+
 def test_jdbc_options():
     plain = jdbc_options("jdbc:x:y", "t", properties={"user": "u"})
     assert plain == {"url": "jdbc:x:y", "dbtable": "t", "fetchsize": "10000", "user": "u"}
