@@ -19,7 +19,7 @@ from .. import operators as op
 from ..functions.text import from_bytes, to_bytes
 from ..operators.windows import windowed
 from ..session import cut_lineage, scratch_path, settings
-from ..sinks import publish, write_messages
+from ..sinks import publish, write_messages, write_tagged_messages
 from ..sources.topics import drop_repeats, read_messages, to_messages
 from ..streaming import (
     count_trigger, run_available, run_to_end, sentinel_message, stream_to_table,
@@ -284,6 +284,31 @@ def stream_write_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.every(stamp == F.unix_millis("publish_time").cast("string")).alias("stamped"))
 
 
+@stream_query(f"""
+SELECT CASE WHEN event_type = 'error' THEN 'errors' WHEN {CENTS} >= 5000 THEN 'large' ELSE 'small'
+       END AS tag, CAST(event_id AS BIGINT) AS event_id, count(*) AS n
+FROM events GROUP BY ALL
+""")
+def stream_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One pass over a stream into three topics; each is read on its own."""
+    source = new_topic(spark, "untagged", "log")
+    target = new_topic(spark, "tagged", "log")
+    publish(event_messages(event_records(spark, sf_dir)), source.uri)
+    row = F.from_json(from_bytes("data"), EVENT_JSON)
+    rules = [("errors", F.col("row.event_type") == "error"), ("large", F.col("row.cents") >= 5000)]
+    tagged = source.read().select(row.alias("row"), "data").transform(
+        op.tag_rows(rules, otherwise="small"))
+    tags = ["errors", "large", "small"]
+    run_to_end(write_tagged_messages(
+        tagged, target.place, target.checkpoint, tags, available_now=False))
+    outputs = [
+        read_messages(spark, topic=f"log:{target.place}/{t}", with_attributes=True,
+                      streaming=False).select(F.lit(t).alias("tag"), "data") for t in tags]
+    events = F.from_json(from_bytes("data"), EVENT_JSON)["event_id"]
+    return op.flatten(*outputs).groupBy("tag", events.alias("event_id")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 # ---- store sales from text to text -----------------------------------------
 
 SALES_SQL = f"""

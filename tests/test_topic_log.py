@@ -165,3 +165,73 @@ def test_options_together(spark, place, scratch):
     got = {r["message_id"]: r for r in spark.read.parquet(result).collect()}
     assert len(got) == 3 and {"c", "d"} < set(got)
     assert got["c"]["element_time"].timestamp() == 3
+
+
+# ---- several topics of one stream ---------------------------------------------
+
+
+def tagged_batch(tags, name):
+    n = len(tags)
+    return pa.record_batch(
+        [pa.array(tags), pa.array([f"{name}{i}".encode() for i in range(n)]),
+         pa.array([[]] * n, ARROW_SCHEMA[1].type), pa.array([None] * n, pa.string()),
+         pa.array([0] * n, pa.timestamp("us", "UTC"))], ["tag", *ARROW_SCHEMA.names])
+
+
+def data_of(place, tag):
+    log = Log(f"{place}/{tag}")
+    parts = [s for w in log.writers() for e in log.epochs(w) for s in slices(w, log.committed(w, e))]
+    return sorted(v.as_py().decode() for s in parts for b in read_slice(log.place, s)
+                  for v in b.column("data"))
+
+
+def test_a_transaction_over_topics_is_finished_by_a_repeat(tmp_path):
+    from millstream.sinks.tagged_topics import TRANSACTIONS, TaggedWriter
+
+    place = str(tmp_path)
+    sink = TaggedWriter(place, "w", ["a", "b"], None)
+    first = [sink.write(iter([tagged_batch(["a", "b", "a"], "x")])), sink.write(iter([]))]
+    # the run fails when its list is in place and one topic has published
+    files = first[0].files
+    assert Log(f"{place}/{TRANSACTIONS}").commit("w", 0, files)
+    Log(f"{place}/a").commit("w", 0, [f[1:] for f in files if f[0] == "a"])
+    sink.abort(first, 0)  # must not take the files of the transaction away
+    assert data_of(place, "a") == ["x0", "x2"] and data_of(place, "b") == []
+
+    again = [sink.write(iter([tagged_batch(["a", "b", "a"], "y")]))]
+    sink.commit(again, 0)
+    assert data_of(place, "a") == ["x0", "x2"] and data_of(place, "b") == ["x1"]
+    sink.commit([sink.write(iter([tagged_batch(["b"], "z")]))], 1)
+    assert data_of(place, "a") == ["x0", "x2"] and data_of(place, "b") == ["x1", "z0"]
+    assert len(Log(f"{place}/a").names("shards", "w")) == 1  # nothing of the repeat is left
+    lost = sink.write(iter([tagged_batch(["a"], "q")]))
+    sink.abort([lost, None], 2)
+    assert len(Log(f"{place}/a").names("shards", "w")) == 1
+    with pytest.raises(ValueError, match="no topic"):
+        sink.write(iter([tagged_batch(["c"], "q")]))
+    with pytest.raises(ValueError, match="no topic"):
+        sink.write(iter([tagged_batch([None], "q")]))
+
+
+def test_a_stream_into_several_topics(spark, place, scratch):
+    from millstream.sinks import write_tagged_messages
+
+    outputs, checkpoint = scratch("tagged"), scratch("c")
+
+    def run():
+        rows = read_messages(spark, topic=f"log:{place}", with_attributes=True).withColumn(
+            "tag", F.when(F.col("message_id").cast("int") % 3 == 0, "third").otherwise("rest"))
+        run_to_end(write_tagged_messages(
+            rows, outputs, checkpoint, ["third", "rest", "never"], id_label="uid",
+            message_id=F.col("message_id"), available_now=False))
+
+    for first in (0, 50):
+        publish(numbered(spark, first, 50), f"log:{place}", "a")
+        run()
+    third, rest = (all_of(spark, f"{outputs}/{t}") for t in ("third", "rest"))
+    assert payloads(third) == list(range(0, 100, 3))
+    assert payloads(rest) == [i for i in range(100) if i % 3]
+    assert third.where("attributes['uid'] = message_id AND size(attributes) = 1").count() == 34
+    assert all_of(spark, f"{outputs}/never").count() == 0
+    with pytest.raises(ValueError, match="not a name of a topic"):
+        write_tagged_messages(rest, outputs, checkpoint, ["_x"])
