@@ -41,6 +41,7 @@ ORDER = 5
 PAD, END = 0xFE, 0xFF
 END_KEY = np.int64(0)  # the key of the end token; words have mixed 64-bit hashes
 SLICE = 1 << 21  # symbols looked at together, also within one long text
+MERGED = 1 << 20  # counts of a chunk that wait until they are added up, or as many as it has
 ENTRIES = 1 << 18  # entries whose lengths are computed together, in whole contexts
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -157,6 +158,8 @@ def _tally(parts: list, keys: np.ndarray, learns: np.ndarray) -> None:
     parts.append(np.unique(keys[learns], return_counts=True))
     asked = np.unique(keys[~learns])
     parts.append((asked, np.zeros(len(asked), np.int64)))
+    if sum(len(k) for k, _ in parts[1:]) > max(MERGED, len(parts[0][0])):
+        parts[:] = [_merged(parts)]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,9 +192,6 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 found[0].append((np.array([END_KEY]), np.array([learn.sum()])))
                 for keys, rows in trie_keys(texts):
                     _tally(found[1], keys, learn[rows])
-            for parts in found:
-                if len(parts) > 64:
-                    parts[:] = [_merged(parts)]
             at = end
     if current is not None:
         yield from flush(current, found)

@@ -88,6 +88,14 @@ def test_slices_and_batches_of_entries_change_nothing(monkeypatch):
     whole = [np.concatenate(a) for a in zip(*m.trie_keys(texts))]
     assert len(whole[0]) == sum(len(r) + 1 for r in raw)
     monkeypatch.setattr(m, "SLICE", 7)
+    monkeypatch.setattr(m, "MERGED", 3)
+    parts = []
+    for keys, rows in m.trie_keys(texts):
+        m._tally(parts, keys, rows == 1)
+    assert len(parts) < 20
+    keys, counts = m._merged(parts)
+    assert np.array_equal(keys, np.unique(whole[0]))
+    assert counts.sum() == len(raw[1]) + 1
     sliced = [np.concatenate(a) for a in zip(*m.trie_keys(texts))]
     assert all(np.array_equal(a, b) for a, b in zip(whole, sliced))
 
