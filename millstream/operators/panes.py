@@ -7,14 +7,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DatetimeType, NumericType, TimestampNTZType
 
-from .hot_keys import hot_keys, with_hot_rows
+from ..session import cut_lineage
+from .hot_keys import KEY_HASH, hot_keys, key_hash, with_hot_rows
+from .side_inputs import bounded_broadcast
 
-# Keys with more rows than this are counted in slices of the arrival order, so wide:
+# Keys with more rows than this are counted in slices of the arrival order of about so many.
 HOT_ROWS = 1_000_000
-SLICE_NUMBERS = 1_000_000
-SLICE_TIME = "1 minute"
+# The most slices of a key, and how many bounds are looked at together.
+SLICES = 1024
+BOUNDS = 32
 
 
 def count_panes(
@@ -49,17 +52,28 @@ def pane_sums(
 
     The pane of a row follows from its rank under its key. A key with more than
     about ``hot_rows`` rows is ranked by several tasks, one per slice of the arrival
-    order; where a slice starts follows from a small table of row counts. The start
+    order. Slices are bounded by quantiles of the key's own arrival order, so a burst is
+    split as evenly as anything else; ``slice_column`` gives other slices. Where a slice
+    starts follows from a small table of row counts. The start
     reaches the rows as one marker row that sorts before them, so there is no join,
     and without hot keys and state there is one shuffle only.
     """
     keys = list(keys)
     rows = df.select(*keys, *order, F.col(value).alias("_value"))
-    part = F.struct((_slice(df, order[0]) if slice_column is None else slice_column).alias("at"))
+    kind = df.schema[order[0]].dataType
+    if slice_column is None and not isinstance(
+            kind, (NumericType, DatetimeType, TimestampNTZType)):
+        raise TypeError(f"give slice_column: no slices are known for {kind.simpleString()}")
+    part = F.struct((F.lit(0) if slice_column is None else slice_column).alias("at"))
     no_slice = F.lit(None).cast(df.select(part.alias("s")).schema["s"].dataType)
     hot = hot_keys(df, keys, hot_rows)
     if hot is None:
         placed = rows.withColumn("_slice", no_slice)
+    elif slice_column is None:
+        known = bounded_broadcast(slice_bounds(df, hot, keys, order[0], hot_rows))
+        at = F.struct(slice_of(F.col(order[0]), F.col("_bounds")).alias("at"))
+        placed = with_hot_rows(rows, known, keys).select(
+            *rows.columns, F.when(F.col("_rows").isNotNull(), at).alias("_slice"))
     else:
         sliced = df.select(*keys, *order, F.col(value).alias("_value"), part.alias("_at"))
         placed = with_hot_rows(sliced, hot, keys).select(
@@ -118,12 +132,29 @@ def pane_state(sums: DataFrame, keys: Sequence[str], size: int, name: str = "tot
     )
 
 
-def _slice(df: DataFrame, column: str) -> Column:
-    kind = df.schema[column].dataType
-    if isinstance(kind, IntegralType):
-        return F.call_function("div", F.col(column), F.lit(SLICE_NUMBERS))
-    if isinstance(kind, (TimestampType, TimestampNTZType)):
-        # the window function leaves out rows without a time, so they get one
-        filled = F.coalesce(F.col(column), F.lit("0001-01-01 00:00:00").cast(kind))
-        return F.window(filled, SLICE_TIME)["start"]
-    raise TypeError(f"give slice_column: no slices are known for {kind.simpleString()}")
+def slice_bounds(df: DataFrame, hot: DataFrame, keys: Sequence[str], column: str,
+                 hot_rows: int) -> DataFrame:
+    """``hot`` with ``_bounds``: quantiles of ``column`` under the key that cut its rows into
+    slices of about ``hot_rows``, at most ``SLICES``. They come from mergeable sketches, one
+    per key and task, so no task sees all rows of a key. They are fixed once computed,
+    because a sketch that is merged in another order may give other bounds."""
+    rows = with_hot_rows(df.select(*keys, column), hot, keys).where(F.col("_rows").isNotNull())
+    shares = F.array(*[F.lit(i / SLICES) for i in range(1, SLICES)])
+    sketched = rows.groupBy(key_hash(keys).alias(KEY_HASH), "_rows").agg(
+        F.percentile_approx(column, shares, F.lit(8 * SLICES)).alias("_all"))
+    step = F.greatest(F.lit(1), F.floor(
+        F.lit(SLICES) / F.ceil(F.col("_rows") / F.lit(hot_rows)))).cast("int")
+    return cut_lineage(sketched.withColumn("_step", step).select(
+        KEY_HASH, "_rows",
+        F.coalesce(F.filter("_all", lambda _, i: (i + 1) % F.col("_step") == 0),
+                   F.array().cast(sketched.schema["_all"].dataType)).alias("_bounds")))
+
+
+def slice_of(value: Column, bounds: Column) -> Column:
+    """How many of the sorted bounds a value has reached; looked up in two steps."""
+    def reached(some: Column) -> Column:
+        return F.size(F.filter(some, lambda b: b <= value))
+
+    blocks = reached(F.filter(bounds, lambda _, i: i % BOUNDS == 0))
+    last = F.greatest(blocks - 1, F.lit(0)) * BOUNDS
+    return F.when(blocks > 0, last + reached(F.slice(bounds, last + 1, F.lit(BOUNDS)))).otherwise(0)

@@ -472,3 +472,42 @@ def test_panes_keep_rows_without_key_or_time(spark):
         assert rows(got) == [(None, 0, 3)]
     with pytest.raises(TypeError):
         op.count_panes(df, ["v"], ["k"], "v", 2)
+
+
+@pytest.mark.parametrize("hot_rows", [1, 40, 700])
+def test_slices_of_a_burst_are_even(spark, hot_rows):
+    """Most rows of a key fall within a minute; some have no time, many the same one."""
+    from millstream.operators.hot_keys import hot_keys
+    from millstream.operators.panes import SLICES, slice_bounds, slice_of, with_hot_rows
+
+    burst = F.when(F.col("id") % 10 == 0, F.col("id") * 1_000_000).otherwise(
+        F.lit(5_000_000_000) + F.col("id"))
+    df = spark.range(4000).select(
+        F.lit("hot").alias("k"),
+        F.when(F.col("id") > 3, F.timestamp_micros(burst)).alias("ts"), F.col("id").alias("v"))
+    df = df.unionAll(df.where("v < 50").withColumn("k", F.lit(None).cast("string")))
+    got = sorted((r.k is None, r.pane, r.total) for r in op.count_panes(
+        df, ["k"], ["ts", "v"], "v", 5, hot_rows=hot_rows).collect())
+    want = []
+    for k in ("hot", None):
+        ordered = [r.v for r in df.where(F.col("k").eqNullSafe(F.lit(k))).collect()]
+        at = lambda i: (i > 3, i * 1_000_000 if i % 10 == 0 else 5_000_000_000 + i, i)
+        ordered.sort(key=at)
+        want += [(k is None, p, sum(ordered[5 * p:5 * p + 5])) for p in range(len(ordered) // 5)]
+    assert got == sorted(want)
+
+    hot = slice_bounds(df, hot_keys(df, ["k"], hot_rows), ["k"], "ts", hot_rows)
+    sizes = [r["count"] for r in with_hot_rows(df, hot, ["k"]).where("k = 'hot'").groupBy(
+        slice_of(F.col("ts"), F.col("_bounds")).alias("s")).count().collect()]
+    n = min(SLICES, -(-4000 // hot_rows))
+    assert len(sizes) >= 0.6 * n and max(sizes) <= 3 * 4000 / n + 8
+
+
+def test_slices_of_equal_and_missing_values(spark):
+    df = spark.range(100).select(F.lit(1).alias("k"), F.lit(None).cast("long").alias("o"), "id")
+    for column in (df["o"], F.lit(7).cast("long")):
+        same = df.withColumn("o", column)
+        got = op.count_panes(same, ["k"], ["o", "id"], "id", 10, hot_rows=5)
+        assert sorted(r.total for r in got.collect()) == [45 + 100 * i for i in range(10)]
+    with pytest.raises(TypeError, match="give slice_column"):
+        op.count_panes(df.withColumn("o", F.lit("x")), ["k"], ["o"], "id", 10, hot_rows=5)
