@@ -40,8 +40,9 @@ CHUNK_BYTES = 32 << 20
 ORDER = 5
 PAD, END = 0xFE, 0xFF
 END_KEY = np.int64(0)  # the key of the end token; words have mixed 64-bit hashes
-SLICE = 1 << 21  # symbols looked at together, also within one long text
-MERGED = 1 << 20  # counts of a chunk that wait until they are added up, or as many as it has
+PIECE_DOCS = 256  # texts that are copied out of a batch together
+SLICE = 1 << 19  # symbols looked at together, also within one long text
+MERGED = 1 << 19  # counts of a chunk that wait until they are added up, or as many as it has
 ENTRIES = 1 << 18  # entries whose lengths are computed together, in whole contexts
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -139,6 +140,12 @@ def code_lengths(keys: np.ndarray, n: np.ndarray, shallow: Shallow) -> np.ndarra
     return np.log10(_step(count, total[group], kinds[group], p))
 
 
+def _pieces(column: pa.Array) -> Iterator[tuple[int, int, Texts]]:
+    for at in range(0, len(column), PIECE_DOCS):
+        for start, stop, texts in split_texts(column.slice(at, PIECE_DOCS)):
+            yield at + start, at + stop, texts
+
+
 def token_keys(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     """Keys of all tokens, and where each row begins; the end token is left out."""
     words = words_of(texts, TOKEN)
@@ -185,7 +192,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from flush(current, found)
                 found = ([], [])
             current = chunks[at]
-            for start, stop, texts in split_texts(batch.column(2).slice(at, end - at)):
+            for start, stop, texts in _pieces(batch.column(2).slice(at, end - at)):
                 learn = learns[at + start:at + stop]
                 keys, first = token_keys(texts)
                 _tally(found[0], keys, np.repeat(learn, np.diff(first)))
@@ -240,7 +247,7 @@ def _scored(docs: pa.Table, answers: pa.Table, total: int, kinds: int) -> pa.Tab
     out: list[list[np.ndarray]] = [[], [], [], []]
     floor = np.log10(total + kinds + 1)
     for column in docs.column("text").chunks:
-        for start, stop, texts in split_texts(column):
+        for start, stop, texts in _pieces(column):
             n = stop - start
             keys, first = token_keys(texts)
             keys = np.insert(keys, first[1:], END_KEY)
