@@ -6,8 +6,10 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import operators as op
 from ..functions.numbers import to_cents, to_int
@@ -179,6 +181,17 @@ def side_input_exclude(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attendance.attendance_with_exclusions(records, exclusions, "F")
 
 
+@query("""
+SELECT o_orderkey, o_custkey FROM orders WHERE NOT EXISTS (
+  SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_mktsegment = 'BUILDING')
+""")
+def exclude_long_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = table(spark, sf_dir, "customer").where("c_mktsegment = 'BUILDING'").select(
+        F.col("c_custkey").alias("o_custkey"))
+    return op.exclude_long(
+        table(spark, sf_dir, "orders", "o_orderkey", "o_custkey"), listed, ["o_custkey"])
+
+
 @query("""
 SELECT p_name AS name, CASE WHEN starts_with(p_name, 'red') THEN 'red'
   WHEN length(p_name) <= 9 THEN 'Short_Names' ELSE 'Long_Names' END AS tag
@@ -311,6 +324,68 @@ def pardo_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.flatten(*outputs)
 
 
+class KindsTable(op.TableFn):
+    """The tagged outputs once more, from a function over batches."""
+
+    @classmethod
+    def analyze(cls, schema, cutoff: int, marker: str):
+        return StructType([*schema.fields, StructField("tag", StringType())])
+
+    def process(self, batch, cutoff: int, marker: str):
+        name = batch.column("name")
+        tag = pc.if_else(pc.less_equal(pc.utf8_length(name), cutoff), "Short_Names", "Long_Names")
+        tag = pc.if_else(pc.starts_with(name, marker), marker, tag)
+        yield batch.append_column("tag", tag)
+
+
+@query("""
+SELECT p_name AS name, CASE WHEN starts_with(p_name, 'red') THEN 'red'
+                            WHEN length(p_name) <= 9 THEN 'Short_Names' ELSE 'Long_Names' END AS tag
+FROM part
+""")
+def table_function_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = table(spark, sf_dir, "part").select(F.col("p_name").alias("name"))
+    return op.apply_table(names, KindsTable, 9, "red")
+
+
+class RunningTotals(op.TableFn):
+    """Sums so far in order, batch by batch, with a last row for the whole partition."""
+
+    def __init__(self):
+        self.total, self.key = 0, None
+
+    @classmethod
+    def analyze(cls, schema):
+        return "cust bigint, order_key bigint, running bigint"
+
+    def process(self, batch):
+        sums = pc.add(pc.cumulative_sum(batch.column("cents")), self.total)
+        if len(sums):
+            self.total, self.key = sums[-1].as_py(), batch.column("cust")[0].as_py()
+            yield pa.table({"cust": batch.column("cust"), "order_key": batch.column("order_key"),
+                            "running": sums})
+
+    def finish(self):
+        if self.key is not None:
+            yield pa.table({"cust": [self.key], "order_key": [-1], "running": [self.total]})
+
+
+@query("""
+WITH o AS (SELECT o_custkey AS cust, o_orderkey AS order_key, o_orderdate AS day,
+                  CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders)
+SELECT CAST(cust AS BIGINT) AS cust, CAST(order_key AS BIGINT) AS order_key, CAST(
+         sum(cents) OVER (PARTITION BY cust ORDER BY day, order_key) AS BIGINT) AS running FROM o
+UNION ALL SELECT CAST(cust AS BIGINT), -1, CAST(sum(cents) AS BIGINT) FROM o GROUP BY cust
+""")
+def table_function_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("long").alias("cust"),
+        F.col("o_orderkey").cast("long").alias("order_key"),
+        F.col("o_orderdate").alias("day"), to_cents("o_totalprice").alias("cents"))
+    return op.apply_table(
+        orders, RunningTotals, partition_by=["cust"], order_by=["day", "order_key"])
+
+
 @query(f"""
 SELECT CAST(cents AS VARCHAR) AS value
 FROM (SELECT {CENTS.format('o_totalprice')} AS cents FROM orders) WHERE cents % 2 = 0

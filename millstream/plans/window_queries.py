@@ -86,6 +86,13 @@ def count_trigger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.count_panes(event_records(spark, sf_dir), ["user_id"], ["event_id"], "cents", 5)
 
 
+@query(PANES_SQL)
+def count_trigger_in_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every key with more than 20 events is ranked per slice of its own arrival order."""
+    return op.count_panes(
+        event_records(spark, sf_dir), ["user_id"], ["event_id"], "cents", 5, hot_rows=20)
+
+
 DEDUP_SQL = f"""
 SELECT message_id, event_id, cents FROM (
   SELECT user_id || '-' || event_type AS message_id, event_id, {CENTS} AS cents,
