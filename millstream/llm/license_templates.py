@@ -30,7 +30,9 @@ BASE = {
     "apache license version 2": "apache-2",
     "cc by nc": "cc-by-nc",
 }
-# The templates with their labels, in words as the scan splits them.
+# The wording of public licenses, in words as the scan splits them. First notices
+# that name a license, then the texts of licenses themselves, whole, with what publishers
+# leave out or put in as regions.
 TEMPLATES = {
     "mit": [
         "released under [the terms of] the mit license",
@@ -58,6 +60,99 @@ TEMPLATES = {
     "mpl-2": ["subject to the terms of the mozilla public license [v] [version] 2 0"],
     "rights-reserved": ["copyright [c] {8} all rights reserved"],
 }
+_WARRANTY = (
+    "the software is provided as is without warranty of any kind express or implied including "
+    "but not limited to the warranties of merchantability fitness for a particular purpose "
+    "[title] and noninfringement ")
+_MIT = (
+    "permission is hereby granted free of charge to any person obtaining a copy of this software "
+    "and associated documentation files the software to deal in the software without restriction "
+    "including without limitation the rights to use copy modify merge publish distribute "
+    "sublicense and or sell copies of the software and to permit persons to whom the software is "
+    "furnished to do so ")
+_BSD_TWO = (
+    "redistribution and use in source and binary forms with or without modification are "
+    "permitted provided that the following conditions are met [1] [a] redistributions of source "
+    "code must retain the above copyright notice this list of conditions and the following "
+    "disclaimer [2] [b] redistributions in binary form must reproduce the above copyright notice "
+    "this list of conditions and the following disclaimer in the documentation and or other "
+    "materials provided with the distribution ")
+_BSD_END = (
+    "this software is provided by {12} as is and any express or implied warranties including but "
+    "not limited to the implied warranties of merchantability and fitness for a particular "
+    "purpose are disclaimed in no event shall {12} be liable for any direct indirect incidental "
+    "special exemplary or consequential damages including but not limited to procurement of "
+    "substitute goods or services loss of use data or profits or business interruption however "
+    "caused and on any theory of liability whether in contract strict liability or tort including "
+    "negligence or otherwise arising in any way out of the use of this software even if advised "
+    "of the possibility of such damage")
+TEMPLATES |= {
+    "mit-text": [
+        _MIT + "subject to the following conditions the above copyright notice and this "
+        "permission notice [including the next paragraph] shall be included in all copies or "
+        "substantial portions of the software " + _WARRANTY + "in no event shall the {6} be "
+        "liable for any claim damages or other liability whether in an action of contract tort "
+        "or otherwise arising from out of or in connection with the software or the use or other "
+        "dealings in the software"],
+    "mit-0-text": [_MIT + _WARRANTY],
+    "bsd-2-text": [_BSD_TWO + _BSD_END],
+    "bsd-3-text": [
+        _BSD_TWO + "[3] [c] neither the name {12} nor the names of [its] [{3}] contributors may "
+        "be used to endorse or promote products derived from this software without specific "
+        "prior written permission " + _BSD_END],
+    "isc-text": [
+        "permission to use copy modify and or distribute this software for any purpose with or "
+        "without fee is hereby granted [provided that the above copyright notice and this "
+        "permission notice appear in all copies] the software is provided as is and {8} "
+        "disclaims all warranties with regard to this software including all implied warranties "
+        "of merchantability and fitness in no event shall {8} be liable for any special direct "
+        "indirect or consequential damages or any damages whatsoever resulting from loss of use "
+        "data or profits whether in an action of contract negligence or other tortious action "
+        "arising out of or in connection with the use or performance of this software"],
+    "zlib-text": [
+        "this software is provided as is without any express or implied warranty in no event "
+        "will the authors be held liable for any damages arising from the use of this software "
+        "permission is granted to anyone to use this software for any purpose including "
+        "commercial applications and to alter it and redistribute it freely subject to the "
+        "following restrictions [1] the origin of this software must not be misrepresented you "
+        "must not claim that you wrote the original software if you use this software in a "
+        "product an acknowledgment in the product documentation would be appreciated but is not "
+        "required [2] altered source versions must be plainly marked as such and must not be "
+        "misrepresented as being the original software [3] this notice may not be removed or "
+        "altered from any source distribution"],
+    "unlicense-text": [
+        "this is free and unencumbered software released into the public domain anyone is free "
+        "to copy modify publish use compile sell or distribute this software either in source "
+        "code form or as a compiled binary for any purpose commercial or non commercial and by "
+        "any means"],
+    "boost-1-text": [
+        "permission is hereby granted free of charge to any person or organization obtaining a "
+        "copy of the software and accompanying documentation covered by this license the "
+        "software to use reproduce display distribute execute and transmit the software and to "
+        "prepare derivative works of the software and to permit third parties to whom the "
+        "software is furnished to do so all subject to the following"],
+    "apache-2-notice": [
+        "licensed under the apache license version 2 0 the license you may not use this {3} "
+        "except in compliance with the license you may obtain a copy of the license at [http] "
+        "[https] www apache org licenses license 2 0 unless required by applicable law or agreed "
+        "to in writing software distributed under the license is distributed on an as is basis "
+        "without warranties or conditions of any kind either express or implied see the license "
+        "for the specific language governing permissions and limitations under the license"],
+    "mpl-2-notice": [
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a "
+        "copy of the mpl was not distributed with this file you can obtain one at"],
+    **{f"{label}-notice": [
+        "you can redistribute it and or modify it under the terms of the gnu " + name + " as "
+        "published by the free software foundation either version " + version + " of the license "
+        "or at your option any later version [{8}] is distributed in the hope that it will be "
+        "useful but without any warranty without even the implied warranty of merchantability or "
+        "fitness for a particular purpose"]
+       for label, name, version in [
+           ("gpl-2", "general public license", "2"), ("gpl-3", "general public license", "3"),
+           ("lgpl-2-1", "lesser general public license", "2 1"),
+           ("lgpl-3", "lesser general public license", "3"),
+           ("agpl-3", "affero general public license", "3")]},
+}
 
 
 class Automaton:
