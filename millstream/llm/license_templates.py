@@ -31,8 +31,8 @@ BASE = {
     "cc by nc": "cc-by-nc",
 }
 # The wording of public licenses, in words as the scan splits them. First notices
-# that name a license, then the texts of licenses themselves, whole, with what publishers
-# leave out or put in as regions.
+# that name a license, then the texts of licenses themselves, whole or (Unlicense, Boost) their
+# opening paragraph, with what publishers leave out or put in as regions.
 TEMPLATES = {
     "mit": [
         "released under [the terms of] the mit license",
