@@ -213,6 +213,27 @@ def test_tfrecord_splits_on_spark(spark, scratch):
     assert sorted(bytes(r[0]) for r in cut.collect()) == sorted(data)
 
 
+def test_tfrecord_one_file_is_written_by_many_tasks(spark, scratch):
+    path = scratch()
+    data = [str(i).encode() * (i % 50) for i in range(4000)]
+    rows = sources.create(spark, data, "value binary").repartition(8)
+    sc = spark.sparkContext
+    sc.setJobGroup("one-file", "one file of frames")
+    try:
+        sinks.write_tfrecord(rows, path, num_shards=1)
+    finally:
+        sc.setJobGroup("other", "other")
+    tracker = sc.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("one-file")
+              for s in tracker.getJobInfo(j).stageIds]
+    assert min(s.numTasks for s in stages if s) > 1
+    whole = sources.read_tfrecord(spark, path, split_bytes=0)
+    assert whole.rdd.getNumPartitions() == 1
+    assert sorted(bytes(r[0]) for r in whole.collect()) == sorted(data)
+    cut = sources.read_tfrecord(spark, path, split_bytes=5_000)
+    assert sorted(bytes(r[0]) for r in cut.collect()) == sorted(data)
+
+
 def test_tfrecord_frames_within_a_record_are_noticed(tmp_path):
     inner = records.frame([b"inner" * 20] * 200)
     path = tmp_path / "one.tfrecord"
