@@ -1,9 +1,14 @@
 import datetime as dt
+import gc
 import gzip
 import os
+import sys
+import types
 
+import numpy as np
 import pytest
 from conftest import rows
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import functions as F
 
 from millstream import sinks, sources
@@ -165,6 +170,15 @@ def test_crc32c_known_values():
     assert records.crc32c_all(chunks).tolist() == [records.crc32c(c) for c in chunks]
 
 
+@pytest.mark.parametrize("most", [5, 90, 2000, 40_000, 700_000])
+def test_crc32c_of_many_lengths(most):
+    random = np.random.default_rng(most)
+    lengths = [most, 0, 1, 4, 16, 17, *random.integers(0, most, 12).tolist()]
+    chunks = [random.bytes(n) for n in lengths]
+    assert records.crc32c_all(chunks).tolist() == [records.crc32c(c) for c in chunks]
+    assert [records.crc32c_all([c])[0] for c in chunks] == records.crc32c_all(chunks).tolist()
+
+
 @pytest.mark.parametrize("compression", ["none", "gzip", "zlib"])
 def test_tfrecord_roundtrip(spark, scratch, compression):
     data = [b"", b"x", bytes(range(256)) * 700, "grüße".encode()]
@@ -203,6 +217,60 @@ def test_tfrecord_splits(tmp_path, split):
     assert got == data
 
 
+class Counted:
+    """A file that counts the bytes that are read of it."""
+
+    def __init__(self, file):
+        self.file, self.seek, self.n = file, file.seek, 0
+
+    def read(self, n):
+        data = self.file.read(n)
+        self.n += len(data)
+        return data
+
+
+@pytest.mark.parametrize("long", [0, 3_000_000])
+def test_tfrecord_small_splits_read_little(tmp_path, long):
+    """Neither small splits nor a record over many of them are scanned again and again."""
+    data = [bytes([i % 256]) * (i % 1400) for i in range(3000)]
+    data.insert(1500, bytes(range(251)) * (long // 251))
+    path = tmp_path / "one.tfrecord"
+    path.write_bytes(records.frame(data))
+    size, split, got = path.stat().st_size, 1 << 16, []
+    with open(path, "rb") as file:
+        stream = Counted(file)
+        for start in range(0, size, split):
+            end = min(start + split, size)
+            for values in records.unframe_split(stream, "one", start, end, size):
+                got += values
+    assert got == data
+    assert stream.n < 3 * size
+
+
+def test_tfrecord_splits_are_sent_short(tmp_path):
+    path = tmp_path / "one.tfrecord"
+    path.write_bytes(records.frame([b"x" * 100] * 100))
+    reader = records._RecordReader({"path": str(path), "splitbytes": "1000"})
+    parts = reader.partitions()
+    assert len(parts) == 12
+    assert max(len(cloudpickle.dumps(p)) for p in parts) < 1000
+
+
+def test_tfrecord_workers_set_modules_aside_once(tmp_path, monkeypatch):
+    path = tmp_path / "one.tfrecord"
+    path.write_bytes(records.frame([b"x" * 100] * 100))
+    reader = records._RecordReader({"path": str(path), "splitbytes": "1000"})
+    frozen = []
+    monkeypatch.setitem(sys.modules, "_millstream_worker", types.ModuleType("_millstream_worker"))
+    monkeypatch.setattr(gc, "freeze", lambda: frozen.append(1))
+    whole = [b for p in reader.partitions() for b in reader.read(p)]
+    assert frozen == []
+    monkeypatch.setattr(TaskContext, "get", lambda: object())
+    again = [b for p in reader.partitions() for b in reader.read(p)]
+    assert frozen == [1] and again == whole
+    assert sum(b.num_rows for b in whole) == 100
+
+
 def test_tfrecord_splits_on_spark(spark, scratch):
     path = scratch()
     data = [str(i).encode() * (i % 90) for i in range(3000)]
